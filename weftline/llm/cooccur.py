@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Items in a chunk: a row yields at most CHUNK * CHUNK pairs.
 CHUNK = 256
 
@@ -36,7 +38,7 @@ def _pairs(held: DataFrame, chunk: int) -> DataFrame:
     sent = big.select("b", "xs", "c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d")).where("c <> d")
     met = sent.groupBy("b", F.least("c", "d").alias("c1"), F.greatest("c", "d").alias("c2")).agg(F.min_by("xs", "c").alias("xs"), F.max_by("xs", "c").alias("ys"))
     across = F.flatten(F.expr("transform(xs, v -> transform(ys, w -> struct(least(v, w) AS i, greatest(v, w) AS j)))"))
-    products = met.where(F.size("xs") * F.size("ys") > 0).select(F.explode(across).alias("p"), "c1", "c2", "xs", "ys").select("p")
+    products = met.where(F.size("xs") * F.size("ys") > 0).select(F.explode(across).alias("p"))
     return ordinary.union(products).select("p.i", "p.j")
 
 
@@ -53,9 +55,9 @@ def associations(df: DataFrame, basket: str, item: str, min_pairs: int = 1, min_
     lift never exceeds n / n_i, so n_i must not exceed n / ``min_lift``. Empty
     tables and baskets of one item give no pairs.
     """
-    held = baskets(df, basket, item)
+    held = cut(baskets(df, basket, item))
     per_item = held.groupBy("x").agg(F.count(F.lit(1)).alias("n_x"))
-    total = held.agg(F.count_distinct("b").alias("n"))
+    total = held.select("b").distinct().agg(F.count(F.lit(1)).alias("n"))
     fit = per_item.crossJoin(F.broadcast(total)).where((F.col("n_x") >= min_pairs) & (F.col("n_x") * min_lift <= F.col("n")))
     pairs = _pairs(held.join(fit.select("x"), "x", "left_semi"), chunk)
     counted = pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n_ij")).where(F.col("n_ij") >= min_pairs)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import termfreq, topn
+from . import cooccur, termfreq, topn
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,8 +64,31 @@ WITH texts AS (SELECT walk_id, min(path) AS path FROM walks GROUP BY walk_id),
                 WHEN records * 10 > (SELECT count(DISTINCT walk_id) FROM kept) THEN 'common' END AS mark FROM counts)
 """
 
+# ---------------------------------------------------------------- 5: items that appear together
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_top_items, p3_found, p3_node_counts)}
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of items that at least 5 users share, ten times as many as by chance."""
+    found = cooccur.associations(_table(spark, folder, "interactions"), "user_id", "item", min_pairs=5, min_lift=10)
+    return found.select(F.col("i").alias("item_i"), F.col("j").alias("item_j"))
+
+
+def p5_item_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs that two users or more share, with their lift."""
+    pairs = cooccur.associations(_table(spark, folder, "interactions"), "user_id", "item", min_pairs=2)
+    return pairs.select(F.col("i").alias("item_i"), F.col("j").alias("item_j"), "n_ij", F.round("lift", 6).alias("lift"), F.round("pmi", 6).alias("pmi"))
+
+
+_PAIRS = """
+WITH held AS (SELECT DISTINCT user_id AS b, item AS x FROM interactions WHERE user_id IS NOT NULL AND item IS NOT NULL),
+     n AS (SELECT count(DISTINCT b) AS n FROM held),
+     c AS (SELECT x, count(*) AS n_x FROM held GROUP BY x),
+     p AS (SELECT l.x AS item_i, r.x AS item_j, count(*) AS n_ij FROM held l JOIN held r ON l.b = r.b AND l.x < r.x GROUP BY 1, 2),
+     s AS (SELECT p.*, ci.n_x AS n_i, cj.n_x AS n_j, n.n, n_ij::DOUBLE * n.n / (ci.n_x::DOUBLE * cj.n_x) AS lift
+           FROM p JOIN c ci ON ci.x = item_i JOIN c cj ON cj.x = item_j, n)
+"""
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_top_items, p3_found, p3_node_counts, p5_found, p5_item_pairs)}
 
 SQL = {
     "p1_found": _RIGHT + """, published AS (SELECT DISTINCT item, item_list FROM topn_lists)
@@ -73,4 +96,6 @@ SELECT item_i, rank_no, item_j FROM top LEFT JOIN published ON item = item_i WHE
     "p1_top_items": _RIGHT + "SELECT item_i, rank_no, item_j, score FROM top",
     "p3_found": _NODES + "SELECT node, mark FROM marked WHERE mark IS NOT NULL",
     "p3_node_counts": _NODES + "SELECT node, occurrences, records, mark FROM marked",
+    "p5_found": _PAIRS + "SELECT item_i, item_j FROM s WHERE n_ij >= 5 AND n_ij * n >= 10 * n_i * n_j",
+    "p5_item_pairs": _PAIRS + "SELECT item_i, item_j, n_ij, round(lift, 6) AS lift, round(ln(lift), 6) AS pmi FROM s WHERE n_ij >= 2",
 }
