@@ -16,6 +16,8 @@ from ..session import cut
 
 #: Items in a chunk: a row yields at most CHUNK * CHUNK pairs.
 CHUNK = 256
+#: At most so many huge baskets are broadcast, by their names alone; their number is counted first.
+BROADCAST_BASKETS = 100_000
 
 
 def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
@@ -23,12 +25,13 @@ def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
     return df.select(df[basket].alias("b"), df[item].cast("bigint").alias("x")).where("b IS NOT NULL AND x IS NOT NULL").distinct()
 
 
-def _pairs(held: DataFrame, chunk: int) -> DataFrame:
-    """Every unordered pair of every basket, as ``i`` < ``j``; ``held`` is distinct (b, x)."""
+def _pairs(held: DataFrame, sizes: DataFrame, chunk: int) -> DataFrame:
+    """Every unordered pair of every basket, as ``i`` < ``j``; ``held`` is distinct (b, x), ``sizes`` has ``n`` >= the rows of each b."""
     # The basket's chunks: items are dealt out by hash, so that huge baskets never pass through one task whole.
     # A basket's number of chunks depends on its size alone.
-    sizes = held.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    many = sizes.where(F.col("n") > chunk).select("b", F.ceil(F.col("n") / (chunk / 2)).cast("int").alias("chunks"))
+    many = cut(sizes.where(F.col("n") > chunk).select("b", F.ceil(F.col("n") / (chunk / 2)).cast("int").alias("chunks")))
+    if many.count() <= BROADCAST_BASKETS:
+        many = F.broadcast(many)
     dealt = held.join(many, "b", "left").select("b", "x", F.coalesce("chunks", F.lit(1)).alias("chunks"), F.pmod(F.xxhash64("x"), F.coalesce("chunks", F.lit(1))).cast("int").alias("c"))
     lists = dealt.groupBy("b", "chunks", "c").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     within = F.flatten(F.expr("transform(xs, (v, k) -> transform(slice(xs, k + 2, size(xs)), w -> struct(v AS i, w AS j)))"))
@@ -59,7 +62,7 @@ def associations(df: DataFrame, basket: str, item: str, min_pairs: int = 1, min_
     per_item = held.groupBy("x").agg(F.count(F.lit(1)).alias("n_x"))
     total = held.select("b").distinct().agg(F.count(F.lit(1)).alias("n"))
     fit = per_item.crossJoin(F.broadcast(total)).where((F.col("n_x") >= min_pairs) & (F.col("n_x") * min_lift <= F.col("n")))
-    pairs = _pairs(held.join(fit.select("x"), "x", "left_semi"), chunk)
+    pairs = _pairs(held.join(fit.select("x"), "x", "left_semi"), held.groupBy("b").agg(F.count(F.lit(1)).alias("n")), chunk)
     counted = pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n_ij")).where(F.col("n_ij") >= min_pairs)
     scored = counted.join(fit.select(F.col("x").alias("i"), F.col("n_x").alias("n_i"), "n"), "i").join(fit.select(F.col("x").alias("j"), F.col("n_x").alias("n_j")), "j")
     lift = F.col("n_ij").cast("double") * F.col("n") / (F.col("n_i").cast("double") * F.col("n_j"))
