@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cooccur, termfreq, topn
+from ..session import cut
+from . import cooccur, leaks, neighbours, packing, sentences, termfreq, topn
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +65,32 @@ WITH texts AS (SELECT walk_id, min(path) AS path FROM walks GROUP BY walk_id),
                 WHEN records * 10 > (SELECT count(DISTINCT walk_id) FROM kept) THEN 'common' END AS mark FROM counts)
 """
 
+# ---------------------------------------------------------------- 4: nearest neighbours
+
+
+def _nearest_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = cut(neighbours.clean_vectors(_table(spark, folder, "node_vectors"), "node", "embedding", "loaded_at", 64))
+    return neighbours.nearest(vectors, 10)
+
+
+def p4_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 most similar nodes of every node."""
+    near = _nearest_nodes(spark, folder)
+    return near.select(F.col("a").alias("node"), "rank_no", F.col("b").alias("neighbour"), F.round("cosine", 5).alias("cosine"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs of nodes close enough to count as alike."""
+    return neighbours.alike(_nearest_nodes(spark, folder), 0.9).select("node_a", "node_b")
+
+
+_ALIKE = """
+WITH latest AS (SELECT node, arg_max(embedding, loaded_at) AS e, max_by(embedding IS NULL, loaded_at) AS gone FROM node_vectors GROUP BY node),
+     fit AS (SELECT node, e::DOUBLE[] AS e FROM latest WHERE NOT gone AND len(e) = 64 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     unit AS (SELECT node, e, sqrt(list_dot_product(e, e)) AS norm FROM fit WHERE list_dot_product(e, e) > 0)
+SELECT a.node AS node_a, b.node AS node_b FROM unit a JOIN unit b ON a.node < b.node WHERE list_dot_product(a.e, b.e) >= 0.9 * a.norm * b.norm
+"""
+
 # ---------------------------------------------------------------- 5: items that appear together
 
 
@@ -87,8 +114,50 @@ WITH held AS (SELECT DISTINCT user_id AS b, item AS x FROM interactions WHERE us
      s AS (SELECT p.*, ci.n_x AS n_i, cj.n_x AS n_j, n.n, n_ij::DOUBLE * n.n / (ci.n_x::DOUBLE * cj.n_x) AS lift
            FROM p JOIN c ci ON ci.x = item_i JOIN c cj ON cj.x = item_j, n)
 """
+# ---------------------------------------------------------------- 6: packing
+
+
+def _packed(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = packing.token_sizes(_table(spark, folder, "documents"), "doc_id", "text")
+    return packing.pack(sizes, _table(spark, folder, "container_sizes"))
+
+
+def p6_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's place in containers of each capacity."""
+    return _packed(spark, folder)
+
+
+def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    return packing.fill_report(_packed(spark, folder), _table(spark, folder, "container_sizes"))
+
+
+# ---------------------------------------------------------------- 7: leaks
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluation items of which a text carries a passage."""
+    return leaks.leaks(_table(spark, folder, "documents"), _table(spark, folder, "eval_items"), "doc_id", "text", "item_id", "text")
+
+
+def p7_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    """How many texts carry each leaked item."""
+    return p7_found(spark, folder).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"))
+
+# ---------------------------------------------------------------- 8: sentences
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The end of every sentence of every text."""
+    return sentences.sentence_ends(_table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p8_sentence_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentences of every text."""
+    return p8_found(spark, folder).groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.max("end_pos").alias("last_end"))
+
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_top_items, p3_found, p3_node_counts, p5_found, p5_item_pairs)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_top_items, p3_found, p3_node_counts, p4_found, p4_nearest, p5_found, p5_item_pairs, p6_packed, p6_fill, p7_found, p7_leaked_items, p8_found, p8_sentence_counts)}
 
 SQL = {
     "p1_found": _RIGHT + """, published AS (SELECT DISTINCT item, item_list FROM topn_lists)
@@ -96,6 +165,7 @@ SELECT item_i, rank_no, item_j FROM top LEFT JOIN published ON item = item_i WHE
     "p1_top_items": _RIGHT + "SELECT item_i, rank_no, item_j, score FROM top",
     "p3_found": _NODES + "SELECT node, mark FROM marked WHERE mark IS NOT NULL",
     "p3_node_counts": _NODES + "SELECT node, occurrences, records, mark FROM marked",
+    "p4_found": _ALIKE,
     "p5_found": _PAIRS + "SELECT item_i, item_j FROM s WHERE n_ij >= 5 AND n_ij * n >= 10 * n_i * n_j",
     "p5_item_pairs": _PAIRS + "SELECT item_i, item_j, n_ij, round(lift, 6) AS lift, round(ln(lift), 6) AS pmi FROM s WHERE n_ij >= 2",
 }
