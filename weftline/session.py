@@ -45,3 +45,9 @@ def cut(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="weftline-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it has fewer partitions than there are cores: a small input then, whose shuffle costs little. A large one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
