@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Items are searched for in blocks of about this many characters; each block is a pass over the texts.
 ITEM_CHARS = 4_000_000
 #: Characters of text that are searched at once.
@@ -394,5 +396,5 @@ def leaks(
     for block in range(blocks):
         own = [(r.item, r.text) for r in held.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).orderBy("item").collect()]
         if own:
-            out = out.union(rows.mapInArrow(_finder(own, min_words, min_chars, ratio), "doc_id bigint, item_id bigint"))
+            out = out.union(spread(rows).mapInArrow(_finder(own, min_words, min_chars, ratio), "doc_id bigint, item_id bigint"))
     return out.distinct()

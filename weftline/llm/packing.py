@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: How a byte-level BPE splits text before merging; a fixed value of this kind of public vocabulary.
@@ -57,7 +57,7 @@ def token_sizes(documents: DataFrame, doc_id: str, text: str, vocabulary: str =
     whose id is NULL. Rows that repeat an id are items of their own.
     """
     rows = documents.select(documents[doc_id].cast("bigint").alias("doc"), documents[text].alias("text")).where("doc IS NOT NULL AND length(text) > 0")
-    return rows.mapInArrow(_counter(vocabulary, split), "doc bigint, tokens int")
+    return spread(rows).mapInArrow(_counter(vocabulary, split), "doc bigint, tokens int")
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:

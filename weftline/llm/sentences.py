@@ -18,12 +18,15 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: At most this many texts, those of least hash, and this many characters train the model.
 FIT_TEXTS = 4000
 FIT_CHARS = 8_000_000
@@ -65,6 +68,7 @@ _NUMBER = re.compile(r"(?:\(?(?:Rn|Rz|no|n°)\.? ?\d+\)?|§+ ?\d+|\[\d+\]|\(?\d+
 _CLOSERS = "\"'”’“»)]）」』】›"
 _FINAL = re.compile(r"[.!?…。！？؟।॥;;]\s*[\"'”’“»)\]）」』】›\s]*$")
 _MARK = re.compile(r"[.!?…]+|[。！？؟।॥]+[.!?…。！？؟]*|[;;]")
+_ASCII_MARK = re.compile(r"[.!?][.!?]*")
 _RIGHT = re.compile(r"((?:[\"'”’»)\]）」』】›“]| [»›])*)( *)([„“\"«‘'(\[¿¡「『（【‹•–-]*)( ?)(\w+|\S)?(?:[^\w]{1,2}(\w+))?")
 _THAI_GAP = re.compile(r"(?<=[ก-๛”\"’)])[ \n]+(?=[ก-๏“\"‘(])")
 _THAI = re.compile(r"[ก-๛]")
@@ -125,6 +129,7 @@ def runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         yield run, parts
 
 
+@lru_cache(100_000)
 def _kind(token: str) -> str:
     """The shape of a token: digits, case, length, script."""
     if not token:
@@ -150,12 +155,17 @@ def _kind(token: str) -> str:
     return f"{'U' if c.isupper() else 'l'}{size}"
 
 
-def candidates(run: str, thai: bool) -> Iterator[tuple[int, tuple]]:
+def candidates(run: str) -> Iterator[tuple[int, tuple]]:
     """(end of the sentence if this is a boundary, the candidate's description) of every mark but the run's last."""
-    length = len(run)
-    for m in _MARK.finditer(run):
+    for m in (_ASCII_MARK if run.isascii() else _MARK).finditer(run):
         s, e = m.span()
         mark = run[s:e]
+        c = run[e : e + 1]
+        if c == " ":  # a lower-case word goes on
+            if run[e + 1 : e + 2].islower():
+                continue
+        elif mark == "." and c.isdigit() and run[s - 1 : s].isdigit():  # inside a number
+            continue
         r = _RIGHT.match(run, e)
         closers, gap, opener, gap2, token, after = r.groups()
         if token is None:
@@ -175,11 +185,9 @@ def candidates(run: str, thai: bool) -> Iterator[tuple[int, tuple]]:
         if not gap and not opener:
             if not c.isalnum():
                 continue
-            if mark == "." and c.isdigit() and k and run[k - 1].isdigit():
-                continue
         elif not opener and c in ",;:%)]}、，；：）":
             continue
-        i = max(run.rfind(" ", max(0, k - 24), k), k - 24) + 1 if k > 24 else run.rfind(" ", 0, k) + 1
+        i = run.rfind(" ", k - 24 if k > 24 else 0, k) + 1 or (k - 24 if k > 24 else 0)
         prev = run[i:k].lstrip(_OPENERS) or run[max(0, k - 1) : k]
         if not prev.isascii():
             prev = _LAST.search(prev)[0]
@@ -199,20 +207,43 @@ def candidates(run: str, thai: bool) -> Iterator[tuple[int, tuple]]:
         yield end, (mark if len(mark) < 4 else mark[:3], closers[:2].strip(), quote, bool(gap or gap2), opener[:1], prev, token if len(token) < 24 else token[:24], after or "", lead)
 
 
-def describe(x: tuple) -> list[str]:
-    """The features of a candidate."""
-    mark, closers, quote, gap, opener, prev, token, after, lead = x
-    low, pk, nk, ak = prev.lower(), _kind(prev), _kind(token), _kind(after)
+def _about_prev(prev: str, pk: str) -> list[str]:
+    return [f"p={pk if pk[0] in 'dy' and pk[:3] != 'dot' else prev.lower()}"]
+
+
+def _about_next(token: str, nk: str, ak: str) -> list[str]:
+    shown = token if nk != "cjk" else token[0]
+    return [f"n={shown}", f"nn={shown}/{ak}"]
+
+
+def _about_after(after: str) -> list[str]:
+    return [f"a={after}"]
+
+
+def _about_shape(mark: str, closers: str, quote: str, gap: bool, opener: str, pk: str, nk: str, short: str, lead: str) -> list[str]:
     cjk = nk == "cjk" or pk == "cjk"
     m = "." if mark == "." else "o" if mark in ("...", "…", "……") else "q"
     g = "g" if gap else "n"
-    shown = token if nk != "cjk" else token[0]
     return [
-        f"p={pk if pk[0] in 'dy' and pk[:3] != 'dot' else low}", f"n={shown}", f"pk={pk}{m}", f"nk={nk}{m}{g}", f"pn={pk}/{nk}{m}{g}", f"m={mark}{g}", f"c={closers}{quote}{m}{nk if not cjk else 'cjk'}{g}",
-        f"q={quote}{'cjk' if cjk else ''}{m}", f"o={opener}{m}{g}", f"a={after}", f"nn={shown}/{ak}", f"l={lead}/{pk}", f"ln={lead}/{nk}{pk[0]}", f"pnl={low if len(low) < 5 else pk}/{nk}{g}",
+        f"pk={pk}{m}", f"nk={nk}{m}{g}", f"pn={pk}/{nk}{m}{g}", f"m={mark}{g}", f"c={closers}{quote}{m}{nk if not cjk else 'cjk'}{g}",
+        f"q={quote}{'cjk' if cjk else ''}{m}", f"o={opener}{m}{g}", f"l={lead}/{pk}", f"ln={lead}/{nk}{pk[0]}", f"pnl={short or pk}/{nk}{g}",
     ]
 
 
+def _parts(x: tuple) -> tuple[tuple, tuple, tuple, tuple]:
+    mark, closers, quote, gap, opener, prev, token, after, lead = x
+    pk, nk = _kind(prev), _kind(token)
+    return (prev, pk), (token, nk, _kind(after)), (after,), (mark, closers, quote, gap, opener, pk, nk, prev.lower() if len(prev) < 5 else "", lead)
+
+
+_ABOUT = (_about_prev, _about_next, _about_after, _about_shape)
+
+
+def describe(x: tuple) -> list[str]:
+    """The features of a candidate: of the token before, of the one after, of the next but one, and of their shapes and setting."""
+    return [name for about, part in zip(_ABOUT, _parts(x)) for name in about(*part)]
+
+
 def _slots(names: list[str]) -> list[int]:
     return [_stable(n) for n in names]
 
@@ -248,8 +279,8 @@ def reliable(texts: list[str]) -> tuple[list[tuple], list[bool]]:
                 continue
             heads.append(_first_tokens(run))
             if _FINAL.search(run[-12:]):
-                tails += [x for end, x in candidates(run + " Ω", False) if end == len(run)]
-            inner += [x for end, x in candidates(run, False)]
+                tails += [x for end, x in candidates(run + " Ω") if end == len(run)]
+            inner += [x for end, x in candidates(run)]
     starters = Counter(t for _, t, _ in heads)
     words = Counter(x[6] for x in inner)
     ends, middles = Counter(x[5].lower() for x in tails), Counter(x[5].lower() for x in inner)
@@ -329,16 +360,22 @@ class Splitter:
 
     def __init__(self, weights: np.ndarray):
         self.weights = weights.tolist()
-        self.known: dict[tuple, bool] = {}
+        self.known: tuple[dict, ...] = ({}, {}, {}, {})  # a candidate's score is the sum of its parts' scores; parts recur
 
     def is_boundary(self, x: tuple) -> bool:
-        known = self.known.get(x)
-        if known is None:
-            if len(self.known) > 500_000:
-                self.known.clear()
-            w = self.weights
-            known = self.known[x] = w[-1] + sum(w[s] for s in _slots(describe(x))) > 0
-        return known
+        before, following, after, shape = _parts(x)
+        by_prev, by_next, by_after, by_shape = self.known
+        try:
+            score = by_prev[before] + by_next[following] + by_after[after] + by_shape[shape]
+        except KeyError:
+            for about, known, part in zip(_ABOUT, self.known, (before, following, after, shape)):
+                if part not in known:
+                    if len(known) > 200_000:
+                        known.clear()
+                    bias = self.weights[-1] if about is _about_prev else 0.0
+                    known[part] = bias + sum(self.weights[s] for s in _slots(about(*part)))
+            score = sum(known[part] for known, part in zip(self.known, (before, following, after, shape)))
+        return score > 0
 
     def ends(self, text: str) -> list[int]:
         """Code points of the text up to and including the last of each sentence."""
@@ -346,7 +383,7 @@ class Splitter:
         is_boundary = self.is_boundary
         for run, parts in runs(text):
             thai = _THAI.search(run) is not None
-            ends = [end for end, x in candidates(run, thai) if is_boundary(x)]
+            ends = [end for end, x in candidates(run) if is_boundary(x)]
             if thai:
                 ends = sorted({*ends, *(m.start() for m in _THAI_GAP.finditer(run))})
             if not ends or ends[-1] < len(run):
@@ -394,4 +431,4 @@ def sentence_ends(documents: DataFrame, doc_id: str, text: str, fit_texts: int =
             break
         chosen.append(r.doc_id)
     sample = [r.text for r in rows.where(F.col("doc_id").isin(chosen)).select(F.substring("text", 1, fit_chars).alias("text"), "doc_id").orderBy("doc_id").limit(fit_texts).collect()] if chosen else []
-    return rows.mapInArrow(_splitter(fit(sample)), "doc_id bigint, end_pos int")
+    return spread(rows).mapInArrow(_splitter(fit(sample)), "doc_id bigint, end_pos int")
