@@ -40,7 +40,13 @@ def write_table(df: DataFrame, table: str, overwrite: bool = False, names: dict[
     spark = df.sparkSession
     if overwrite and dynamic and partition and spark.catalog.tableExists(table):
         columns = spark.table(table).columns
-        out.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table, overwrite=True)
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            out.select(*columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(setting, before)
         return
     writer = out.write.format(fmt).mode(_mode(overwrite))
     if partition and partition[0]:
