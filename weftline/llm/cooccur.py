@@ -36,12 +36,12 @@ def _pairs(held: DataFrame, sizes: DataFrame, chunk: int) -> DataFrame:
     lists = dealt.groupBy("b", "chunks", "c").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     within = F.flatten(F.expr("transform(xs, (v, k) -> transform(slice(xs, k + 2, size(xs)), w -> struct(v AS i, w AS j)))"))
     ordinary = lists.select(F.explode(within).alias("p"))
-    # Chunk c goes to all pairs of chunks it belongs to: (c, d) as the left, (d, c) as the right list.
+    # Chunk c goes to all pairs of chunks that it belongs to; where the other one holds no item, nothing meets it.
     big = lists.where(F.col("chunks") > 1)
     sent = big.select("b", "xs", "c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d")).where("c <> d")
-    met = sent.groupBy("b", F.least("c", "d").alias("c1"), F.greatest("c", "d").alias("c2")).agg(F.min_by("xs", "c").alias("xs"), F.max_by("xs", "c").alias("ys"))
+    met = sent.groupBy("b", F.least("c", "d").alias("c1"), F.greatest("c", "d").alias("c2")).agg(F.min_by("xs", "c").alias("xs"), F.max_by("xs", "c").alias("ys"), F.count(F.lit(1)).alias("chunks"))
     across = F.flatten(F.expr("transform(xs, v -> transform(ys, w -> struct(least(v, w) AS i, greatest(v, w) AS j)))"))
-    products = met.where(F.size("xs") * F.size("ys") > 0).select(F.explode(across).alias("p"))
+    products = met.where("chunks = 2").select(F.explode(across).alias("p"))
     return ordinary.union(products).select("p.i", "p.j")
 
 
