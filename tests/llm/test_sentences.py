@@ -40,10 +40,10 @@ def test_language(splitter, name):
 
 
 def test_furniture(splitter):
-    parts = ["High Court of Nowhere", "K 12/20", "between A and K.", "Headnote", "It was not!", "Judgment", "(Rn. 5) It was\nnot! No. 7", "K 12/20 · High Court · p. 2", "was withdrawn.", "Page 3 of 5", "2. It was not!", "Order", "It was not!", "Rover, Talen, Marion"]
+    parts = ["High Court of Nowhere", "K 12/20", "between A and K.", "Headnote", "It was not!", "Judgment", "(Rn. 5) It was\nnot! No. 7", "K 12/20 · High Court · p. 2", "was withdrawn.", "Page 3 of 5", "(Rn. 6) It was not!", "Order", "It was not!", "Rover, Talen, Marion"]
     text = "\n\n".join(parts)
     ends = splitter.ends(text)
-    assert [text[:e].split("\n\n")[-1][-12:] for e in ends] == ["It was not!", " It was\nnot!", "s withdrawn.", ". It was not!"[-12:], "It was not!"]
+    assert [text[:e].split("\n\n")[-1][-12:] for e in ends] == ["It was not!", " It was\nnot!", "s withdrawn.", ") It was not!"[-12:], "It was not!"]
 
 
 def test_odd_texts(splitter):

@@ -65,6 +65,7 @@ _PAGE = re.compile(r"(?:Page \d+ of \d+|[–—-] ?\d+ ?[–—-]|[^\n]* · p\.
 _DOCKET = re.compile(r"[A-Z]{1,4} \d{1,6}/\d{2,4}")
 _SIGNATURE = re.compile(r"[^\W\d_a-z][\w'’-]*(?: [^\W\d_a-z][\w'’.-]*)*(?:, [^\W\d_a-z][\w'’-]*(?: [^\W\d_a-z][\w'’.-]*)*)+|\([^\W\d_a-z][\w'’.-]*(?: [^\W\d_a-z][\w'’.-]*)*\)")
 _NUMBER = re.compile(r"(?:\(?(?:Rn|Rz|no|n°)\.? ?\d+\)?|§+ ?\d+|\[\d+\]|\(?\d+[.)])[ \t ]+")
+_DIGITS = re.compile(r"\d+")
 _CLOSERS = "\"'”’“»)]）」』】›"
 _FINAL = re.compile(r"[.!?…。！？؟।॥;;]\s*[\"'”’“»)\]）」』】›\s]*$")
 _MARK = re.compile(r"[.!?…]+|[。！？؟।॥]+[.!?…。！？؟]*|[;;]")
@@ -91,6 +92,7 @@ def runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     party = None if docket is None else next((k for k in range(docket + 1, len(blocks)) if not _PAGE.fullmatch(blocks[k][1].strip())), None)
     parts: list[tuple[int, int]] = []
     run, joined = "", False
+    style, last = "", 0  # of the paragraph numbers so far
     for k, (at, block) in enumerate(blocks):
         bare = block.strip()
         if _PAGE.fullmatch(bare):
@@ -98,6 +100,14 @@ def runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
             continue
         after_page, joined = joined, False
         number = _NUMBER.match(block)
+        if number:
+            value = _DIGITS.search(number[0])[0]
+            own = number[0].strip().replace(value, "#")
+            # behind a page header in a run, what looks like a number is one if it is the next in line
+            if after_page and run and not (own == style and int(value) == last + 1 and _FINAL.search(run[-12:])):
+                number = None
+            else:
+                style, last = own, int(value)
         if docket is not None and (k <= docket or k == party):
             furniture = True
         elif bare in HEADINGS:
