@@ -16,6 +16,7 @@ one entry with many members.
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,7 +84,7 @@ def _distances(halves: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((halves**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * halves @ centres.T, 0)
 
 
-def _walk(d1: np.ndarray, d2: np.ndarray, sizes: dict[int, int], k2: int, wanted: int) -> list[int]:
+def _walk(d1: np.ndarray, d2: np.ndarray, sizes: array, k2: int, wanted: int) -> list[int]:
     """Cells by summed distance until they hold ``wanted`` entries: the multi-sequence algorithm with a heap."""
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
     s1, s2, l1, l2 = d1[o1].tolist(), d2[o2].tolist(), o1.tolist(), o2.tolist()
@@ -91,7 +92,7 @@ def _walk(d1: np.ndarray, d2: np.ndarray, sizes: dict[int, int], k2: int, wanted
     while heap and held < wanted:
         _, a, b = heapq.heappop(heap)
         cell = l1[a] * k2 + l2[b]
-        if size := sizes.get(cell):
+        if size := sizes[cell]:
             visited.append(cell)
             held += size
         if b + 1 < len(l2):
@@ -114,7 +115,7 @@ def _coder(c1: np.ndarray, c2: np.ndarray):
     return run
 
 
-def _visitor(c1: np.ndarray, c2: np.ndarray, sizes: dict[int, int], wanted: int):
+def _visitor(c1: np.ndarray, c2: np.ndarray, sizes: array, wanted: int):
     half, k2 = c1.shape[1], len(c2)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,8 +186,10 @@ def nearest(vectors: DataFrame, k: int = 10, candidates: int = CANDIDATES, centr
         return spark.createDataFrame([], "a string, b string, cosine double, rank_no int")
     c1, c2 = fit_codebooks(classes.select(F.col("id").alias("key"), "v"), centroids or centroid_count(count), fit_rows)
     entries = cut(classes.select("id", "v").mapInPandas(_coder(c1, c2), "id bigint, v array<float>, block int, second int"))
-    # one row per occupied cell: at most centroids ** 2, whatever the rows
-    sizes = {r.block * len(c2) + r.second: r["count"] for r in entries.groupBy("block", "second").count().collect()}
+    # a row per occupied cell: at most centroids ** 2
+    sizes = array("i", bytes(4 * len(c1) * len(c2)))
+    for r in entries.groupBy("block", "second").count().collect():
+        sizes[r.block * len(c2) + r.second] = r["count"]
     queries = cut(classes.select("id", "v").mapInPandas(_visitor(c1, c2, sizes, candidates), "id bigint, v array<float>, block int, seconds array<int>"))
     own_rows, visits = ({r.block: r["count"] for r in df.groupBy("block").count().collect()} for df in (entries, queries))  # a row per block
 

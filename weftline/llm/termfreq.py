@@ -1,17 +1,21 @@
 """Frequency of every distinct term: occurrences, records that hold it, and marks for the too rare and the too common.
 
-1. A global dictionary gives every distinct term a dense integer.
-2. Records are encoded block by block; each block adds up two count arrays
-   (occurrences, record presence) for every range of identifiers it touches.
-3. The blocks' arrays are summed by identifier range.
-
-A hub term, however frequent, leaves each block as one array slot, so no key is
-hot in any shuffle after the records themselves are deduplicated.
+1. Records are read block by block; a block leaves each of its terms once, with
+   its occurrences and the records that hold it.
+2. A global dictionary gives every distinct term a dense integer, by which the
+   blocks' terms are encoded.
+3. The counts are added up in arrays, one for each range of identifiers, and the
+   arrays of a range are summed.
+
+A hub term, however frequent, leaves each block as one row, so no key is hot in
+any shuffle after the records themselves are deduplicated.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,15 +48,24 @@ def dictionary(terms: DataFrame, parts: int | None = None) -> DataFrame:
     return cut(spread.join(F.broadcast(starts), "part").select("term", (F.col("start") + place - 1).alias("id")))
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Adds up each block's arrays; only the slots that were touched are sent on."""
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A block's terms, each once, with its occurrences and the records of the block that hold it."""
+    for batch in batches:
+        records = [text.split(" ") for text in batch["t"]]
+        occurrences = Counter(chain.from_iterable(records))
+        held = Counter(chain.from_iterable(map(set, records)))
+        yield pd.DataFrame({"term": list(occurrences), "n": list(occurrences.values()), "r": [held[t] for t in occurrences]})
+
+
+def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds up the encoded counts in arrays by range of identifiers; only the slots that were touched are sent on."""
     for batch in batches:
         if batch.empty:
             continue
         ids, place = np.unique(batch["id"].to_numpy(), return_inverse=True)
-        occurrences = np.zeros(len(ids), dtype=np.int64)
+        occurrences, records = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
         np.add.at(occurrences, place, batch["n"].to_numpy())
-        records = np.bincount(place, minlength=len(ids))
+        np.add.at(records, place, batch["r"].to_numpy())
         cuts = np.flatnonzero(np.diff(ids // RANGE)) + 1
         yield pd.DataFrame(
             {
@@ -78,11 +91,11 @@ def term_frequencies(records: DataFrame, record_id: str, text: str, rare_below:
     """
     source = records.select(records[record_id].cast("string").alias("r"), F.trim(F.regexp_replace(records[text], SPACE, " ")).alias("t")).where(F.length("t") > 0)
     once = source.groupBy("r", F.when(F.col("r").isNull(), F.col("t")).alias("own")).agg(F.min("t").alias("t"))
-    once = cut(once)
-    tokens = once.select("r", "own", F.explode(F.split("t", " ")).alias("term"))
-    ids = dictionary(tokens)
-    encoded = tokens.groupBy("r", "own", "term").agg(F.count(F.lit(1)).alias("n")).join(ids, "term").select("id", "n")
-    arrays = encoded.mapInPandas(_blocks, "id_range bigint, slots array<int>, occurrences array<bigint>, records array<bigint>")
+    once = cut(once.select("t"))
+    blocks = cut(once.mapInPandas(_count, "term string, n bigint, r bigint"))
+    ids = dictionary(blocks)
+    encoded = blocks.join(ids, "term").select("id", "n", "r")
+    arrays = encoded.mapInPandas(_arrays, "id_range bigint, slots array<int>, occurrences array<bigint>, records array<bigint>")
     slots = arrays.repartition("id_range").select("id_range", F.explode(F.arrays_zip("slots", "occurrences", "records")).alias("x"))
     summed = slots.groupBy("id_range", F.col("x.slots").alias("slot")).agg(F.sum("x.occurrences").alias("occurrences"), F.sum("x.records").alias("records"))
     total = once.agg(F.count(F.lit(1)).alias("total"))
