@@ -14,7 +14,7 @@ advance at once, one array operation for all.
 
 Matches of one item on nearby diagonals of one text are candidates. Each is
 aligned word by word, and counts if some run of ``min_words`` words of the item
-(``min_chars`` characters without blanks) is there in order but for one in seven.
+(``min_chars`` letters without blanks) is there in order but for one in seven.
 """
 
 from __future__ import annotations
@@ -42,8 +42,10 @@ STRETCH = 2048
 #: Diagonals in one bin; a page header or some inserted words shift a passage by less.
 DRIFT = 128
 
-#: Share of a passage's weight that must be there, with and without blanks between words. Items that are built alike share most of their common words; words that few items hold weigh more.
-SHARE, SHARE_BLANKLESS = 0.85, 0.75
+#: Shares of a passage's weight, see :func:`carries`; words that few items hold weigh more.
+ENOUGH, SHARE = 0.86, 0.75
+#: Share of the words of the stretch around a passage that must be there, with and without blanks between words, and the missing words in a row that end the stretch.
+RUN, RUN_BLANKLESS, LOST = 0.82, 0.84, 3
 
 _TABLE = 0x30000
 _OTHER, _MANY, _END = 37, 255, 254
@@ -106,7 +108,7 @@ class Script:
     length: int  # of a pattern
     block: int  # B
     base: int  # of the packed window
-    share: float
+    run: float
     words: list = field(default_factory=list)  # by item: its words, as bytes of small codes or as strings
     starts: list = field(default_factory=list)  # by item: where each word begins in the item's stream
     ids: list = field(default_factory=list)
@@ -198,7 +200,7 @@ def _blankless(points: np.ndarray) -> np.ndarray:
 
 def build(items: list[tuple[int, str]]) -> tuple[Script, Script]:
     """The patterns of items with blanks between words, and of those without."""
-    spaced, blankless = Script(12, 4, 38, SHARE), Script(4, 2, 1 << 16, SHARE_BLANKLESS)
+    spaced, blankless = Script(12, 4, 38, RUN), Script(4, 2, 1 << 16, RUN_BLANKLESS)
     streams: tuple[list, list] = ([], [])
     for item, text in items:
         codes, points, _ = _stream([text])
@@ -262,13 +264,32 @@ def _present(words: list[bytes], anchors: list[tuple[int, int]], near: bytes, le
     return there
 
 
-def carries(there: np.ndarray, weights: np.ndarray, size: int, ratio: float, share: float) -> bool:
-    """Whether some run of ``size`` words is there but for 1 - ``ratio`` of them, and of their weight ``share``."""
+def carries(there: np.ndarray, weights: np.ndarray, size: int, ratio: float, run: float) -> bool:
+    """Whether a run of ``size`` words is there but for 1 - ``ratio`` of them.
+
+    Items built on one pattern share their common words. So the best such run
+    must hold ``ENOUGH`` of its weight; or else ``SHARE`` of it, and of the
+    stretch in which the item goes on around it (while no ``LOST`` words in a
+    row are missing) the share ``run``: common wording thins out over a long
+    stretch, a passage ends where it ends.
+    """
     if len(there) < size:
         return False
-    sums, held, all_ = (np.concatenate([[0], np.cumsum(x)]) for x in (there, there * weights, weights))
-    run = lambda x: x[size:] - x[:-size]
-    return bool(((run(sums) >= np.floor(ratio * size)) & (run(held) >= share * run(all_))).any())
+    sums, held, whole = (np.concatenate([[0], np.cumsum(x)]) for x in (there, there * weights, weights))
+    count, share = sums[size:] - sums[:-size], (held[size:] - held[:-size]) / np.maximum(whole[size:] - whole[:-size], 1e-9)
+    best = int(np.argmax(count + share))
+    if count[best] < np.floor(ratio * size) or share[best] < SHARE:
+        return False
+    if share[best] >= ENOUGH:
+        return True
+    at = np.flatnonzero(there)
+    inside = np.flatnonzero((at >= best) & (at < best + size))
+    first, last = inside[0], inside[-1]
+    while first and at[first] - at[first - 1] <= LOST:
+        first -= 1
+    while last + 1 < len(at) and at[last + 1] - at[last] <= LOST:
+        last += 1
+    return last - first + 1 >= run * (at[last] - at[first] + 1)
 
 
 def _candidates(place: np.ndarray, item: np.ndarray, word: np.ndarray, starts: list, firsts: np.ndarray, least: int, span: int):
@@ -322,7 +343,7 @@ def find(texts: list[str], spaced: Script, blankless: Script, min_words: int, mi
             else:
                 words, near = [chr(p or 1) for p in script.words[k]], "".join(map(chr, own[lo:hi].tolist()))
             for anchors in _chains(hit_words, hit_places - lo):
-                if carries(_present(words, anchors, near, script.length), script.weights[k], size, ratio, script.share):
+                if carries(_present(words, anchors, near, script.length), script.weights[k], size, ratio, script.run):
                     found.add((text, script.ids[k]))
                     break
     return sorted(found)
@@ -372,15 +393,15 @@ def _finder(items: list[tuple[int, str]], min_words: int, min_chars: int, ratio:
 
 
 def leaks(
-    documents: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, min_words: int = 20, min_chars: int = 30, ratio: float = 6 / 7
+    documents: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, min_words: int = 20, min_chars: int = 28, ratio: float = 6 / 7
 ) -> DataFrame:
     """``doc_id``, ``item_id`` of every text that carries a passage of an item, each pair once.
 
     A passage is a run of ``min_words`` words of the item (``min_chars``
     characters in scripts without blanks) that the text has in order, but for
     one word in seven that may be replaced, misread, masked, dropped or
-    inserted; the words that are there must also make up a share (``SHARE``) of the
-    run's weight, so that the common wording of items alike is no passage.
+    inserted (see :func:`carries` for how common wording of items alike is told
+    apart). Punctuation doesn't count, hence 28 characters for about 30.
     Shorter items are never found. NULL and empty texts or items, and
     NULL ids, carry nothing. Texts are read whole; rows that repeat a text or an
     id are searched like any others. Only the named columns are read.
