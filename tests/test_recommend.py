@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions.scalar import chunk_sizes, hash_uniform
-from weftline.operators import eager, graph, sampling, sequences, similarity, swing, vectors, walk
+from weftline.operators import eager, graph, sampling, sequences, sgns, similarity, swing, vectors, walk
 from weftline.operators.interactions import interactions, roles
 
 RATED = [("u1", 1, 1.0), ("u1", 2, 2.0), ("u1", 3, 1.0), ("u2", 1, 3.0), ("u2", 2, 1.0), ("u3", 1, 1.0), ("u3", 2, 2.0), ("u3", 3, 1.0)]
@@ -160,3 +160,29 @@ def test_eager_aggregation(spark):
     assert eager.eager_join_aggregate(left.limit(0), right.limit(0), "k", "k", "v", "w").count() == 0
     rolled = eager.roll_up(states, F.length("key_value")).where("group_name = 1").first()
     assert rolled.joined_rows == 6
+
+
+@pytest.mark.parametrize("loss", sgns.LOSSES)
+def test_sgns(spark, loss):
+    """Items predict those of their own topic rather than the other's, the loss falls, and a run repeats itself."""
+    rows = [(s, p, 1 + (s % 2) * 4 + (s * 7 + p * 3) % 4) for s in range(120) for p in range(6)]
+    ix = spark.createDataFrame(rows, "seq_id bigint, pos int, ix bigint")
+    vocab = spark.createDataFrame([(f"i{k}", k) for k in range(1, 9)], "item string, ix bigint")
+    pairs = sequences.skip_grams(ix, 2)
+    trained, losses = sgns.train(pairs, vocab, dim=8, epochs=6, batch=32, n_sampled=4, loss=loss, rate=0.1, shares=2)
+    again, _ = sgns.train(pairs.repartition(5), vocab, dim=8, epochs=6, batch=32, n_sampled=4, loss=loss, rate=0.1, shares=2)
+    v = {r.node: np.array(r.embedding) for r in sgns.read_vectors(trained, "embed").collect()}
+    assert all(np.allclose(v[r.node], r.embedding) for r in sgns.read_vectors(again, "embed").collect())
+    w = {r.node: np.array(r.embedding) for r in sgns.read_vectors(trained, "softmax").collect()}
+    score = {(a, b): v[f"i{a}"] @ w[f"i{b}"] for a in range(1, 9) for b in range(1, 9) if a != b}
+    same = np.mean([x for (a, b), x in score.items() if (a < 5) == (b < 5)])
+    other = np.mean([x for (a, b), x in score.items() if (a < 5) != (b < 5)])
+    values = [r.loss for r in losses.orderBy("epoch").collect()]
+    assert same > other + 1 and values[-1] < values[0]
+    assert sgns.read_vectors(trained, "avg").count() == 8
+    empty, none = sgns.train(pairs.limit(0), vocab, dim=4, epochs=1)
+    assert empty.count() == 8 and none.count() == 0
+    with pytest.raises(ValueError):
+        sgns.read_vectors(trained, "other")
+    with pytest.raises(ValueError):
+        sgns.train(pairs, vocab, loss="other")

@@ -6,13 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_uniform
+from ..session import cut
 
 
-def build_sequences(df: DataFrame, key: str, item: str, *order: str) -> DataFrame:
-    """``seq_id``, ``items``: each key's items by the order columns. Rows with a NULL key or item go."""
+def build_sequences(df: DataFrame, key: str, item: str, *order: str, last: int | None = None) -> DataFrame:
+    """``seq_id``, ``items``: each key's items by the order columns. Rows with a NULL key or item go.
+
+    With ``last`` only the last so many rows of a key are gathered; the others
+    are cut off before the shuffle, so a key of very many rows is no burden.
+    """
     rows = df.where(df[key].isNotNull() & df[item].isNotNull())
-    packed = F.struct(*(rows[o].alias(f"o{k}") for k, o in enumerate(order)), rows[item].cast("string").alias("item"))
-    return rows.groupBy(rows[key].alias("seq_id")).agg(F.sort_array(F.collect_list(packed)).alias("x")).select("seq_id", F.col("x.item").alias("items"))
+    rows = rows.select(rows[key].alias("seq_id"), F.struct(*(rows[o].alias(f"o{k}") for k, o in enumerate(order)), rows[item].cast("string").alias("item")).alias("x"))
+    if last is not None:
+        rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("seq_id").orderBy(F.desc("x")))).where(F.col("place") <= last)
+    return rows.groupBy("seq_id").agg(F.sort_array(F.collect_list("x")).alias("x")).select("seq_id", F.col("x.item").alias("items"))
 
 
 def truncate(seqs: DataFrame, min_len: int = 3, max_len: int | None = 200, side: str = "left") -> DataFrame:
@@ -55,12 +62,14 @@ def vocabulary(counts: DataFrame, min_count: int | None = 3, max_count: int | No
 
 
 def _numbered(kept: DataFrame) -> DataFrame:
-    """Dense numbers in order, without one task for all rows: rows are ranked within counts, and counts (few) carry the offsets."""
-    per_count = kept.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy(F.desc("cnt"))) - F.col("n")
-    offsets = per_count.select("cnt", before.alias("before"))  # as many rows as there are different counts
-    place = F.row_number().over(Window.partitionBy("cnt").orderBy("item"))
-    return kept.join(offsets, "cnt").select("item", "cnt", (F.col("before") + place).alias("ix"))
+    """Dense numbers in order. Rows are sorted over all tasks; each task numbers its own, and a row per task carries the numbers before it."""
+    at = F.spark_partition_id().cast("bigint")
+    placed = cut(kept.orderBy(F.desc("cnt"), "item").select("item", "cnt", at.alias("part"), F.monotonically_increasing_id().alias("place")))
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    # the identifier is the task's number in the upper bits and the row's in the lower 33
+    number = F.col("before") + F.col("place") - F.shiftleft("part", 33) + 1
+    return placed.join(F.broadcast(offsets), "part").select("item", "cnt", number.alias("ix"))
 
 
 def keep_probability(vocab: DataFrame, threshold: float = 1e-5) -> DataFrame:

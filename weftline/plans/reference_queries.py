@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import average, chunk_sizes, hash_uniform
-from ..operators import embedding, graph, sampling, sequences, similarity, swing, vectors, walk
+from ..operators import embedding, graph, sampling, sequences, sgns, similarity, swing, vectors, walk
 from ..operators.interactions import interactions, roles
 from ..sources import readers, sinks
 
@@ -297,13 +297,13 @@ _MEAN = "(SELECT CAST(floor(avg(cnt)) AS BIGINT) FROM c)"
 _VOCAB = _vocab_sql(f"SELECT * FROM c WHERE cnt >= {_MEAN}")
 
 
-def _sequences(spark, folder):
+def _sequences(spark, folder, last=None):
     events = _table(spark, folder, "events")
-    return sequences.build_sequences(events.withColumn("item", F.get_json_object("props", "$.k")), "user_id", "item", "ts", "event_id")
+    return sequences.build_sequences(events.withColumn("item", F.get_json_object("props", "$.k")), "user_id", "item", "ts", "event_id", last=last)
 
 
 def _cut_sequences(spark, folder):
-    return sequences.truncate(_sequences(spark, folder), 3, 40, "left")
+    return sequences.truncate(_sequences(spark, folder, 40), 3, 40, "left")
 
 
 def _counts(spark, folder):
@@ -539,3 +539,21 @@ def word2vec_vectors(spark, folder):
 def word2vec_from_walks(spark, folder):
     """Vectors of nodes from random walks."""
     return embedding.train(walk.deepwalk(_graph(spark, folder, 10), 5, 10), dim=16, max_iter=1, partitions=1)
+
+
+def _sgns(spark, folder):
+    vocab = _vocab(spark, folder)
+    indexed = sequences.index_sequences(_cut_sequences(spark, folder), vocab)
+    return sgns.train(sequences.skip_grams(indexed, 3), vocab, dim=16, epochs=2, batch=512, shares=4)
+
+
+@_query()
+def sgns_vectors(spark, folder):
+    """Vectors of items by skip-grams with sampled negatives: the mean of input and output vectors."""
+    return sgns.read_vectors(_sgns(spark, folder)[0], "avg")
+
+
+@_query()
+def sgns_losses(spark, folder):
+    """The mean loss of every epoch."""
+    return _sgns(spark, folder)[1]
