@@ -1,11 +1,17 @@
 """Sources, sinks, command line and streaming: round trips."""
 
 import json
+import sqlite3
+import threading
+import urllib.error
+import urllib.request
 
 import pytest
 
 from weftline import cli
-from weftline.sources import readers, sinks
+from weftline.operators import embedding, vectors
+from weftline.service import NeighbourService
+from weftline.sources import database, readers, sinks
 from weftline.streaming import incremental
 
 
@@ -126,3 +132,51 @@ def test_stream(spark, tmp_path):
     query = incremental.follow(stream, str(tmp_path / "state"), str(tmp_path / "cp"), availableNow=True)
     query.awaitTermination(60)
     assert [tuple(r) for r in incremental.pair_counts(spark, str(tmp_path / "state")).collect()] == [(1, 2, 1)]
+
+
+def test_row_client(spark, tmp_path):
+    with database.RowClient(lambda: sqlite3.connect(tmp_path / "d.db")) as client:
+        client.execute("CREATE TABLE t (a INTEGER, b TEXT)")
+        client.execute("INSERT INTO t VALUES (?, ?)", (1, "x"))
+        assert client.query("SELECT * FROM t WHERE a = ?", (1,)) == [{"a": 1, "b": "x"}]
+        assert list(client.query("SELECT * FROM t WHERE a = 9", as_pandas=True).columns) == ["a", "b"]
+        assert client.frame(spark, "SELECT b FROM t", "b string").first().b == "x"
+        with pytest.raises(sqlite3.Error):
+            client.execute("INSERT INTO nowhere VALUES (1)")
+
+
+def test_service(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0])]
+    held = {"rows": rows}
+    service = NeighbourService(lambda: vectors.normalise(spark.createDataFrame(held["rows"], "id bigint, e array<double>"), "id", "e"))
+    server = service.server(port=0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_address[1]}"
+
+    def ask(path, body=None):
+        data = None if body is None else json.dumps(body).encode()
+        try:
+            with urllib.request.urlopen(urllib.request.Request(base + path, data=data), timeout=60) as r:
+                return r.status, r.read().decode()
+        except urllib.error.HTTPError as e:
+            return e.code, e.read().decode()
+
+    try:
+        assert ask("/ping") == (200, "pong")
+        assert list(json.loads(ask("/search_by_id", {"ids": [1], "k": 2})[1])["1"][0]) == ["2"]
+        assert [list(x)[0] for x in json.loads(ask("/search_by_vector", {"vectors": [[0, 5]], "k": 1})[1])["0"]] == ["3"]
+        assert ask("/get_goods_id", {"n": 2}) == (200, "[1, 2]")
+        assert ask("/search_by_id", {"ids": [77], "k": 2})[0] == 500 and ask("/search_by_id", {})[0] == 500
+        held["rows"] = rows + [(4, [0.0, 2.0])]
+        service.refresh()
+        assert "4" in ask("/search_by_id", {"ids": [3], "k": 1})[1]
+    finally:
+        server.shutdown()
+        service.stop()
+
+
+def test_projection(spark):
+    df = spark.createDataFrame([(k, [float(k), 1.0, 0.5 * k]) for k in range(30)] + [(99, None)], "node bigint, embedding array<double>")
+    points = embedding.project(df, most=10).collect()
+    assert len(points) <= 10 and all(len(r.point) == 2 for r in points)
+    assert embedding.project(df.where("node = 99")).count() == 0

@@ -557,3 +557,9 @@ def sgns_vectors(spark, folder):
 def sgns_losses(spark, folder):
     """The mean loss of every epoch."""
     return _sgns(spark, folder)[1]
+
+
+@_query()
+def embedding_projection(spark, folder):
+    """All vectors in two dimensions."""
+    return embedding.project(_table(spark, folder, "embeddings"), "vec_id", "embedding", 2, most=None)
