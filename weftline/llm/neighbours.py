@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 
 #: Both codebooks are fitted on at most this many vectors, those of least hash.
 FIT_ROWS = 20_000
@@ -185,12 +185,13 @@ def nearest(vectors: DataFrame, k: int = 10, candidates: int = CANDIDATES, centr
     if not count:
         return spark.createDataFrame([], "a string, b string, cosine double, rank_no int")
     c1, c2 = fit_codebooks(classes.select(F.col("id").alias("key"), "v"), centroids or centroid_count(count), fit_rows)
-    entries = cut(classes.select("id", "v").mapInPandas(_coder(c1, c2), "id bigint, v array<float>, block int, second int"))
+    vectors = spread(classes.select("id", "v"))
+    entries = cut(vectors.mapInPandas(_coder(c1, c2), "id bigint, v array<float>, block int, second int"))
     # a row per occupied cell: at most centroids ** 2
     sizes = array("i", bytes(4 * len(c1) * len(c2)))
     for r in entries.groupBy("block", "second").count().collect():
         sizes[r.block * len(c2) + r.second] = r["count"]
-    queries = cut(classes.select("id", "v").mapInPandas(_visitor(c1, c2, sizes, candidates), "id bigint, v array<float>, block int, seconds array<int>"))
+    queries = cut(vectors.mapInPandas(_visitor(c1, c2, sizes, candidates), "id bigint, v array<float>, block int, seconds array<int>"))
     own_rows, visits = ({r.block: r["count"] for r in df.groupBy("block").count().collect()} for df in (entries, queries))  # a row per block
 
     def parts(rows: dict[int, int], most: int) -> F.Column:
@@ -202,6 +203,8 @@ def nearest(vectors: DataFrame, k: int = 10, candidates: int = CANDIDATES, centr
     sent = queries.withColumn("query_part", here(query_parts)).withColumn("entry_part", every(entry_parts))
     dealt = entries.withColumn("entry_part", here(entry_parts)).withColumn("query_part", every(query_parts))
     key = ("block", "entry_part", "query_part")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)  # set, as few bytes can be much work
+    sent, dealt = sent.repartition(tasks, *key), dealt.repartition(tasks, *key)
     met = sent.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(_reranker(k), "a bigint, b bigint, cosine double")
     near = met.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))).where(F.col("place") <= k)
     # no key needs more than the first k + 1 members of a class, by key
