@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from ..session import spread
 
 #: At most this many texts, those of least hash, and this many characters train the model.
-FIT_TEXTS = 4000
-FIT_CHARS = 8_000_000
+FIT_TEXTS = 2000
+FIT_CHARS = 4_000_000
 #: Weights of the model's hashed features.
 SLOTS = 1 << 18
 
