@@ -94,3 +94,15 @@ def test_search_against_find():
             while len(pattern) == 12 and (at := raw.find(pattern, at + 1)) >= 0:
                 wanted.append((at, k, w))
     assert got == sorted(wanted)
+
+
+def test_pieces_of_long_texts(spark, monkeypatch):
+    """Passages at every place of a text that is searched in pieces."""
+    monkeypatch.setattr(leaks, "BATCH_CHARS", 3000)
+    monkeypatch.setattr(leaks, "MARGIN", 600)
+    rows = [(k, NOISE * 40 + NOISE[: 37 * k] + ITEM + NOISE * 40) for k in range(0, 11)]
+    parts = [x for part in leaks._parts([r[0] for r in rows], [r[1] for r in rows], 4000) for x in part]
+    assert all(any(ITEM in t for d, t in parts if d == k) for k, _ in rows) and max(len(t) for _, t in parts) <= 8000
+    scripts = leaks.build([(1, ITEM)])
+    hits = {parts[t][0] for t, _ in leaks.find([t for _, t in parts], *scripts, 20, 28, 6 / 7)}
+    assert hits == {k for k, _ in rows}

@@ -37,7 +37,9 @@ from ..session import spread
 ITEM_CHARS = 4_000_000
 #: Characters of text that are searched at once.
 BATCH_CHARS = 3_000_000
-#: Characters of one stretch.
+#: Least overlap of the pieces of a text that is longer than that.
+MARGIN = 20_000
+#: Characters of one stretch of the search.
 STRETCH = 2048
 #: Diagonals in one bin; a page header or some inserted words shift a passage by less.
 DRIFT = 128
@@ -374,20 +376,31 @@ def _chains(word: np.ndarray, place: np.ndarray) -> Iterator[list[tuple[int, int
             yield run
 
 
+def _parts(docs: list[int], texts: list[str], overlap: int) -> Iterator[list[tuple[int, str]]]:
+    """Lists of about ``BATCH_CHARS`` characters. A longer text comes in stretches that overlap by more than a passage can take."""
+    part: list[tuple[int, str]] = []
+    chars = 0
+    for doc, text in zip(docs, texts):
+        step = max(BATCH_CHARS, 2 * overlap)
+        for at in range(0, max(1, len(text) - overlap), step - overlap) if len(text) > step else (0,):
+            piece = text[at : at + step] if len(text) > step else text
+            if part and chars + len(piece) > BATCH_CHARS:
+                yield part
+                part, chars = [], 0
+            part.append((doc, piece))
+            chars += len(piece)
+    if part:
+        yield part
+
+
 def _finder(items: list[tuple[int, str]], min_words: int, min_chars: int, ratio: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scripts = build(items)
+        overlap = max([MARGIN, *(8 * len(text) for _, text in items)])
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) <= BATCH_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                hits = find(texts[at:end], *scripts, min_words, min_chars, ratio)
-                yield pa.RecordBatch.from_arrays([pa.array([docs[at + t] for t, _ in hits], pa.int64()), pa.array([i for _, i in hits], pa.int64())], names=["doc_id", "item_id"])
-                at = end
+            for part in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), overlap):
+                hits = find([text for _, text in part], *scripts, min_words, min_chars, ratio)
+                yield pa.RecordBatch.from_arrays([pa.array([part[t][0] for t, _ in hits], pa.int64()), pa.array([i for _, i in hits], pa.int64())], names=["doc_id", "item_id"])
 
     return run
 
