@@ -36,8 +36,9 @@ def _common(p: argparse.ArgumentParser, overwrite: bool) -> None:
 
 def _scored(p: argparse.ArgumentParser, names: tuple[str, str, str, str, str], n: int) -> None:
     i, j, score, main, rec = names
-    p.add_argument("--col-i", default=i)
-    p.add_argument("--col-j", default=j)
+    flags = ("--item-i", "--item-j", "--item-col", "--itemlist-col") if main == "item" else ("--col-i", "--col-j", "--main-col", "--rec-col")
+    p.add_argument(flags[0], dest="col_i", default=i)
+    p.add_argument(flags[1], dest="col_j", default=j)
     p.add_argument("--score-col", default=score)
     p.add_argument("--collection-delimiter", default=",")
     tasks = p.add_subparsers(dest="task", required=True)
@@ -45,17 +46,17 @@ def _scored(p: argparse.ArgumentParser, names: tuple[str, str, str, str, str], n
     top = tasks.add_parser("topn", help="the best of each")
     top.add_argument("--n", type=int, default=n)
     top.add_argument("--save-score", default="", help="where to keep the similarity, if at all")
-    top.add_argument("--main-col", default=main)
-    top.add_argument("--rec-col", default=rec)
+    top.add_argument(flags[2], dest="main_col", default=main)
+    top.add_argument(flags[3], dest="rec_col", default=rec)
 
 
 def _walked(p: argparse.ArgumentParser, biased: bool) -> None:
     if biased:
-        p.add_argument("-p", type=float, default=1.0)
-        p.add_argument("-q", type=float, default=1.0)
-    p.add_argument("--degree", type=int, default=30)
-    p.add_argument("--num-walks", type=int, default=10)
-    p.add_argument("--walk-length", type=int, default=80)
+        p.add_argument("-p", "--return-param", dest="p", type=float, default=1.0)
+        p.add_argument("-q", "--inout-param", dest="q", type=float, default=1.0)
+    p.add_argument("-d", "--degree", type=int, default=30)
+    p.add_argument("-n", "--num-walks", type=int, default=10)
+    p.add_argument("-l", "--walk-length", type=int, default=80)
     p.add_argument("--directed", type=_flag, default=True)
     p.add_argument("--weighted", type=_flag, default=True)
     p.add_argument("--seed", type=int, default=7)
@@ -87,7 +88,7 @@ def parser() -> argparse.ArgumentParser:
     _scored(cf, ("i", "j", "score", "id", "rec_list"), 20)
     sw = jobs.add_parser("swing", help="Swing similarity")
     _common(sw, False)
-    sw.add_argument("--max-user", type=int, default=800)
+    sw.add_argument("-u", "--max-user", type=int, default=800)
     _scored(sw, ("item_i", "item_j", "score", "item", "item_list"), 100)
     for name, biased in (("node2vec", True), ("deepwalk", False)):
         p = jobs.add_parser(name, help="random walks and vectors")

@@ -39,8 +39,8 @@ def _bought(spark: SparkSession, folder: str) -> DataFrame:
     return interactions(lines, "o_custkey", "l_partkey", "l_quantity", dedupe="sum")
 
 
-def _cosine_sql(left: str, x: str, tail: str = "SELECT i, j, score FROM s") -> str:
-    return f"""WITH {_R}, n AS (SELECT {x} AS x, sqrt(sum(r * r)) AS n FROM r GROUP BY 1),
+def _cosine_sql(left: str, x: str, tail: str = "SELECT i, j, score FROM s", rows: str = _R) -> str:
+    return f"""WITH {rows}, n AS (SELECT {x} AS x, sqrt(sum(r * r)) AS n FROM r GROUP BY 1),
  p AS (SELECT a.{x} AS a, b.{x} AS b, sum(a.r * b.r) AS d FROM r a JOIN r b ON a.{left} = b.{left} AND a.{x} < b.{x} GROUP BY 1, 2),
  h AS (SELECT a, b, round(d / (m.n * n.n), 6) AS score FROM p JOIN n m ON m.x = a JOIN n ON n.x = b WHERE m.n > 0 AND n.n > 0),
  s AS (SELECT CAST(a AS VARCHAR) AS i, CAST(b AS VARCHAR) AS j, score FROM h UNION ALL SELECT CAST(b AS VARCHAR), CAST(a AS VARCHAR), score FROM h)
@@ -115,18 +115,31 @@ def cf_user_topn(spark, folder):
     return _lists(_scores(spark, folder, "user", "cosine"), 20)
 
 
+_SEEN = """r AS (SELECT user_id AS u, item AS i, max(rating) AS r FROM interactions WHERE user_id IS NOT NULL AND item IS NOT NULL AND rating IS NOT NULL AND NOT isnan(rating) GROUP BY 1, 2)"""
+
+
+@_query(_cosine_sql("u", "i", _TOP, _SEEN))
+def cf_interactions_topn(spark, folder):
+    """The 20 most alike items of every item of the raw interactions, by the highest rating of each user."""
+    rows = interactions(_table(spark, folder, "interactions"), "user_id", "item", "rating", dedupe="max")
+    return _lists(similarity.cosine(roles(rows, "item")).select("i", "j", F.round("score", 6).alias("score")), 20)
+
+
 # ---------------------------------------------------------------- Swing
 
 
-def _held_sql(cap: int | None) -> str:
-    plain = """e0 AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"""
+_HELD = "SELECT DISTINCT o_custkey AS u, l_partkey AS i FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
+
+
+def _held_sql(cap: int | None, source: str = _HELD) -> str:
+    plain = f"e0 AS ({source})"
     if cap is None:
         return plain + ", e AS (SELECT * FROM e0)"
     return plain + f""", e AS (SELECT u, i FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY md5(concat_ws('|', '7', CAST(u AS VARCHAR), CAST(i AS VARCHAR))), u) AS k FROM e0) WHERE k <= {cap})"""
 
 
-def _swing_sql(cap: int | None, tail: str) -> str:
-    return f"""WITH {_held_sql(cap)},
+def _swing_sql(cap: int | None, tail: str, source: str = _HELD) -> str:
+    return f"""WITH {_held_sql(cap, source)},
  c AS (SELECT a.u AS ua, b.u AS ub, a.i AS i FROM e a JOIN e b ON a.i = b.i AND a.u < b.u),
  n AS (SELECT ua, ub, count(*) AS n FROM c GROUP BY 1, 2 HAVING count(*) > 1),
  h AS (SELECT x.i AS a, y.i AS b, round(sum(1.0::DOUBLE / (1 + n)), 6) AS score FROM c x JOIN c y ON x.ua = y.ua AND x.ub = y.ub AND x.i < y.i JOIN n ON n.ua = x.ua AND n.ub = x.ub GROUP BY 1, 2),
@@ -168,6 +181,13 @@ def swing_topn(spark, folder):
     return lists.select("id", F.posexplode("rec_list").alias("pos", "rec")).select("id", (F.col("pos") + 1).alias("rank_no"), "rec")
 
 
+@_query(_swing_sql(50, "SELECT * FROM s", "SELECT DISTINCT user_id AS u, item AS i FROM interactions WHERE user_id IS NOT NULL AND item IS NOT NULL"))
+def swing_interactions(spark, folder):
+    """Swing of the raw interactions' items, under a seeded cap of 50 users an item: one item holds a tenth of the rows."""
+    rows = interactions(_table(spark, folder, "interactions"), "user_id", "item", with_rating=False)
+    return swing.swing(rows, 50).select("item_i", "item_j", F.round("score", 6).alias("score"))
+
+
 # ---------------------------------------------------------------- graphs and walks
 
 _EDGES = """t AS (SELECT json_extract_string(props, '$.k') AS k, lead(json_extract_string(props, '$.k')) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
