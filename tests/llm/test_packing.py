@@ -51,3 +51,13 @@ def test_sizes(spark):
 def test_best_fit():
     assert sorted(map(sorted, packing.best_fit([6, 4, 5, 5], 10))) == [[0, 1], [2, 3]]
     assert packing.best_fit([], 10) == []
+
+
+def test_repeated_items(spark):
+    """Two rows of one id are two items; their pieces never meet in a bin too small for both."""
+    sizes = spark.createDataFrame([(1, 25), (1, 25), (1, 7), (2, 10), (2, 10)], "doc bigint, tokens int")
+    rows = packing.pack(sizes, spark.createDataFrame([("s", 10)], "container string, capacity int")).collect()
+    bins = {}
+    for r in rows:
+        bins[r.bin] = bins.get(r.bin, 0) + r.tokens
+    assert sum(bins.values()) == 77 and max(bins.values()) <= 10 and len(rows) == 9 and len(bins) == 8

@@ -33,7 +33,7 @@ NEARLY = 0.98
 #: Most containers that are broadcast.
 MOST_CONTAINERS = 1000
 
-_BIN = "container string, capacity int, part bigint, fill int, docs array<bigint>, pieces array<int>, starts array<int>, tokens array<int>"
+_BIN = "container string, capacity int, part bigint, number int, fill int, docs array<bigint>, pieces array<int>, starts array<int>, tokens array<int>"
 
 
 def _counter(vocabulary: str, split: str):
@@ -90,8 +90,8 @@ def _packer(pdf: pd.DataFrame) -> pd.DataFrame:
     fills = pdf["fill"].to_list()
     bins = best_fit(fills, int(pdf["capacity"].iloc[0]))
     out = {name: pdf[name].iloc[0] for name in ("container", "capacity", "part")}
-    return pd.DataFrame({"fill": [sum(fills[k] for k in b) for b in bins]} | {name: join(name, bins) for name in ("docs", "pieces", "starts", "tokens")}).assign(**out)[
-        ["container", "capacity", "part", "fill", "docs", "pieces", "starts", "tokens"]
+    return pd.DataFrame({"number": np.arange(len(bins), dtype=np.int32), "fill": [sum(fills[k] for k in b) for b in bins]} | {name: join(name, bins) for name in ("docs", "pieces", "starts", "tokens")}).assign(**out)[
+        ["container", "capacity", "part", "number", "fill", "docs", "pieces", "starts", "tokens"]
     ]
 
 
@@ -104,6 +104,8 @@ def pack(sizes: DataFrame, containers: DataFrame, container: str = "container",
     cut only if it alone exceeds the capacity: into full pieces and a rest, each
     a row. The pieces of a bin never exceed its capacity.
 
+    Rows that repeat a ``doc`` are items of their own.
+
     Containers with a NULL name or a capacity that is NULL or below 1 are left
     out; of a name given twice both count if their capacities differ. Without
     items or containers there are no rows. Other columns are never read.
@@ -111,15 +113,15 @@ def pack(sizes: DataFrame, containers: DataFrame, container: str = "container",
     kinds = containers.select(containers[container].alias("container"), containers[capacity].cast("int").alias("capacity")).where("container IS NOT NULL AND capacity > 0").distinct()
     if kinds.count() > MOST_CONTAINERS:
         raise ValueError(f"more than {MOST_CONTAINERS} containers")
-    sizes = cut(sizes)
+    sizes = cut(sizes.select("doc", "tokens", F.monotonically_increasing_id().alias("row")))
     parts = max(1, -(-sizes.count() // part))
     each = sizes.crossJoin(F.broadcast(kinds)).withColumn("whole", F.expr("tokens div capacity"))
     # pieces as large as the container are bins already
-    full = each.where("whole > 0").select("container", "capacity", "doc", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int") - 1)).alias("piece"))
+    full = each.where("whole > 0").select("container", "capacity", "doc", "row", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int") - 1)).alias("piece"))
     rest = each.where("tokens > whole * capacity").select("container", "capacity", "doc", F.col("whole").cast("int").alias("piece"), F.expr("cast(tokens - whole * capacity AS int)").alias("left"))
     done = [
         full.select(
-            "container", F.concat_ws("-", "container", "capacity", F.lit("w"), "doc", "piece").alias("bin"), F.col("doc").alias("doc_id"),
+            "container", F.concat_ws("-", "container", "capacity", F.lit("whole"), "row", "piece").alias("bin"), F.col("doc").alias("doc_id"),
             F.col("piece").alias("piece_no"), (F.col("piece") * F.col("capacity")).alias("start"), F.col("capacity").alias("tokens"),
         )
     ]
@@ -134,9 +136,9 @@ def pack(sizes: DataFrame, containers: DataFrame, container: str = "container",
         most = packed.where(F.col("fill") < nearly * F.col("capacity")).groupBy("container", "capacity").count().agg(F.max("count")).first()[0] or 0
         last = not most or parts == 1 or (before is not None and most > 0.95 * before)
         kept = packed if last else packed.where(F.col("fill") >= nearly * F.col("capacity"))
-        number = F.concat_ws("-", "container", "capacity", F.lit(level), F.col("docs")[0], F.col("pieces")[0])
+        name = F.concat_ws("-", "container", "capacity", F.lit(level), "part", "number")
         row = F.explode(F.arrays_zip("docs", "pieces", "starts", "tokens"))
-        done.append(kept.select("container", number.alias("bin"), row.alias("x")).select("container", "bin", F.col("x.docs").alias("doc_id"), F.col("x.pieces").alias("piece_no"), F.col("x.starts").alias("start"), F.col("x.tokens").alias("tokens")))
+        done.append(kept.select("container", name.alias("bin"), row.alias("x")).select("container", "bin", F.col("x.docs").alias("doc_id"), F.col("x.pieces").alias("piece_no"), F.col("x.starts").alias("start"), F.col("x.tokens").alias("tokens")))
         if last:
             break
         parts = max(1, min(-(-parts // FAN_IN), parts - 1), -(-most // part))
