@@ -71,12 +71,17 @@ _FINAL = re.compile(r"[.!?…。！？؟।॥;;]\s*[\"'”’“»)\]）」』
 _MARK = re.compile(r"[.!?…]+|[。！？؟।॥]+[.!?…。！？؟]*|[;;]")
 _ASCII_MARK = re.compile(r"[.!?][.!?]*")
 _RIGHT = re.compile(r"((?:[\"'”’»)\]）」』】›“]| [»›])*)( *)([„“\"«‘'(\[¿¡「『（【‹•–-]*)( ?)(\w+|\S)?(?:[^\w]{1,2}(\w+))?")
-_THAI_GAP = re.compile(r"(?<=[ก-๛”\"’)])[ \n]+(?=[ก-๏“\"‘(])")
+_THAI_GAP = re.compile(r"(?<=[ก-๛”\"’])[ \n]+(?=[ก-๏“\"‘(])")
 _THAI = re.compile(r"[ก-๛]")
 _LAST = re.compile(r"[^⺀-\uffee]+$|.$")
 _OPENERS = "(„“«‘[¿¡「『（【‹\"'"
 
 
+def _is_thai(prose: str) -> bool:
+    """Whether Thai begins soon; what is Thai at all begins with it, names aside."""
+    return not prose.isascii() and _THAI.search(prose, 0, 200) is not None
+
+
 def _blocks(text: str) -> Iterator[tuple[int, str]]:
     at = 0
     for block in text.split("\n\n"):
@@ -119,7 +124,7 @@ def runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
             in_run = after_page and bool(run) and not _FINAL.search(run[-12:])
             if _SIGNATURE.fullmatch(bare) and not in_run:
                 furniture = True
-            elif before_page or in_run or _THAI.search(bare):
+            elif before_page or in_run or _is_thai(bare):
                 furniture = False
             else:
                 furniture = number is None and len(bare) < 80
@@ -285,7 +290,7 @@ def reliable(texts: list[str]) -> tuple[list[tuple], list[bool]]:
     inner: list[tuple] = []
     for text in texts:
         for run, parts in runs(text):
-            if _THAI.search(run):
+            if _is_thai(run):
                 continue
             heads.append(_first_tokens(run))
             if _FINAL.search(run[-12:]):
@@ -392,7 +397,7 @@ class Splitter:
         out: list[int] = []
         is_boundary = self.is_boundary
         for run, parts in runs(text):
-            thai = _THAI.search(run) is not None
+            thai = _is_thai(run)
             ends = [end for end, x in candidates(run) if is_boundary(x)]
             if thai:
                 ends = sorted({*ends, *(m.start() for m in _THAI_GAP.finditer(run))})
