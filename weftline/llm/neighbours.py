@@ -195,7 +195,7 @@ def nearest(vectors: DataFrame, k: int = 10, candidates: int = CANDIDATES, centr
     own_rows, visits = ({r.block: r["count"] for r in df.groupBy("block").count().collect()} for df in (entries, queries))  # a row per block
 
     def parts(rows: dict[int, int], most: int) -> F.Column:
-        return F.element_at(F.create_map(*(F.lit(x) for b in own_rows for x in (b, -(-rows.get(b, 1) // most)))), F.col("block"))
+        return F.get(F.array(*(F.lit(max(1, -(-rows.get(b, 0) // most))) for b in range(len(c1)))), F.col("block"))  # a constant, read by its index
 
     entry_parts, query_parts = parts(own_rows, piece), parts(visits, 4 * piece)
     here = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
