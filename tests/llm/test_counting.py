@@ -27,11 +27,14 @@ def test_many_ranges(spark, monkeypatch):
     assert got == {f"n{k}": 100 - k for k in range(100)}
 
 
-@pytest.mark.parametrize("chunk, broadcast", [(256, 100_000), (4, 100_000), (4, 0), (1, 0)])
-def test_pairs(spark, monkeypatch, chunk, broadcast):
+@pytest.mark.parametrize("chunk, broadcast, apart", [(256, 100_000, 1), (4, 100_000, 1), (4, 0, 1), (1, 0, 1), (4, 0, 2**40)])
+def test_pairs(spark, monkeypatch, chunk, broadcast, apart):
+    """``apart``: items so far apart that two don't fit one number."""
     monkeypatch.setattr(cooccur, "BROADCAST_BASKETS", broadcast)
+    monkeypatch.setattr(cooccur, "BROADCAST_ITEMS", broadcast)
     rng = random.Random(5)
     rows = [(f"u{rng.randrange(12)}", rng.randrange(30)) for _ in range(150)] + [("big", k) for k in range(40)] + [(None, 1), ("u1", None), ("alone", 77)]
+    rows = [(u, i if i is None else (i - 3) * apart) for u, i in rows]
     df = spark.createDataFrame(rows + rows[:40], "user string, item bigint").selectExpr("*", "1 AS b", "2 AS x", "3 AS n")
     held = {(u, i) for u, i in rows if u is not None and i is not None}
     baskets = {}

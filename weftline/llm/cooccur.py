@@ -18,6 +18,8 @@ from ..session import cut
 CHUNK = 256
 #: At most so many huge baskets are broadcast, by their names alone; their number is counted first.
 BROADCAST_BASKETS = 100_000
+#: At most so many items that no pair can hold are broadcast, a few MB; their number is counted first.
+BROADCAST_ITEMS = 200_000
 
 
 def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
@@ -25,6 +27,14 @@ def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
     return df.select(df[basket].alias("b"), df[item].cast("bigint").alias("x")).where("b IS NOT NULL AND x IS NOT NULL").distinct()
 
 
+def _fitting(held: DataFrame, per_item: DataFrame, fit: DataFrame) -> DataFrame:
+    """The rows of ``held`` whose item is in ``fit``. Few unfit items are counted and broadcast; else the rows are shuffled by item."""
+    unfit = cut(per_item.select("x").join(fit.select("x"), "x", "left_anti"))
+    if unfit.count() <= BROADCAST_ITEMS:
+        return held.join(F.broadcast(unfit), "x", "left_anti")
+    return held.join(fit.select("x"), "x", "left_semi")
+
+
 def _pairs(held: DataFrame, sizes: DataFrame, chunk: int) -> DataFrame:
     """Every unordered pair of every basket, as ``i`` < ``j``; ``held`` is distinct (b, x), ``sizes`` has ``n`` >= the rows of each b."""
     # The basket's chunks: items are dealt out by hash, so that huge baskets never pass through one task whole.
@@ -59,11 +69,17 @@ def associations(df: DataFrame, basket: str, item: str, min_pairs: int = 1, min_
     tables and baskets of one item give no pairs.
     """
     held = cut(baskets(df, basket, item))
-    per_item = held.groupBy("x").agg(F.count(F.lit(1)).alias("n_x"))
+    per_item = cut(held.groupBy("x").agg(F.count(F.lit(1)).alias("n_x")))
     total = held.select("b").distinct().agg(F.count(F.lit(1)).alias("n"))
     fit = per_item.crossJoin(F.broadcast(total)).where((F.col("n_x") >= min_pairs) & (F.col("n_x") * min_lift <= F.col("n")))
-    pairs = _pairs(held.join(fit.select("x"), "x", "left_semi"), held.groupBy("b").agg(F.count(F.lit(1)).alias("n")), chunk)
-    counted = pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n_ij")).where(F.col("n_ij") >= min_pairs)
+    pairs = _pairs(_fitting(held, per_item, fit), held.groupBy("b").agg(F.count(F.lit(1)).alias("n")), chunk)
+    least, most = per_item.agg(F.min("x"), F.max("x")).first()
+    if least is not None and most - least < 2**31:  # two items fit one number: less to shuffle and to hash
+        packed = pairs.select((F.shiftleft(F.col("i") - least, 32) + F.col("j") - least).alias("ij")).groupBy("ij").agg(F.count(F.lit(1)).alias("n_ij"))
+        counted = packed.select((F.shiftright("ij", 32) + least).alias("i"), (F.col("ij").bitwiseAND(2**32 - 1) + least).alias("j"), "n_ij")
+    else:
+        counted = pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n_ij"))
+    counted = counted.where(F.col("n_ij") >= min_pairs)
     scored = counted.join(fit.select(F.col("x").alias("i"), F.col("n_x").alias("n_i"), "n"), "i").join(fit.select(F.col("x").alias("j"), F.col("n_x").alias("n_j")), "j")
     lift = F.col("n_ij").cast("double") * F.col("n") / (F.col("n_i").cast("double") * F.col("n_j"))
     return scored.where(F.col("n_ij") * F.col("n") >= F.col("n_i") * F.col("n_j") * min_lift).select("i", "j", "n_i", "n_j", "n_ij", "n", lift.alias("lift"), F.log(lift).alias("pmi"))
