@@ -12,6 +12,7 @@ group: at the end at most N rows of a group are left to rank.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,11 +30,15 @@ BROADCAST_GROUPS = 200_000
 _LOWEST = -(2**63)
 
 
+def code_of(scores: np.ndarray) -> np.ndarray:
+    """The bits of doubles, with all but the sign turned over below zero: they order like the doubles themselves."""
+    bits = (scores.astype("float64") + 0.0).view("int64")  # + 0.0: -0.0 and 0.0 are one score
+    return bits ^ ((bits >> 63) & 0x7FFFFFFFFFFFFFFF)
+
+
 @F.pandas_udf(LongType())
 def _code(score: pd.Series) -> pd.Series:
-    """The bits of a double, with all but the sign turned over below zero: orders like the double itself."""
-    bits = (score.to_numpy(dtype="float64") + 0.0).view("int64")  # + 0.0: -0.0 and 0.0 are one score
-    return pd.Series(bits ^ ((bits >> 63) & 0x7FFFFFFFFFFFFFFF))
+    return pd.Series(code_of(score.to_numpy()))
 
 
 def _bounded(rows: DataFrame, bounds: DataFrame, groups: int, limit: int) -> DataFrame:
