@@ -2,14 +2,13 @@
 
 Both matrices (input and output vectors) of a bounded vocabulary are sent to the
 tasks once an epoch. A task trains on its share of the pairs and returns only
-the rows that it touched; rows are averaged over the tasks that touched them.
-Shares, order and draws are seeded by values, so a task that runs again returns
-the same.
+the rows that it touched; rows are averaged, again in tasks, over the shares that
+touched them. Shares, order and draws are seeded by values, so a task that runs
+again returns the same.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,8 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import average
 
-#: Numbers in one matrix, at most; beyond, train with Spark's Word2Vec.
-MOST_NUMBERS = 40_000_000
+#: Numbers in one matrix, at most, 80 MB; beyond, train with Spark's Word2Vec.
+MOST_NUMBERS = 10_000_000
+#: Pairs in a share, at most on average: more pairs are more shares.
+SHARE_PAIRS = 2_000_000
 LOSSES = ("sampled_softmax", "nce")
 
 
@@ -67,11 +68,20 @@ def _trainer(inputs: np.ndarray, outputs: np.ndarray, batch: int, n_sampled: int
         values = [_batch(a, b, centre[k : k + batch], target[k : k + batch], n_sampled, loss, rate, rng) for k in range(0, len(centre), batch)]
         rows = [(0, k, a[k]) for k in np.flatnonzero((a != inputs).any(1))] + [(1, k, b[k]) for k in np.flatnonzero((b != outputs).any(1))]
         rows.append((2, -1, np.array([np.mean(values)])))
-        return pd.DataFrame(rows, columns=["side", "ix", "v"])
+        return pd.DataFrame(rows, columns=["side", "ix", "v"]).assign(share=share)[["side", "ix", "share", "v"]]
 
     return run
 
 
+def _averages(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Mean vector of each row over the shares that touched it."""
+    pdf = pdf.sort_values(["ix", "share"], ignore_index=True)
+    values = np.stack(pdf["v"].to_numpy())
+    first = np.flatnonzero(np.append(True, np.diff(pdf["ix"].to_numpy()) != 0))
+    means = np.add.reduceat(values, first, axis=0) / np.diff(np.append(first, len(pdf)))[:, None]
+    return pd.DataFrame({"side": pdf["side"].iloc[0], "ix": pdf["ix"].to_numpy()[first], "v": list(means)})
+
+
 def train(
     pairs: DataFrame, vocab: DataFrame, dim: int = 128, epochs: int = 10, batch: int = 128, n_sampled: int = 10, loss: str = "sampled_softmax", rate: float = 0.05, shares: int = 8, seed: int = 7
 ) -> tuple[DataFrame, DataFrame]:
@@ -92,23 +102,22 @@ def train(
         raise ValueError(f"{items} items of {dim} numbers: too many to send to every task; use operators.embedding.train")
     rng = np.random.default_rng(seed)
     inputs, outputs = rng.uniform(-1, 1, (items, dim)) / np.sqrt(dim), np.zeros((items, dim))
-    shared = pairs.select("seq_id", "pos", "centre", "target", F.pmod(F.xxhash64("seq_id"), F.lit(shares)).alias("share")).persist()
+    shares = max(shares, -(-pairs.count() // SHARE_PAIRS))
+    shared = pairs.select("seq_id", "pos", "centre", "target", F.pmod(F.xxhash64("seq_id", "pos"), F.lit(shares)).alias("share")).persist()
     losses = []
     for epoch in range(epochs):
-        made = shared.groupBy("share").applyInPandas(_trainer(inputs, outputs, batch, n_sampled, loss, rate, seed + 1000 * epoch), "side int, ix bigint, v array<double>")
-        # at most one row per item, side and share comes back
-        sums, counts, values = (np.zeros_like(inputs), np.zeros_like(outputs)), (np.zeros(items), np.zeros(items)), []
-        for r in sorted(made.collect(), key=lambda r: (r.side, r.ix, r.v)):
+        trainer = _trainer(inputs, outputs, batch, n_sampled, loss, rate, seed + 1000 * epoch)
+        made = shared.groupBy("share").applyInPandas(trainer, "side int, ix bigint, share int, v array<double>")
+        means = made.groupBy("side", F.pmod("ix", F.lit(256)).alias("part")).applyInPandas(_averages, "side int, ix bigint, v array<double>")
+        value = None
+        for r in means.collect():  # at most a row for each item and side
             if r.side == 2:
-                values.append(r.v[0])
+                value = r.v[0]
             else:
-                sums[r.side][r.ix] += r.v
-                counts[r.side][r.ix] += 1
-        if not values:
+                (inputs, outputs)[r.side][r.ix] = r.v
+        if value is None:
             break
-        for matrix, total, n in zip((inputs, outputs), sums, counts):
-            matrix[n > 0] = total[n > 0] / n[n > 0, None]
-        losses.append((epoch, float(np.mean(values))))
+        losses.append((epoch, float(value)))
     shared.unpersist()
     rows = [(k, [float(x) for x in inputs[k]], [float(x) for x in outputs[k]]) for k in range(1, items)]
     vectors = spark.createDataFrame(rows, "ix bigint, embed array<float>, softmax array<float>")
