@@ -334,7 +334,7 @@ def reliable(texts: list[str]) -> tuple[list[tuple], list[bool]]:
             add(x, True)
         elif mark[0] in "?!;" and not quote and nk[0] in "UA":
             add(x, True)
-        elif not gap and mark == "." and (len(prev) < 3 or len(token) < 2 or "." in prev or nk[0] == "d"):
+        elif not gap and mark == "." and (len(prev) < 3 or "." in prev or nk[0] == "d"):
             add(x, False)
         elif mark == "." and not closers and (low in ABBREVIATIONS or pk in ("U1", "l1")) and not starts:
             add(x, False)
