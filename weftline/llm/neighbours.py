@@ -30,8 +30,10 @@ from ..session import cut, spread
 FIT_ROWS = 20_000
 #: Entries whose cells a query walks through before it stops.
 CANDIDATES = 3000
-#: Entries in one piece of a block.
+#: Entries in one piece of a block; queries come in pieces of twice as many.
 PIECE = 4096
+#: Queries whose walks are held at once.
+VISIT_ROWS = 1000
 
 
 def clean_vectors(df: DataFrame, key: str, vector: str, version: str | None, dim: int) -> DataFrame:
@@ -119,20 +121,20 @@ def _visitor(c1: np.ndarray, c2: np.ndarray, sizes: array, wanted: int):
     half, k2 = c1.shape[1], len(c2)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            x = np.stack(batch["v"].to_numpy()).astype(np.float32)
-            d1, d2 = _distances(x[:, :half], c1), _distances(x[:, half:], c2)
-            rows, blocks, seconds = [], [], []
-            for r in range(len(x)):
-                by_block: dict[int, list[int]] = {}
-                for cell in _walk(d1[r], d2[r], sizes, k2, wanted):
-                    by_block.setdefault(cell // k2, []).append(cell % k2)
-                rows += [r] * len(by_block)
-                blocks += by_block
-                seconds += by_block.values()
-            yield pd.DataFrame({"id": batch["id"].to_numpy()[rows], "v": batch["v"].to_numpy()[rows], "block": np.array(blocks, dtype=np.int32), "seconds": seconds})
+        for whole in batches:
+            for at in range(0, len(whole), VISIT_ROWS):
+                batch = whole.iloc[at : at + VISIT_ROWS]
+                x = np.stack(batch["v"].to_numpy()).astype(np.float32)
+                d1, d2 = _distances(x[:, :half], c1), _distances(x[:, half:], c2)
+                rows, blocks, seconds = [], [], []
+                for r in range(len(x)):
+                    by_block: dict[int, list[int]] = {}
+                    for cell in _walk(d1[r], d2[r], sizes, k2, wanted):
+                        by_block.setdefault(cell // k2, []).append(cell % k2)
+                    rows += [r] * len(by_block)
+                    blocks += by_block
+                    seconds += by_block.values()
+                yield pd.DataFrame({"id": batch["id"].to_numpy()[rows], "v": batch["v"].to_numpy()[rows], "block": np.array(blocks, dtype=np.int32), "seconds": seconds})
 
     return run
 
@@ -197,7 +199,7 @@ def nearest(vectors: DataFrame, k: int = 10, candidates: int = CANDIDATES, centr
     def parts(rows: dict[int, int], most: int) -> F.Column:
         return F.get(F.array(*(F.lit(max(1, -(-rows.get(b, 0) // most))) for b in range(len(c1)))), F.col("block"))  # a constant, read by its index
 
-    entry_parts, query_parts = parts(own_rows, piece), parts(visits, 4 * piece)
+    entry_parts, query_parts = parts(own_rows, piece), parts(visits, 2 * piece)
     here = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     sent = queries.withColumn("query_part", here(query_parts)).withColumn("entry_part", every(entry_parts))
