@@ -47,3 +47,20 @@ def test_small_inputs(spark):
     assert neighbours.nearest(one).count() == 0
     two = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0])], "key string, v array<float>")
     assert {(r.a, r.b, r.rank_no) for r in neighbours.nearest(two).collect()} == {("a", "b", 1), ("b", "a", 1)}
+
+
+def test_all_neighbours_are_found_beyond_any_cap(spark):
+    """Unless candidates are asked for, the result is the exact one, whatever the number of rows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(9000, 16)).astype(np.float32)
+    x[5000:] = x[0] + 0.5 * x[5000:]  # one dense region of more than 3,000 rows
+    df = spark.createDataFrame([(f"n{k:04d}", v.tolist(), 0, "", 0) for k, v in enumerate(x)], SCHEMA)
+    near = neighbours.nearest(neighbours.clean_vectors(df, "node", "embedding", "loaded_at", 16), 10).toPandas()
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    cosine = u @ u.T
+    np.fill_diagonal(cosine, -2)
+    best = np.sort(np.partition(cosine, -10, axis=1)[:, -10:], axis=1)[:, ::-1]
+    assert len(near) == 90_000 and not near.duplicated(["a", "b"]).any() and (near.a != near.b).all()
+    got = np.zeros((9000, 10))
+    got[near.a.str[1:].astype(int), near.rank_no - 1] = near.cosine
+    assert np.abs(got - best).max() < 1e-5

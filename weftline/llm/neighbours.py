@@ -1,6 +1,11 @@
-"""Most similar vectors for every vector: an inverted multi-index.
+"""Most similar vectors for every vector: exact, or by an inverted multi-index.
 
-Vectors are scaled to unit length and cut into two halves. Each half is
+Vectors are scaled to unit length. Unless a number of candidates is given, every
+vector meets every other: the vectors as queries are dealt out over parts by
+hash, all vectors stream past each part, and only those that may be among a
+query's best are looked at again. The work grows as the rows squared.
+
+The index is for whoever asks for it by a number of candidates. Vectors are cut into two halves. Each half is
 quantised by its own k-means; a vector lies in the cell of its two centroids.
 A query walks the cells by growing summed distance of its halves to the cell's
 centroids, popping them off a heap, until the cells hold enough entries, and
@@ -21,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +34,10 @@ from ..session import cut, spread
 
 #: Both codebooks are fitted on at most this many vectors, those of least hash.
 FIT_ROWS = 20_000
-#: Entries whose cells a query walks through before it stops.
-CANDIDATES = 3000
+#: Queries in one part of the exact way: no more than ``MOST_QUERIES``, and no fewer than ``LEAST_QUERIES`` only to give every task a part.
+MOST_QUERIES, LEAST_QUERIES = 65_536, 4096
+#: What a cosine of single precision may be off by.
+MARGIN = 1e-5
 #: Entries in one piece of a block; queries come in pieces of twice as many.
 PIECE = 4096
 #: Queries whose walks are held at once.
@@ -78,7 +86,7 @@ def fit_codebooks(vectors: DataFrame, centroids: int, fit_rows: int = FIT_ROWS,
 
 
 def centroid_count(rows: int) -> int:
-    """A power of two near the cube root of the rows: cells hold about as many entries at every size."""
+    """A power of two near the cube root of the rows, so that the entries in a cell grow as the cube root too."""
     return int(2 ** np.clip(round(np.log2(max(rows, 1)) / 3 + 0.3), 3, 12))
 
 
@@ -170,23 +178,101 @@ def _reranker(k: int, step: int = 512):
     return run
 
 
-def nearest(vectors: DataFrame, k: int = 10, candidates: int = CANDIDATES, centroids: int | None = None, piece: int = PIECE, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The ``k`` most similar other keys of every key by cosine.
+def _matrix(v: pa.Array) -> np.ndarray:
+    flat = np.frombuffer(b"".join(v.to_pylist()), dtype=np.float32)
+    return flat.reshape(len(v), -1)
 
-    ``vectors`` is what :func:`clean_vectors` gives. Returns ``a``, ``b``,
-    ``cosine`` and ``rank_no`` (by cosine descending, then ``b``; of different
-    vectors that tie for the last place any may stay). Keys with
-    equal vectors are neighbours of each other like any others. Approximate: a
-    neighbour outside the walked cells is missed (recall against brute force is
-    in the README). Fewer than ``k`` other keys give fewer rows; an empty table
-    gives none.
-    """
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id`` and the vector as bytes of single precision."""
+    for batch in batches:
+        vectors = [np.asarray(v, dtype=np.float32).tobytes() for v in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary())], names=["id", "v"])
+
+
+class _Best:
+    """The best ``k`` entries so far of each query of a part."""
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
+        self.ids, self.q, self.k = ids, q, k
+        self.cosine, self.other = np.full((len(ids), k), -2.0), np.zeros((len(ids), k), dtype=np.int64)
+
+    def meet(self, ids: np.ndarray, e: np.ndarray, step: int = 512) -> None:
+        for at in range(0, len(self.ids), step):
+            q, own = self.q[at : at + step], self.ids[at : at + step]
+            best, other = self.cosine[at : at + step], self.other[at : at + step]
+            near = q @ e.T
+            floor = best[:, -1]
+            if floor.min() < -1.5 and len(ids) > self.k + 1:  # not full yet; one more than k, as a query may meet itself
+                floor = np.maximum(floor, np.partition(near, len(ids) - self.k - 1, axis=1)[:, len(ids) - self.k - 1] - MARGIN)
+            rows, cols = np.divmod(np.flatnonzero(near >= (floor - MARGIN).astype(np.float32)[:, None]), len(ids))
+            other_than_self = own[rows] != ids[cols]
+            rows, cols = rows[other_than_self], cols[other_than_self]
+            if not len(rows):
+                continue
+            exact = np.einsum("ij,ij->i", q[rows].astype(np.float64), e[cols].astype(np.float64))
+            hit = np.unique(rows)
+            row = np.concatenate([np.repeat(hit, self.k), rows])
+            cosine, b = np.concatenate([best[hit].ravel(), exact]), np.concatenate([other[hit].ravel(), ids[cols]])
+            order = np.lexsort((b, -cosine, row))
+            begins = np.searchsorted(row[order], hit)
+            kept = order[begins[:, None] + np.arange(self.k)]
+            best[hit], other[hit] = cosine[kept], b[kept]
+
+    def rows(self) -> pa.RecordBatch:
+        there = self.cosine > -1.5
+        a = np.repeat(self.ids, there.sum(1))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(self.other[there]), pa.array(self.cosine[there])], names=["a", "b", "cosine"])
+
+
+def _meeting(k: int, step: int = 4096):
+    """Over rows of ``part``, ``entry``, ``id``, ``v`` in that order: each part's queries, then all entries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, ids, vectors, best = None, [], [], None
+        for batch in batches:
+            parts, entry, id_ = (batch.column(c).to_numpy() for c in range(3))
+            x = _matrix(batch.column(3))
+            new = np.flatnonzero((parts[1:] != parts[:-1]) | (entry[1:] != entry[:-1])) + 1
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(parts)]):
+                if hi == lo:
+                    continue
+                if parts[lo] != part:
+                    if best:
+                        yield best.rows()
+                    part, ids, vectors, best = parts[lo], [], [], None
+                if not entry[lo]:
+                    ids.append(id_[lo:hi])
+                    vectors.append(x[lo:hi])
+                    continue
+                if best is None:
+                    if not ids:  # a part without queries
+                        continue
+                    best = _Best(np.concatenate(ids), np.concatenate(vectors), k)
+                for at in range(lo, hi, step):
+                    best.meet(id_[at : min(at + step, hi)], x[at : min(at + step, hi)])
+        if best:
+            yield best.rows()
+
+    return run
+
+
+def _met(vectors: DataFrame, count: int, k: int) -> DataFrame:
+    """``a``, ``b``, ``cosine``: the ``k`` nearest of every ``id``, each compared with all others."""
     spark = vectors.sparkSession
-    held, classes = _classes(vectors)
-    count = classes.count()
-    if not count:
-        return spark.createDataFrame([], "a string, b string, cosine double, rank_no int")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    parts = max(-(-count // MOST_QUERIES), min(tasks, -(-count // LEAST_QUERIES)))
+    held = cut(spread(vectors).mapInArrow(_packed, "id bigint, v binary"))
+    queries = held.select(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("entry"), "id", "v")
+    entries = held.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("entry"), "id", "v")
+    dealt = queries.union(entries).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "entry")
+    return dealt.mapInArrow(_meeting(k), "a bigint, b bigint, cosine double")
+
+
+def _walked(classes: DataFrame, count: int, k: int, candidates: int, centroids: int | None, piece: int, fit_rows: int) -> DataFrame:
+    """``a``, ``b``, ``cosine``: of every ``id``, at least its ``k`` nearest of each piece of the index that it visits."""
     c1, c2 = fit_codebooks(classes.select(F.col("id").alias("key"), "v"), centroids or centroid_count(count), fit_rows)
+    spark = classes.sparkSession
     vectors = spread(classes.select("id", "v"))
     entries = cut(vectors.mapInPandas(_coder(c1, c2), "id bigint, v array<float>, block int, second int"))
     # a row per occupied cell: at most centroids ** 2
@@ -207,8 +293,32 @@ def nearest(vectors: DataFrame, k: int = 10, candidates: int = CANDIDATES, centr
     key = ("block", "entry_part", "query_part")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)  # set, as few bytes can be much work
     sent, dealt = sent.repartition(tasks, *key), dealt.repartition(tasks, *key)
-    met = sent.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(_reranker(k), "a bigint, b bigint, cosine double")
-    near = met.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))).where(F.col("place") <= k)
+    return sent.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(_reranker(k), "a bigint, b bigint, cosine double")
+
+
+def nearest(vectors: DataFrame, k: int = 10, candidates: int | None = None, centroids: int | None = None, piece: int = PIECE, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The ``k`` most similar other keys of every key by cosine.
+
+    ``vectors`` is what :func:`clean_vectors` gives. Returns ``a``, ``b``,
+    ``cosine`` and ``rank_no`` (by cosine descending, then ``b``; of different
+    vectors that tie for the last place any may stay). Keys with
+    equal vectors are neighbours of each other like any others. Exact, every
+    vector is compared with every other, unless ``candidates`` is given: then a
+    query walks cells of the index until they hold so many entries, and a
+    neighbour outside them is missed; the other parameters concern the index
+    only. Fewer than ``k`` other keys give fewer rows; an empty table
+    gives none.
+    """
+    spark = vectors.sparkSession
+    held, classes = _classes(vectors)
+    count = classes.count()
+    if not count:
+        return spark.createDataFrame([], "a string, b string, cosine double, rank_no int")
+    if candidates is None:
+        near = _met(classes.select("id", "v"), count, k)
+    else:
+        met = _walked(classes, count, k, candidates, centroids, piece, fit_rows)
+        near = met.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))).where(F.col("place") <= k)
     # no key needs more than the first k + 1 members of a class, by key
     member = F.row_number().over(Window.partitionBy("id").orderBy("key"))
     first = held.withColumn("member", member).where(F.col("member") <= k + 1).groupBy("id").agg(F.collect_list("key").alias("others"))
