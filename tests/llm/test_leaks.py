@@ -3,6 +3,7 @@
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 
 from weftline.llm import leaks
@@ -106,3 +107,26 @@ def test_pieces_of_long_texts(spark, monkeypatch):
     scripts = leaks.build([(1, ITEM)])
     hits = {parts[t][0] for t, _ in leaks.find([t for _, t in parts], *scripts, 20, 28, 6 / 7)}
     assert hits == {k for k, _ in rows}
+
+
+def test_longer_passages_whose_alterations_lie_close():
+    """28 words with four altered in the middle: every run of 20 holds 16 only, the passage holds 24."""
+    there = np.zeros(60, dtype=np.int32)
+    there[10:38] = 1
+    there[22:26] = 0
+    assert leaks.carries(there, np.ones(60), 20, 6 / 7, leaks.RUN)
+    there[21] = 0
+    assert not leaks.carries(there, np.ones(60), 20, 6 / 7, leaks.RUN)
+
+
+def test_every_run_is_tried():
+    """The run of greatest count and share lies in a thin stretch; another, of fewer words, in a dense one."""
+    there, weights = np.zeros(80, dtype=np.int32), np.ones(80)
+    there[0:20] = 1
+    there[[3, 10]] = 0
+    weights[[3, 10]] = 2.0  # 18 of 22: neither enough weight nor, with what follows, dense
+    there[22:34:3] = 1
+    there[50:70] = 1
+    there[[55, 60, 65]] = 0
+    weights[[55, 60, 65]] = 1.3  # 17 of 20.9, in a stretch that is dense all along
+    assert leaks.carries(there, weights, 20, 6 / 7, leaks.RUN)

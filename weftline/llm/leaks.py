@@ -267,26 +267,37 @@ def _present(words: list[bytes], anchors: list[tuple[int, int]], near: bytes, le
 
 
 def carries(there: np.ndarray, weights: np.ndarray, size: int, ratio: float, run: float) -> bool:
-    """Whether a run of ``size`` words is there but for 1 - ``ratio`` of them.
+    """Whether a run of ``size`` words or more is there but for 1 - ``ratio`` of them.
 
-    Items built on one pattern share their common words. So the best such run
-    must hold ``ENOUGH`` of its weight; or else ``SHARE`` of it, and of the
-    stretch in which the item goes on around it (while no ``LOST`` words in a
-    row are missing) the share ``run``: common wording thins out over a long
-    stretch, a passage ends where it ends.
+    Items built on one pattern share their common words. So such a run must hold
+    ``ENOUGH`` of its weight; or else ``SHARE`` of it, and of the stretch in
+    which the item goes on around it (while no ``LOST`` words in a row are
+    missing) the share ``run``: common wording thins out over a long stretch, a
+    passage ends where it ends. Every run of every length is tried.
     """
-    if len(there) < size:
+    n = len(there)
+    if n < size or there.sum() < np.floor(ratio * size):
         return False
     sums, held, whole = (np.concatenate([[0], np.cumsum(x)]) for x in (there, there * weights, weights))
-    count, share = sums[size:] - sums[:-size], (held[size:] - held[:-size]) / np.maximum(whole[size:] - whole[:-size], 1e-9)
-    best = int(np.argmax(count + share))
-    if count[best] < np.floor(ratio * size) or share[best] < SHARE:
-        return False
-    if share[best] >= ENOUGH:
-        return True
     at = np.flatnonzero(there)
-    inside = np.flatnonzero((at >= best) & (at < best + size))
-    first, last = inside[0], inside[-1]
+    most = length = size
+    # a run twice as long as one falls into two, of which one has enough words if it has
+    while length <= min(n, 2 * most):
+        fit = np.flatnonzero(sums[length:] - sums[:-length] >= np.floor(ratio * length))
+        if len(fit):
+            most = length + 1
+            share = (held[fit + length] - held[fit]) / np.maximum(whole[fit + length] - whole[fit], 1e-9)
+            if (share >= ENOUGH).any():
+                return True
+            if any(_dense(at, begin, begin + length, run) for begin in fit[share >= SHARE].tolist()):
+                return True
+        length += 1
+    return False
+
+
+def _dense(at: np.ndarray, begin: int, end: int, run: float) -> bool:
+    """Whether the stretch around a run, words ``begin`` to ``end``, holds the share ``run`` of its words; ``at``: those that are there."""
+    first, last = np.searchsorted(at, begin), np.searchsorted(at, end) - 1
     while first and at[first] - at[first - 1] <= LOST:
         first -= 1
     while last + 1 < len(at) and at[last + 1] - at[last] <= LOST:
