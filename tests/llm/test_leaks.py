@@ -130,3 +130,26 @@ def test_every_run_is_tried():
     there[[55, 60, 65]] = 0
     weights[[55, 60, 65]] = 1.3  # 17 of 20.9, in a stretch that is dense all along
     assert leaks.carries(there, weights, 20, 6 / 7, leaks.RUN)
+
+
+def test_other_scripts():
+    """Items in scripts other than Latin are told apart by their letters, not by the lengths of their words."""
+    rng = random.Random(6)
+    makers = {name: [chr(c) for c in range(lo, hi) if chr(c).isalpha()] for name, lo, hi in (("greek", 0x3B1, 0x3CA), ("cyrillic", 0x430, 0x450), ("arabic", 0x627, 0x64B), ("hindi", 0x915, 0x93A))}
+    items, texts, wanted = [], [], set()
+    for k, letters in enumerate(makers.values()):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(40)]
+        lengths = ["".join(rng.choice(letters) for _ in w) for w in words]  # other words, equally long
+        items.append((k, " ".join(words)))
+        texts += [NOISE + " ".join(words[8:32]) + ". " + NOISE, " ".join(lengths)]
+        wanted.add((2 * k, k))
+    items.append((9, "le bœuf et la sœur du chœur " + ITEM))
+    texts.append("LE BOEUF ET LA SOEUR DU CHOEUR " + ITEM)
+    wanted.add((8, 9))
+    thai = "".join(chr(rng.randint(0xE01, 0xE2E)) for _ in range(60))
+    items.append((10, thai))
+    texts.append(NOISE + thai[8:40] + NOISE)
+    wanted.add((9, 10))
+    batch = leaks.pa.RecordBatch.from_arrays([leaks.pa.array(range(len(texts)), leaks.pa.int64()), leaks.pa.array(texts)], names=["doc", "text"])
+    got = {(r["doc_id"], r["item_id"]) for out in leaks._finder(items, 20, 28, 6 / 7)(iter([batch])) for r in out.to_pylist()}
+    assert got == wanted

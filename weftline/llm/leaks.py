@@ -10,7 +10,9 @@ Search: a table tells for every block of ``B`` characters how far the nearest
 pattern's end can be; the search reads the block at its position, skips that
 far, and only where the skip is 0 looks the window up among the sorted patterns,
 packed losslessly into one integer each. Many stretches of a batch of texts
-advance at once, one array operation for all.
+advance at once, one array operation for all. Items that hold letters other than
+a to z and 0 to 9 (Greek, Cyrillic, Arabic, Thai ...) are compared by code points;
+their windows are hashed to 64 bits, and the alignment sorts out what collides.
 
 Matches of one item on nearby diagonals of one text are candidates. Each is
 aligned word by word, and counts if some run of ``min_words`` words of the item
@@ -51,11 +53,13 @@ RUN, RUN_BLANKLESS, LOST = 0.82, 0.84, 3
 
 _TABLE = 0x30000
 _OTHER, _MANY, _END = 37, 255, 254
+_LIGATURES = {"œ": "oe", "æ": "ae"}  # which have no compatibility form
 
 
 def _fold(char: str) -> str:
     """The letters and digits that a character stands for."""
-    return "".join(c for c in unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", char).casefold()) if c.isalnum())
+    folded = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", char).casefold())
+    return "".join(_LIGATURES.get(c, c) for c in folded if c.isalnum())
 
 
 def _letter(char: str) -> int:
@@ -109,7 +113,7 @@ class Script:
 
     length: int  # of a pattern
     block: int  # B
-    base: int  # of the packed window
+    base: int  # of the packed window; for letters of any script, of a hash that wraps around
     run: float
     words: list = field(default_factory=list)  # by item: its words, as bytes of small codes or as strings
     starts: list = field(default_factory=list)  # by item: where each word begins in the item's stream
@@ -197,7 +201,15 @@ def _is_blankless(points: np.ndarray) -> bool:
 
 
 def _blankless(points: np.ndarray) -> np.ndarray:
-    return (points >= 0x3040) & (points < 0xA000) | (points >= 0x20000)
+    """Letters of Chinese and Japanese, and of Thai, Lao, Burmese and Khmer."""
+    southeast = (points >= 0x0E00) & (points < 0x0F00) | (points >= 0x1000) & (points < 0x10A0) | (points >= 0x1780) & (points < 0x1800)
+    return (points >= 0x3040) & (points < 0xA000) | (points >= 0x20000) | southeast
+
+
+def _is_foreign(text: str) -> bool:
+    """Whether a text with blanks between words holds letters that share a small code."""
+    codes, points, _ = _stream([text])
+    return not _is_blankless(points[:-1]) and bool((codes == _OTHER).any())
 
 
 def build(items: list[tuple[int, str]]) -> tuple[Script, Script]:
@@ -214,7 +226,7 @@ def build(items: list[tuple[int, str]]) -> tuple[Script, Script]:
             blankless.starts.append(np.arange(len(points)))
             streams[1].append(points.astype(np.int64))
             continue
-        words = [w for w in (_stream([x])[0][:-1].tobytes() for x in re.split(r"[\W_]+", text)) if w]
+        words = [w for w in (_stream([x])[0][:-1].tobytes() for x in _split(text)) if w]
         spaced.ids.append(item)
         spaced.words.append(words)
         spaced.starts.append(np.cumsum([0, *map(len, words)])[:-1])
@@ -224,6 +236,24 @@ def build(items: list[tuple[int, str]]) -> tuple[Script, Script]:
     return spaced, blankless
 
 
+def build_foreign(items: list[tuple[int, str]]) -> Script:
+    """The patterns of items with blanks between words and letters of any script."""
+    foreign, streams = Script(12, 2, 0x9E3779B1, RUN), []
+    for item, text in items:
+        words = [w for w in ("".join(map(chr, _stream([x])[1][:-1].tolist())) for x in _split(text)) if w]
+        foreign.ids.append(item)
+        foreign.words.append(words)
+        foreign.starts.append(np.cumsum([0, *map(len, words)])[:-1])
+        streams.append(_stream([text])[1][:-1].astype(np.int64))
+    foreign.build(streams)
+    return foreign
+
+
+def _split(text: str) -> list[str]:
+    """The words; what is dropped from the stream inside a word, such as a vowel sign, doesn't part it."""
+    return re.split(r"[\W_]+", "".join(c for c in text if not unicodedata.category(c).startswith("M")))
+
+
 def _present(words: list[bytes], anchors: list[tuple[int, int]], near: bytes, length: int) -> np.ndarray:
     """Which of the item's words are there in order; anchors: (word, place in ``near``) of patterns."""
     there = np.zeros(len(words), dtype=np.int32)
@@ -326,13 +356,15 @@ def _candidates(place: np.ndarray, item: np.ndarray, word: np.ndarray, starts: l
         yield int(text[b]), int(item[b]), word[b:e], place[b:e]
 
 
-def find(texts: list[str], spaced: Script, blankless: Script, min_words: int, min_chars: int, ratio: float) -> list[tuple[int, int]]:
+def find(texts: list[str], spaced: Script, blankless: Script, min_words: int, min_chars: int, ratio: float, foreign: Script | None = None) -> list[tuple[int, int]]:
     """(number of the text, item id) of every leak."""
     found: set[tuple[int, int]] = set()
     codes, points, firsts = _stream(texts)
     raw = codes.tobytes()
     ends = np.append(firsts[1:], len(codes))
-    for script, own, size, least in ((spaced, codes, min_words, 4), (blankless, points & 0xFFFF, min_chars, 4)):
+    for script, own, size, least in ((spaced, codes, min_words, 4), (blankless, points & 0xFFFF, min_chars, 4), (foreign, points, min_words, 4)):
+        if script is None or not script.ids:
+            continue
         stream, origin = own, None
         if script is blankless:
             # only texts with enough characters of such scripts
@@ -353,6 +385,8 @@ def find(texts: list[str], spaced: Script, blankless: Script, min_words: int, mi
             hi = min(int(ends[text]), int(hit_places.max()) + 400)
             if script is spaced:
                 words, near = script.words[k], raw[lo:hi]
+            elif script is foreign:
+                words, near = script.words[k], "".join(map(chr, own[lo:hi].tolist()))
             else:
                 words, near = [chr(p or 1) for p in script.words[k]], "".join(map(chr, own[lo:hi].tolist()))
             for anchors in _chains(hit_words, hit_places - lo):
@@ -406,11 +440,13 @@ def _parts(docs: list[int], texts: list[str], overlap: int) -> Iterator[list[tup
 
 def _finder(items: list[tuple[int, str]], min_words: int, min_chars: int, ratio: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scripts = build(items)
+        strange = [_is_foreign(text) for _, text in items]
+        scripts = build([x for x, other in zip(items, strange) if not other])
+        foreign = build_foreign([x for x, other in zip(items, strange) if other])
         overlap = max([MARGIN, *(8 * len(text) for _, text in items)])
         for batch in batches:
             for part in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), overlap):
-                hits = find([text for _, text in part], *scripts, min_words, min_chars, ratio)
+                hits = find([text for _, text in part], *scripts, min_words, min_chars, ratio, foreign)
                 yield pa.RecordBatch.from_arrays([pa.array([part[t][0] for t, _ in hits], pa.int64()), pa.array([i for _, i in hits], pa.int64())], names=["doc_id", "item_id"])
 
     return run
