@@ -72,3 +72,12 @@ def test_frame(spark):
 
 def test_model_without_labels():
     assert not sentences.fit([]).any()
+
+
+def test_thai_after_a_long_quotation():
+    """Thai that begins beyond the first 200 characters of a run has its ends too."""
+    thai = "จำเลยชำระเงินแล้ว โจทก์รับเงิน"
+    text = "“" + "the register of the apiary was not shown " * 8 + "” " + thai
+    splitter = sentences.Splitter(sentences.fit([]))
+    assert len(text) - len(thai) > 300
+    assert text.index(" โจทก์") in splitter.ends(text)

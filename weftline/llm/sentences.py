@@ -78,8 +78,8 @@ _OPENERS = "(„“«‘[¿¡「『（【‹\"'"
 
 
 def _is_thai(prose: str) -> bool:
-    """Whether Thai begins soon; what is Thai at all begins with it, names aside."""
-    return not prose.isascii() and _THAI.search(prose, 0, 200) is not None
+    """Whether there is Thai anywhere; a quotation in another script may come first."""
+    return not prose.isascii() and _THAI.search(prose) is not None
 
 
 def _blocks(text: str) -> Iterator[tuple[int, str]]:
