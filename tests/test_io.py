@@ -28,6 +28,10 @@ def test_text_sources(spark, tmp_path):
     assert readers.line_count(spark, str(tmp_path / "s.txt")) == 3
     (tmp_path / "e.txt").write_text("1\t0.5 1\nbad line\n2\t1 x\n1\t7 8\n")
     assert [(r.id, r.embedding) for r in readers.embeddings(spark, str(tmp_path / "e.txt")).collect()] == [("1", [7.0, 8.0])]
+    (tmp_path / "f.txt").write_text("9\t1 2\nx\t1 2\n3\t1  2\n4\t5 6\n9\t7 8\n")
+    held = readers.embeddings(spark, str(tmp_path / "f.txt"), id_func=lambda c: c.try_cast("bigint") * 2, place=True)
+    assert [(r.id, r.embedding) for r in held.orderBy("place").collect()] == [(18, [7.0, 8.0]), (8, [5.0, 6.0])]
+    assert [r.id for r in readers.embeddings(spark, str(tmp_path / "f.txt"), strict=True, place=True).orderBy("place").collect()] == ["9", "x", "3", "4", "9"]
     (tmp_path / "g.txt").write_text("a b 2.5\n# note\nb c 1\nlonely\n")
     assert sorted(map(tuple, readers.edge_list(spark, str(tmp_path / "g.txt"), True).collect())) == [("a", "b", 2.5), ("b", "c", 1.0)]
     (tmp_path / "l.csv").write_text("item_id,item_label,x\n1,red,0\n")
@@ -175,6 +179,16 @@ def test_service(spark):
         service.stop()
 
 
+def test_stored_order_and_plot(spark, tmp_path):
+    rows = [(3, [1.0, 0.0], 0), (1, [0.0, 1.0], 1), (2, [1.0, 1.0], 2)]
+    service = NeighbourService(lambda: vectors.normalise(spark.createDataFrame(rows, "id bigint, e array<double>, at int"), "id", "e", "at"))
+    assert service.get_goods_id(2) == [3, 1]
+    service.stop()
+    points = spark.createDataFrame([("a<b", [1.0, 2.0]), ("c", [0.0, 0.0]), ("d", None)], "label string, point array<double>")
+    assert sinks.scatter_plot(points, str(tmp_path / "p.svg")) == 2 and "a&lt;b" in (tmp_path / "p.svg").read_text()
+    assert sinks.scatter_plot(points.limit(0), str(tmp_path / "q.svg")) == 0
+
+
 def test_projection(spark):
     df = spark.createDataFrame([(k, [float(k), 1.0, 0.5 * k]) for k in range(30)] + [(99, None)], "node bigint, embedding array<double>")
     points = embedding.project(df, most=10).collect()

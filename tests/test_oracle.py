@@ -3,10 +3,10 @@
 import pytest
 from compare import spark_rows, sql_rows
 
-from weftline.plans import reference_queries, skew_queries
+from weftline.plans import io_queries, reference_queries, skew_queries
 
 DATA = "/root/testdata/sf0.001"
-CASES = {name: (f, part.SQL.get(name)) for part in (reference_queries, skew_queries) for name, f in part.QUERIES.items()}
+CASES = {name: (f, part.SQL.get(name)) for part in (reference_queries, io_queries, skew_queries) for name, f in part.QUERIES.items()}
 
 
 @pytest.mark.parametrize("name", sorted(CASES))

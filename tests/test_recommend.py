@@ -1,11 +1,13 @@
 """Similarity, Swing, graphs, walks, sequences and vectors by hand."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.functions.scalar import chunk_sizes, hash_uniform
-from weftline.operators import eager, graph, sampling, sequences, sgns, similarity, swing, vectors, walk
+from weftline.functions.scalar import chunk_sizes, hash_uniform, stamp
+from weftline.operators import eager, embedding, graph, item2vec, pairing, sampling, sequences, sgns, similarity, swing, vectors, walk
 from weftline.operators.interactions import interactions, roles
 
 RATED = [("u1", 1, 1.0), ("u1", 2, 2.0), ("u1", 3, 1.0), ("u2", 1, 3.0), ("u2", 2, 1.0), ("u3", 1, 1.0), ("u3", 2, 2.0), ("u3", 3, 1.0)]
@@ -141,6 +143,10 @@ def test_vectors(spark):
     assert vectors.search_by_ids(corpus, spark.createDataFrame([], "id bigint")).count() == 0
 
 
+def test_stamp(spark):
+    assert re.fullmatch(r"\d{4}(_\d{1,2}){4}", spark.range(1).select(stamp()).first()[0])
+
+
 def test_hash_uniform_and_chunks(spark):
     u = [r.u for r in spark.range(1000).select(hash_uniform(7, F.col("id")).alias("u")).collect()]
     assert 0 <= min(u) and max(u) < 1 and sum(u) / 1000 == pytest.approx(0.5, abs=0.05)
@@ -162,27 +168,155 @@ def test_eager_aggregation(spark):
     assert rolled.joined_rows == 6
 
 
-@pytest.mark.parametrize("loss", sgns.LOSSES)
-def test_sgns(spark, loss):
-    """Items predict those of their own topic rather than the other's, the loss falls, and a run repeats itself."""
+def topics(spark):
+    """Sequences of two topics: items 1 to 4, and 5 to 8."""
     rows = [(s, p, 1 + (s % 2) * 4 + (s * 7 + p * 3) % 4) for s in range(120) for p in range(6)]
-    ix = spark.createDataFrame(rows, "seq_id bigint, pos int, ix bigint")
     vocab = spark.createDataFrame([(f"i{k}", k) for k in range(1, 9)], "item string, ix bigint")
-    pairs = sequences.skip_grams(ix, 2)
-    trained, losses = sgns.train(pairs, vocab, dim=8, epochs=6, batch=32, n_sampled=4, loss=loss, rate=0.1, shares=2)
-    again, _ = sgns.train(pairs.repartition(5), vocab, dim=8, epochs=6, batch=32, n_sampled=4, loss=loss, rate=0.1, shares=2)
+    return spark.createDataFrame(rows, "seq_id bigint, pos int, ix bigint"), vocab
+
+
+def apart(trained):
+    """How much more items predict those of their own topic than the other's."""
     v = {r.node: np.array(r.embedding) for r in sgns.read_vectors(trained, "embed").collect()}
-    assert all(np.allclose(v[r.node], r.embedding) for r in sgns.read_vectors(again, "embed").collect())
     w = {r.node: np.array(r.embedding) for r in sgns.read_vectors(trained, "softmax").collect()}
     score = {(a, b): v[f"i{a}"] @ w[f"i{b}"] for a in range(1, 9) for b in range(1, 9) if a != b}
     same = np.mean([x for (a, b), x in score.items() if (a < 5) == (b < 5)])
-    other = np.mean([x for (a, b), x in score.items() if (a < 5) != (b < 5)])
+    return same - np.mean([x for (a, b), x in score.items() if (a < 5) != (b < 5)])
+
+
+@pytest.mark.parametrize("loss, parts", [("sampled_softmax", 1), ("sampled_softmax", 3), ("nce", 1), ("nce", 3)])
+def test_sgns(spark, loss, parts):
+    """Items predict those of their own topic rather than the other's, the loss falls, and a run repeats itself."""
+    ix, vocab = topics(spark)
+    pairs = sequences.skip_grams(ix, 2)
+    settings = {"dim": 8, "epochs": 4, "batch": 32, "n_sampled": 4, "loss": loss, "rate": 0.05, "parts": parts}
+    trained, losses = sgns.train(pairs, vocab, **settings)
+    again, _ = sgns.train(pairs.repartition(5), vocab, **settings)
+    v = {r.node: np.array(r.embedding) for r in sgns.read_vectors(trained, "embed").collect()}
+    assert all(np.allclose(v[r.node], r.embedding) for r in sgns.read_vectors(again, "embed").collect())
     values = [r.loss for r in losses.orderBy("epoch").collect()]
-    assert same > other + 1 and values[-1] < values[0]
+    assert apart(trained) > 1 and values[-1] < values[0] and len(values) == 4
     assert sgns.read_vectors(trained, "avg").count() == 8
-    empty, none = sgns.train(pairs.limit(0), vocab, dim=4, epochs=1)
-    assert empty.count() == 8 and none.count() == 0
+
+
+def test_sgns_options(spark):
+    ix, vocab = topics(spark)
+    pairs = sequences.skip_grams(ix, 2)
+    empty, none = sgns.train(pairs.limit(0), vocab, dim=4, epochs=1, replace_value="<zero>")
+    assert {r.node for r in empty.collect()} == {"<zero>", *(f"i{k}" for k in range(1, 9))} and none.count() == 0
+    given = ([1, 3, 5, 7], [1.0] * 4, 1.0)
+    for more in ({"negatives": given}, {"negatives": given, "parts": 2}, {"shuffle": False}, {"by_sequence": True, "batch": 8}, {"remove_hits": False}):
+        trained, losses = sgns.train(lambda epoch: pairs, vocab, **({"dim": 8, "epochs": 3, "batch": 32, "n_sampled": 4, "rate": 0.05} | more))
+        values = [r.loss for r in losses.orderBy("epoch").collect()]
+        assert values[-1] < values[0], more
     with pytest.raises(ValueError):
         sgns.read_vectors(trained, "other")
     with pytest.raises(ValueError):
         sgns.train(pairs, vocab, loss="other")
+
+
+def test_adam_by_hand():
+    """A step of one pair against one negative, as the formulas give it."""
+    w = np.array([[1.0, 0.0], [0.5, 0.5]])
+    zero = np.zeros_like(w).tobytes()
+    row = {"w": w.tobytes(), "m": zero, "v": zero, "bias": np.zeros(2).tobytes(), "bias_m": np.zeros(2).tobytes(), "bias_v": np.zeros(2).tobytes()}
+    inputs, outputs = sgns._Side(dict(row), 2), sgns._Side(dict(row), 2)
+    value = sgns._batch(inputs, outputs, np.array([0]), np.array([1]), (np.array([0]), np.array([1.0]), np.array([1.0])), "sampled_softmax", True, 0.1)
+    assert value == pytest.approx(np.log(1 + np.exp(1.0 - 0.5)))
+    # Adam's first step moves each number by the (corrected) rate against its gradient's sign
+    scale = np.sqrt(1 - 0.999) / (1 - 0.9)
+    assert inputs.w[0] == pytest.approx([1.0 - 0.1 / scale, 0.0 + 0.1 / scale], abs=1e-4) and (inputs.w[1] == w[1]).all()
+    assert outputs.bias == pytest.approx([-0.1 / scale, 0.1 / scale], abs=1e-4)
+
+
+def test_item2vec(spark, tmp_path):
+    """A whole run of either kind: from sequences of names to vectors, their files and facts."""
+    rows = [(s, [f"i{1 + (s % 2) * 4 + (s * 7 + p * 3) % 4}" for p in range(6)]) for s in range(120)] + [(200, ["rare", "i1"]), (201, ["rare", "i1", "i2"]), (202, None)]
+    seqs = spark.createDataFrame(rows, "seq_id bigint, items array<string>")
+    settings = item2vec.Item2Vec(embed_dim=8, window_size=2, item_min_count=2, subsample_thr=1.0, n_sampled=4, lr=0.05)
+    made = settings.train(seqs, epochs=4, batch_size=32)
+    assert apart(made.vectors.where("node <> '<zero>'")) > 1 and made.info["history_loss"][-1] < made.info["history_loss"][0]
+    assert {r.node for r in made.embeddings("avg").collect()} == {f"i{k}" for k in range(1, 9)}  # "rare" is in one sequence that counts
+    assert made.embeddings("softmax", keep_replace_value=True).where("node = '<zero>'").count() == 1
+    assert len(made.save(str(tmp_path), "s", "all")) == 3
+    (tmp_path / "f.txt").write_text("\n".join(",".join(r[1]) for r in rows if r[1]) + "\n")
+    by_file = item2vec.Item2Vec(embed_dim=8, window_size=3, random_window=True, distinct_targets=True, item_filter_method="remove", subsample_thr=0.1, n_sampled=4, lr=0.05, train_with_replace_value=False)
+    made = by_file.train(str(tmp_path / "f.txt"), "file", epochs=3, batch_size=8, item_pools=["i1", "i2", "i5", "none"], spark=spark)
+    assert {r.node for r in made.embeddings().collect()} == {"i1", "i2", "i5", "none"} and len(made.info["history_loss"]) == 3
+    nothing = settings.train(seqs.limit(0), epochs=1)
+    assert nothing.embeddings().count() == 0 and nothing.losses.count() == 0
+    with pytest.raises(ValueError):
+        settings.train(seqs, "stream")
+
+
+def all_pairs(rows):
+    held = {}
+    for key, x in rows:
+        held.setdefault(key, []).append(x)
+    return {(key, a, b) for key, xs in held.items() for a in xs for b in xs if a < b}
+
+
+def test_self_join_of_a_hot_key(spark):
+    """A key far above the chunk: every pair once, and no unit larger than two chunks."""
+    rows = [("hot", k) for k in range(300)] + [(f"k{k % 40}", k) for k in range(160)]
+    df = spark.createDataFrame(rows, "l string, x int").withColumn("r", F.col("x") * 2)
+    got = pairing.self_join(df, "l", "x", ("r",), chunk=16).collect()
+    assert len(got) == len({(r.l, r.a, r.b) for r in got}) and {(r.l, r.a, r.b) for r in got} == all_pairs(rows)
+    assert all(r.r_a == 2 * r.a and r.r_b == 2 * r.b for r in got)
+    assert pairing.self_join(df.limit(0), "l", "x").count() == 0
+
+
+def test_keyed_join(spark):
+    rows = spark.createDataFrame([("hot", k) for k in range(90)] + [("a", 1), ("b", 2), (None, 3)], "k string, x int")
+    lookup = spark.createDataFrame([("hot", 90, "H"), ("a", 1, "A")], "k string, n bigint, y string")
+    for hot in (1, 2, 1000):
+        assert pairing.keyed_join(rows, lookup, "k", "n", 93, hot_keys=hot).groupBy("y").count().where("y = 'H'").first()[1] == 90
+        assert pairing.keyed_join(rows, lookup, "k", "n", 93, "left", hot).where("y IS NULL").count() == 2
+        assert pairing.keyed_join(rows, lookup, "k", "n", 93, "left_semi", hot).columns == ["k", "x"]
+
+
+def test_similarity_with_a_hot_neighbour(spark):
+    """One left key of 50,000 entities: the pairs of a narrow band of them, computed in chunks, are those of the plain formula."""
+    few = spark.createDataFrame([("u", k, 1.0 + k % 3) for k in range(120)] + [("v", k, 2.0) for k in range(0, 120, 2)], "l string, x int, r double")
+    for f in (similarity.cosine, similarity.jaccard, lambda rows, chunk=4096: similarity.jaccard(rows, True, chunk)):
+        plain, chunked = (table(f(few, chunk=c), "i", "j") for c in (4096, 8))
+        assert len(plain) == 120 * 119 and {k: round(r.score, 9) for k, r in plain.items()} == {k: round(r.score, 9) for k, r in chunked.items()}
+    hot = spark.range(50_000).select(F.lit("u").alias("l"), F.col("id").alias("x"))
+    chunks = pairing.chunks_of(hot, "l").first().chunks
+    own = hot.groupBy(F.pmod(F.xxhash64("x"), F.lit(chunks)).alias("c")).count().agg(F.max("count")).first()[0]
+    assert chunks == 13 and own < 1.2 * pairing.CHUNK
+
+
+def test_swing_of_users_with_many_items(spark):
+    """Users who share many items: the products of their chunks are those of the whole lists."""
+    rows = [("a", k) for k in range(60)] + [("b", k) for k in range(20, 80)] + [("c", k) for k in range(0, 80, 7)] + [("d", 1), ("d", 8)]
+    df = spark.createDataFrame(rows, "u string, i int")
+    plain, chunked = (table(swing.swing(df, None, chunk=c), "item_i", "item_j") for c in (512, 8))
+    assert len(plain) > 500 and {k: round(r.score, 9) for k, r in plain.items()} == {k: round(r.score, 9) for k, r in chunked.items()}
+
+
+def test_many_queries_meet_the_corpus_in_blocks(spark):
+    rng = np.random.default_rng(5)
+    corpus = vectors.normalise(spark.createDataFrame([(k, [float(x) for x in rng.normal(size=4)]) for k in range(80)], "id bigint, e array<double>"), "id", "e")
+    near, far = (sorted(map(tuple, vectors.nearest(corpus, corpus, 3, True, block, 30).collect())) for block in (100, 20))
+    assert len(near) == 240 and [x[:2] + x[3:] for x in near] == [x[:2] + x[3:] for x in far]
+
+
+def test_lists_and_places(spark):
+    df = spark.createDataFrame([("a", 2, 1), ("a", 1, 2), ("a", 2, 3), ("a", None, 0), (None, 5, 0), ("b", None, 0)], "k string, x int, t int")
+    assert table(sequences.key_lists(df, "k", "x", "t"), "key")[("a",)]["values"] == [2, 1, 2]
+    assert table(sequences.key_lists(df, "k", "x"), "key")[("a",)]["values"] == [1, 2, 2]
+    assert table(sequences.key_lists(df, "k", "x"), "key")[(None,)]["values"] == [5] and table(sequences.key_lists(df, "k", "x"), "key")[("b",)]["values"] == []
+
+
+def test_tsne(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(3, 10)) * 5
+    x = np.concatenate([c + rng.normal(size=(20, 10)) * 0.3 for c in centres])
+    y = embedding.tsne_points(x, 10, 400)
+    d = ((y[:, None] - y[None]) ** 2).sum(2) + np.eye(60) * 1e9
+    assert (d.argmin(1) // 20 == np.arange(60) // 20).all()
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)] + [(99, None), (None, [1.0] * 10)], "node bigint, embedding array<double>")
+    points = embedding.tsne(df, most=30, iterations=50).collect()
+    assert len(points) == 30 and all(len(r.point) == 2 for r in points)
+    assert embedding.tsne(df.limit(0)).count() == 0 and embedding.tsne(df.limit(2)).first().point == [0.0, 0.0]

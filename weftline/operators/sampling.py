@@ -42,6 +42,6 @@ def alias_tables(graph: DataFrame) -> DataFrame:
     return graph.groupBy("src").applyInPandas(_tables, "src string, dst string, accept double, alias string, prob double")
 
 
-def cumulative(graph: DataFrame) -> DataFrame:
-    """``src`` and its neighbours in order of dst, each with the running sum of weights: one uniform number picks one."""
+def neighbour_lists(graph: DataFrame) -> DataFrame:
+    """``src`` and ``nbrs``, its neighbours (dst, weight) in order of dst: a uniform number times the sum of weights picks one by running sums."""
     return graph.groupBy("src").agg(F.sort_array(F.collect_list(F.struct("dst", "weight"))).alias("nbrs"))

@@ -22,6 +22,17 @@ def build_sequences(df: DataFrame, key: str, item: str, *order: str, last: int |
     return rows.groupBy("seq_id").agg(F.sort_array(F.collect_list("x")).alias("x")).select("seq_id", F.col("x.item").alias("items"))
 
 
+def key_lists(df: DataFrame, key: str, item: str, *order: str) -> DataFrame:
+    """``key``, ``values``: all items of each key, repeats included, as SQL's ``collect_list`` grouped by the key: the payload of a list store.
+
+    NULL items are left out; a NULL key is a key. Items come by the order columns,
+    if there are any, and by themselves, so the lists don't depend on partitions.
+    """
+    by = [df[o].alias(f"o{k}") for k, o in enumerate(order)]
+    x = F.when(df[item].isNotNull(), F.struct(*by, df[item].alias("item")))
+    return df.select(df[key].alias("key"), x.alias("x")).groupBy("key").agg(F.sort_array(F.collect_list("x")).alias("x")).select("key", F.col("x.item").alias("values"))
+
+
 def truncate(seqs: DataFrame, min_len: int = 3, max_len: int | None = 200, side: str = "left") -> DataFrame:
     """Drops sequences below ``min_len``; of longer ones than ``max_len``, ``left`` keeps the last items, ``right`` the first, anything else all."""
     kept = seqs.where(F.size("items") >= min_len)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .pairing import CHUNK, self_join
+
 FORMULAS = ("cosine", "jaccard", "jaccard-penalty")
 
 
@@ -19,7 +21,7 @@ def _mirrored(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(both).alias("p"), "score").select(F.col("p.i").cast("string").alias("i"), F.col("p.j").cast("string").alias("j"), "score")
 
 
-def cosine(rows: DataFrame) -> DataFrame:
+def cosine(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``i``, ``j``, ``score`` of every two entities that share a neighbour, in both directions.
 
     ``rows``: ``l``, ``x``, ``r``, unique by (l, x). Norms cover all rows of an
@@ -28,25 +30,24 @@ def cosine(rows: DataFrame) -> DataFrame:
     """
     norms = rows.groupBy("x").agg(F.sqrt(F.sum(F.col("r") * F.col("r"))).alias("norm")).where("norm > 0")
     scaled = rows.join(norms, "x").select("l", "x", (F.col("r") / F.col("norm")).alias("r"))
-    a, b = scaled.select("l", F.col("x").alias("a"), F.col("r").alias("ra")), scaled.select("l", F.col("x").alias("b"), F.col("r").alias("rb"))
-    return _mirrored(a.join(b, "l").where("a < b").groupBy("a", "b").agg(F.sum(F.col("ra") * F.col("rb")).alias("score")))
+    pairs = self_join(scaled, "l", "x", ("r",), chunk)
+    return _mirrored(pairs.groupBy("a", "b").agg(F.sum(F.col("r_a") * F.col("r_b")).alias("score")))
 
 
-def jaccard(rows: DataFrame, penalty: bool = False) -> DataFrame:
+def jaccard(rows: DataFrame, penalty: bool = False, chunk: int = CHUNK) -> DataFrame:
     """Shared neighbours over all neighbours of both; with ``penalty`` each shared one counts 1 / ln(1 + its own neighbours).
 
     ``rows``: ``l``, ``x``, unique. Columns as :func:`cosine`.
     """
     per_x = rows.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
     counted = rows.select("l", "x").join(per_x, "x")
-    left = counted.select("l", F.col("x").alias("a"), F.col("n").alias("na"))
-    weight = F.lit(1.0)
+    weight, payload = F.lit(1.0), ("n",)
     if penalty:
-        left = left.join(rows.groupBy("l").agg(F.count(F.lit(1)).alias("nl")), "l")
-        weight = 1.0 / F.log(1.0 + F.col("nl"))
-    pairs = left.join(counted.select("l", F.col("x").alias("b"), F.col("n").alias("nb")), "l").where("a < b")
-    sums = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("both"), F.sum(weight).alias("shared"))
-    return _mirrored(sums.select("a", "b", (F.col("shared") / (F.col("na") + F.col("nb") - F.col("both"))).alias("score")))
+        counted = counted.join(rows.groupBy("l").agg((1.0 / F.log(1.0 + F.count(F.lit(1)))).alias("w")), "l")
+        weight, payload = F.col("w_a"), ("n", "w")
+    pairs = self_join(counted, "l", "x", payload, chunk)
+    sums = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("both"), F.sum(weight).alias("shared"))
+    return _mirrored(sums.select("a", "b", (F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("score")))
 
 
 def similarity(rows: DataFrame, formula: str) -> DataFrame:

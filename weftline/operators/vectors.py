@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import unit
 
-#: Queries that one pass over the corpus answers; more queries are more passes.
-QUERY_BLOCK = 8192
+#: Queries that are sent to every task of the corpus, or that make a block; rows of the corpus in a piece that meets such blocks.
+QUERY_BLOCK, PIECE = 8192, 16_384
 
 
-def normalise(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """``id`` and the unit ``v`` (array<double>); rows without a direction (NULL, zero, not finite) go. Of equal ids any may answer a query."""
-    return df.select(df[key].alias("id"), unit(vector).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+def normalise(df: DataFrame, key: str, vector: str, place: str | None = None) -> DataFrame:
+    """``id`` and the unit ``v`` (array<double>); rows without a direction (NULL, zero, not finite) go. Of equal ids any may answer a query. ``place``: a column that says in which order the rows are stored, kept under that name."""
+    kept = [df[place].alias("place")] if place else []
+    return df.select(df[key].alias("id"), unit(vector).alias("v"), *kept).where("id IS NOT NULL AND v IS NOT NULL")
 
 
 def _nearest(queries: np.ndarray, keys: list, k: int, not_self: bool):
@@ -39,26 +40,39 @@ def _nearest(queries: np.ndarray, keys: list, k: int, not_self: bool):
     return run
 
 
-def nearest(corpus: DataFrame, queries: DataFrame, k: int = 10, not_self: bool = True) -> DataFrame:
+def _met(k: int, not_self: bool):
+    def run(key: tuple, queries: pd.DataFrame, corpus: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or corpus.empty:
+            return pd.DataFrame({"query": queries["id"][:0], "id": corpus["id"][:0], "distance": np.zeros(0)})
+        return pd.concat(_nearest(np.stack(queries["v"].to_numpy()), queries["id"].tolist(), k, not_self)(iter([corpus])))
+
+    return run
+
+
+def nearest(corpus: DataFrame, queries: DataFrame, k: int = 10, not_self: bool = True, query_block: int = QUERY_BLOCK, piece: int = PIECE) -> DataFrame:
     """``query``, ``id``, ``distance``, ``rank_no`` of the ``k`` nearest rows of ``corpus`` (``id``, ``v``) to each of ``queries`` (same columns).
 
-    The queries are a stated set: they are taken in blocks of ``QUERY_BLOCK``,
-    each sent to the corpus, which is read once a block; every batch of the
-    corpus keeps its best ``k`` for each query before anything is shuffled. Ties
-    go to the lesser id.
+    Up to ``query_block`` queries (counted first) are sent to the corpus, which
+    is read once and not shuffled. More are dealt out to blocks of that size,
+    the corpus to pieces, and each block meets each piece in a task of its own;
+    nothing passes through the driver then. Either way the best ``k`` of a batch
+    or piece for each query are kept before anything is shuffled. Ties go to the
+    lesser id.
     """
-    kind = dict(corpus.dtypes)["id"]
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    found = None
-    for block in range(blocks):
-        own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
-        rows = own.select("id", "v").collect()
-        if not rows:
-            continue
-        part = corpus.select("id", "v").mapInPandas(_nearest(np.array([r.v for r in rows]), [r.id for r in rows], k, not_self), f"query {dict(queries.dtypes)['id']}, id {kind}, distance double")
-        found = part if found is None else found.union(part)
-    if found is None:
-        return corpus.sparkSession.createDataFrame([], f"query {dict(queries.dtypes)['id']}, id {kind}, distance double, rank_no int")
+    out = f"query {dict(queries.dtypes)['id']}, id {dict(corpus.dtypes)['id']}, distance double"
+    count = queries.count()
+    if not count:
+        return corpus.sparkSession.createDataFrame([], out + ", rank_no int")
+    if count <= query_block:
+        rows = queries.select("id", "v").collect()
+        found = corpus.select("id", "v").mapInPandas(_nearest(np.array([r.v for r in rows]), [r.id for r in rows], k, not_self), out)
+    else:
+        blocks, pieces = -(-count // query_block), max(1, -(-corpus.count() // piece))
+        own = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        asked = queries.select("id", "v", own(blocks).alias("block"), every(pieces).alias("piece"))
+        held = corpus.select("id", "v", every(blocks).alias("block"), own(pieces).alias("piece"))
+        found = asked.groupBy("block", "piece").cogroup(held.groupBy("block", "piece")).applyInPandas(_met(k, not_self), out)
     rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
     return found.withColumn("rank_no", rank).where(F.col("rank_no") <= k)
 
@@ -74,5 +88,5 @@ def search_by_vectors(corpus: DataFrame, vectors: DataFrame, k: int = 10) -> Dat
 
 
 def first_ids(df: DataFrame, key: str, n: int, order: str | None = None) -> DataFrame:
-    """The first ``n`` ids."""
-    return df.select(key).orderBy(order or key).limit(n)
+    """The first ``n`` ids: by ``order``, else by ``place``, the order in which they are stored, if the rows have it, else by themselves."""
+    return df.orderBy(order or ("place" if "place" in df.columns else key), key).select(key).limit(n)

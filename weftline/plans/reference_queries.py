@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import average, chunk_sizes, hash_uniform
-from ..operators import embedding, graph, sampling, sequences, sgns, similarity, swing, vectors, walk
+from ..operators import embedding, graph, item2vec, sampling, sequences, sgns, similarity, swing, vectors, walk
 from ..operators.interactions import interactions, roles
 from ..sources import readers, sinks
 
@@ -181,11 +181,11 @@ def swing_topn(spark, folder):
     return lists.select("id", F.posexplode("rec_list").alias("pos", "rec")).select("id", (F.col("pos") + 1).alias("rank_no"), "rec")
 
 
-@_query(_swing_sql(50, "SELECT * FROM s", "SELECT DISTINCT user_id AS u, item AS i FROM interactions WHERE user_id IS NOT NULL AND item IS NOT NULL"))
+@_query(_swing_sql(800, "SELECT * FROM s", "SELECT DISTINCT user_id AS u, item AS i FROM interactions WHERE user_id IS NOT NULL AND item IS NOT NULL"))
 def swing_interactions(spark, folder):
-    """Swing of the raw interactions' items, under a seeded cap of 50 users an item: one item holds a tenth of the rows."""
+    """Swing of the raw interactions' items, under the usual cap of 800 users an item: one item holds a tenth of the rows."""
     rows = interactions(_table(spark, folder, "interactions"), "user_id", "item", with_rating=False)
-    return swing.swing(rows, 50).select("item_i", "item_j", F.round("score", 6).alias("score"))
+    return swing.swing(rows, 800).select("item_i", "item_j", F.round("score", 6).alias("score"))
 
 
 # ---------------------------------------------------------------- graphs and walks
@@ -256,13 +256,13 @@ def edge_transitions_pq(spark, folder):
 _U = "(('0x' || substr(md5(concat_ws('|', '7', CAST({walk} AS VARCHAR), {start}, CAST({step} AS VARCHAR))), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
 
 
-def _walk_sql(first_order: bool, rounds: int, hops: int, tail: str) -> str:
+def _walk_sql(first_order: bool, rounds: int, hops: int, tail: str, starts: str = "SELECT src AS start FROM g") -> str:
     u0, u = _U.format(walk="s.walk", start="s.start", step="0"), _U.format(walk="w.walk", start="w.start", step="w.step")
     table, key = ("nc", "e.src = w.cur") if first_order else ("ec", "e.prev = w.prev AND e.cur = w.cur")
-    return f"""WITH RECURSIVE {_graph_sql(degree=10)}, {_SECOND},
+    return f"""WITH RECURSIVE {_graph_sql()}, {_SECOND},
  nc AS MATERIALIZED (SELECT src, dst AS nxt, hi - weight AS lo, hi, tot FROM (SELECT *, sum(weight) OVER (PARTITION BY src ORDER BY dst) AS hi, sum(weight) OVER (PARTITION BY src) AS tot FROM g)),
  ec AS MATERIALIZED (SELECT prev, cur, nxt, hi - w AS lo, hi, tot FROM (SELECT *, sum(w) OVER (PARTITION BY prev, cur ORDER BY nxt) AS hi, sum(w) OVER (PARTITION BY prev, cur) AS tot FROM tr)),
- s AS (SELECT DISTINCT CAST(k.walk AS INTEGER) AS walk, src AS start FROM g, (SELECT unnest(range({rounds})) AS walk) k),
+ s AS (SELECT DISTINCT CAST(k.walk AS INTEGER) AS walk, start FROM ({starts}), (SELECT unnest(range({rounds})) AS walk) k),
  walk(walk, start, step, prev, cur) AS (
   SELECT s.walk, s.start, 1, s.start, c.nxt FROM s JOIN nc c ON c.src = s.start AND {u0} * tot >= lo AND {u0} * tot < hi
   UNION ALL
@@ -271,27 +271,33 @@ def _walk_sql(first_order: bool, rounds: int, hops: int, tail: str) -> str:
 {tail}"""
 
 
-def _walks(spark, folder, p, q, rounds, length):
-    found = walk.random_walks(_graph(spark, folder, 10), rounds, length, p, q, seed=7)
+def _walks(spark, folder, p, q, **more):
+    found = walk.random_walks(_graph(spark, folder), 10, 80, p, q, seed=7, **more)
     return found.select("walk", "start", F.posexplode("path").alias("step", "node"))
 
 
-@_query(_walk_sql(True, 3, 11, "SELECT walk, start, step, node FROM v"))
+@_query(_walk_sql(True, 10, 81, "SELECT walk, start, step, node FROM v"))
 def deepwalk_walks(spark, folder):
-    """Three first-order walks of up to 12 nodes from every node."""
-    return _walks(spark, folder, 1.0, 1.0, 3, 10)
+    """Ten first-order walks of up to 82 nodes from every node, the usual parameters."""
+    return _walks(spark, folder, 1.0, 1.0)
 
 
-@_query(_walk_sql(False, 2, 9, "SELECT walk, start, step, node FROM v"))
+@_query(_walk_sql(False, 10, 81, "SELECT walk, start, step, node FROM v"))
 def node2vec_walks(spark, folder):
-    """Two second-order walks (p = 0.5, q = 2) of up to 10 nodes from every node."""
-    return _walks(spark, folder, 0.5, 2.0, 2, 8)
+    """Ten second-order walks (p = 0.5, q = 2) of up to 82 nodes from every node."""
+    return _walks(spark, folder, 0.5, 2.0)
 
 
-@_query(_walk_sql(True, 3, 11, "SELECT node, count(*) AS visits, count(DISTINCT (walk, start)) AS walks FROM v GROUP BY 1"))
+@_query(_walk_sql(True, 10, 79, "SELECT walk, start, step, node FROM v", "SELECT src AS start FROM g UNION SELECT dst FROM g"))
+def deepwalk_exact(spark, folder):
+    """The second form of such walks: exactly up to 80 nodes, from nodes without out-edges too."""
+    return _walks(spark, folder, 1.0, 1.0, exact_nodes=True, sinks=True)
+
+
+@_query(_walk_sql(True, 10, 81, "SELECT node, count(*) AS visits, count(DISTINCT (walk, start)) AS walks FROM v GROUP BY 1"))
 def walk_visit_counts(spark, folder):
     """How often walks visit each node."""
-    return _walks(spark, folder, 1.0, 1.0, 3, 10).groupBy("node").agg(F.count(F.lit(1)).alias("visits"), F.count_distinct("walk", "start").alias("walks"))
+    return _walks(spark, folder, 1.0, 1.0).groupBy("node").agg(F.count(F.lit(1)).alias("visits"), F.count_distinct("walk", "start").alias("walks"))
 
 
 @_query(f"WITH {_graph_sql()} SELECT src, dst, round(weight / sum(weight) OVER (PARTITION BY src), 6) AS prob FROM g")
@@ -322,8 +328,14 @@ def _sequences(spark, folder, last=None):
     return sequences.build_sequences(events.withColumn("item", F.get_json_object("props", "$.k")), "user_id", "item", "ts", "event_id", last=last)
 
 
+@_query(f"WITH {_SEQ} SELECT seq_id, CASE WHEN len(items) > 40 THEN items[len(items) - 39:] ELSE items END AS items FROM s0")
+def seq_last(spark, folder):
+    """Every user's last 40 items, cut off before the sequences are built."""
+    return _sequences(spark, folder, 40)
+
+
 def _cut_sequences(spark, folder):
-    return sequences.truncate(_sequences(spark, folder, 40), 3, 40, "left")
+    return sequences.truncate(_sequences(spark, folder), 3, 40, "left")
 
 
 def _counts(spark, folder):
@@ -510,12 +522,12 @@ def list_ids(spark, folder):
     return vectors.first_ids(_table(spark, folder, "embeddings"), "vec_id", 25)
 
 
-@_query("SELECT label, count(*) AS n, round(avg(embedding[1]::DOUBLE), 5) AS mean_first FROM embeddings GROUP BY 1")
+@_query("SELECT p_brand AS item_label, count(*) AS n, round(avg(embedding[1]::DOUBLE), 5) AS mean_first FROM embeddings JOIN part ON p_partkey = vec_id GROUP BY 1")
 def vec_label_join(spark, folder):
-    """Vectors with their labels."""
-    table = _table(spark, folder, "embeddings")
-    named = table.select("vec_id", "embedding").join(table.select(F.col("vec_id").alias("item_id"), F.col("label")), F.col("vec_id") == F.col("item_id"))
-    return named.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("embedding")[0].cast("double")), 5).alias("mean_first"))
+    """Vectors with the labels of another table."""
+    labels = _table(spark, folder, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("item_label"))
+    named = _table(spark, folder, "embeddings").join(labels, F.col("vec_id") == F.col("item_id"))
+    return named.groupBy("item_label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("embedding")[0].cast("double")), 5).alias("mean_first"))
 
 
 @_query("SELECT CAST(vec_id AS VARCHAR) AS id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS k, round(unnest(embedding)::DOUBLE, 6) AS x FROM embeddings")
@@ -533,10 +545,11 @@ def embedding_average(spark, folder):
     return both.select(F.col("vec_id").alias("id"), F.posexplode(average("a", "b")).alias("k", "x")).withColumn("x", F.round("x", 6))
 
 
-@_query("SELECT CAST(user_id AS VARCHAR) AS key, list(DISTINCT json_extract_string(props, '$.k') ORDER BY json_extract_string(props, '$.k')) AS vals FROM events GROUP BY 1")
+@_query("SELECT CAST(user_id AS VARCHAR) AS key, list(json_extract_string(props, '$.k') ORDER BY ts, event_id) AS vals FROM events GROUP BY 1")
 def collect_list_payload(spark, folder):
-    """Every user's distinct items: the payload of a list store."""
-    return _table(spark, folder, "events").groupBy(F.col("user_id").cast("string").alias("key")).agg(F.sort_array(F.collect_set(F.get_json_object("props", "$.k"))).alias("vals"))
+    """Every user's items, repeats included: the payload of a list store."""
+    events = _table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    return sequences.key_lists(events, "user_id", "k", "ts", "event_id").select(F.col("key").cast("string").alias("key"), F.col("values").alias("vals"))
 
 
 @_query("WITH t AS (SELECT count(*) AS n FROM customer), c AS (SELECT unnest(range(7)) AS chunk) SELECT CAST(chunk AS INTEGER) AS chunk, n // 7 AS size FROM c, t UNION ALL SELECT 7, n % 7 FROM t WHERE n % 7 > 0")
@@ -546,40 +559,74 @@ def partition_num(spark, folder):
     return spark.createDataFrame(list(enumerate(sizes)), "chunk int, size bigint")
 
 
-# ---------------------------------------------------------------- embeddings (trained: no SQL)
+# ---------------------------------------------------------------- embeddings (trained: SQL says only which have vectors, and how many numbers)
 
 
-@_query()
+def _dims(vectors, key):
+    """Of each vector its size, if all its numbers are finite."""
+    return vectors.select(key, F.when(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.size("embedding")).alias("dims"))
+
+
+@_query(f"WITH {_COUNTS} SELECT item, 16 AS dims FROM c WHERE cnt >= 5")
 def word2vec_vectors(spark, folder):
-    """Vectors of items from users' sequences."""
-    return embedding.train(_cut_sequences(spark, folder), "items", dim=16, max_iter=1, partitions=1).select(F.col("node").alias("item"), "embedding")
+    """Which items have vectors from users' sequences: those that occur five times."""
+    return _dims(embedding.train(_cut_sequences(spark, folder), "items", dim=16, max_iter=1, partitions=1).select(F.col("node").alias("item"), "embedding"), "item")
 
 
-@_query()
+@_query(_walk_sql(True, 10, 81, "SELECT node, 16 AS dims FROM v GROUP BY 1 HAVING count(*) >= 5"))
 def word2vec_from_walks(spark, folder):
-    """Vectors of nodes from random walks."""
-    return embedding.train(walk.deepwalk(_graph(spark, folder, 10), 5, 10), dim=16, max_iter=1, partitions=1)
+    """Which nodes have vectors from random walks: those that occur five times."""
+    return _dims(embedding.train(walk.deepwalk(_graph(spark, folder), 10, 80), dim=16, max_iter=1, partitions=1), "node")
 
 
 def _sgns(spark, folder):
     vocab = _vocab(spark, folder)
     indexed = sequences.index_sequences(_cut_sequences(spark, folder), vocab)
-    return sgns.train(sequences.skip_grams(indexed, 3), vocab, dim=16, epochs=2, batch=512, shares=4)
+    return sgns.train(sequences.skip_grams(indexed, 3), vocab, dim=16, epochs=2, batch=512, rate=0.01, parts=2)
 
 
-@_query()
+@_query(f"WITH {_VOCAB} SELECT item AS node, 16 AS dims FROM vo")
 def sgns_vectors(spark, folder):
-    """Vectors of items by skip-grams with sampled negatives: the mean of input and output vectors."""
-    return sgns.read_vectors(_sgns(spark, folder)[0], "avg")
+    """Which items have vectors by skip-grams with sampled negatives: the whole vocabulary."""
+    return _dims(sgns.read_vectors(_sgns(spark, folder)[0], "avg"), "node")
 
 
-@_query()
+@_query("SELECT 2 AS epochs, true AS falls")
 def sgns_losses(spark, folder):
-    """The mean loss of every epoch."""
-    return _sgns(spark, folder)[1]
+    """The mean loss of an epoch is less than that of the one before."""
+    epochs = _sgns(spark, folder)[1]
+    return epochs.agg(F.count(F.lit(1)).cast("int").alias("epochs"), (F.max_by("loss", "epoch") < F.min_by("loss", "epoch")).alias("falls"))
+
+
+def _item2vec(spark, folder, feed_type):
+    settings = item2vec.Item2Vec(embed_dim=16, window_size=3, item_min_count=5, seq_max_len=40, subsample_thr=0.003, lr=0.01)
+    return settings.train(_sequences(spark, folder), feed_type, epochs=2, batch_size=512 if feed_type == "list" else 16)
 
 
-@_query()
+_OFTEN = f"WITH {_COUNTS} SELECT item AS node, 16 AS dims FROM c WHERE cnt >= 5"
+
+
+@_query(_OFTEN)
+def item2vec_list(spark, folder):
+    """Which items have vectors of a whole run: those that occur five times in sequences cut to their last 40."""
+    return _dims(_item2vec(spark, folder, "list").embeddings("avg"), "node")
+
+
+@_query(_OFTEN + " UNION ALL SELECT '<zero>', 16")
+def item2vec_file(spark, folder):
+    """The same with items subsampled anew each epoch, batches of sequences, and the replacement token kept."""
+    return _dims(_item2vec(spark, folder, "file").embeddings("embed", True), "node")
+
+
+@_query("SELECT vec_id, 2 AS dims FROM embeddings")
 def embedding_projection(spark, folder):
-    """All vectors in two dimensions."""
-    return embedding.project(_table(spark, folder, "embeddings"), "vec_id", "embedding", 2, most=None)
+    """All vectors in two dimensions, by principal components."""
+    points = embedding.project(_table(spark, folder, "embeddings"), "vec_id", "embedding", 2, most=None)
+    return _dims(points.withColumnsRenamed({"point": "embedding"}), "vec_id")
+
+
+@_query("SELECT vec_id, 2 AS dims FROM embeddings ORDER BY md5(concat_ws('|', '7', CAST(vec_id AS VARCHAR))), vec_id LIMIT 1000")
+def tsne_map(spark, folder):
+    """A thousand vectors (the sample is the feature) in two dimensions, by t-SNE."""
+    points = embedding.tsne(_table(spark, folder, "embeddings"), "vec_id", "embedding", 1000, iterations=300)
+    return _dims(points.withColumnsRenamed({"point": "embedding"}), "vec_id")

@@ -80,7 +80,7 @@ class NeighbourService:
         return self._lists(vectors.search_by_vectors(self._corpus, self._corpus.sparkSession.createDataFrame(rows, "id int, v array<double>"), k))
 
     def get_goods_id(self, n: int) -> list:
-        """The first ``n`` ids."""
+        """The first ``n`` ids, in the order in which they are stored if ``load()`` gives a column ``place``."""
         return [r.id for r in vectors.first_ids(self._corpus, "id", n).collect()]
 
     def answer(self, path: str, body: bytes) -> tuple[int, str]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +32,8 @@ def build_session(app_name: str = "weftline", master: str | None = None, hive: b
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a local master
-    may go without one; it then gets a temporary folder.
-    """
-    spark = df.sparkSession
+def _checkpoints(spark: SparkSession) -> str:
+    """The folder of checkpoints, which all executors share, set if it is not yet."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,10 +41,27 @@ def cut(df: DataFrame) -> DataFrame:
             if not context.master.startswith("local[") and context.master != "local":
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="weftline-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+
+    The folder is the session's ``spark.checkpoint.dir``. Only a local master
+    may go without one; it then gets a temporary folder, which goes when the
+    program ends.
+    """
+    _checkpoints(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The path of a new folder in the shared checkpoint folder, for tables that a job writes and reads again."""
+    return f"{_checkpoints(spark)}/written-{uuid.uuid4().hex}"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores if it has fewer partitions than there are cores: a small input then, whose shuffle costs little. A large one stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -39,7 +40,9 @@ def _literal(delimiter: str) -> str:
     return "\\Q" + delimiter + "\\E"
 
 
-def parse_embeddings(lines: DataFrame, field_delimiter: str = "\t", element_delimiter: str = " ", strict: bool = False, order: str | None = None) -> DataFrame:
+def parse_embeddings(
+    lines: DataFrame, field_delimiter: str = "\t", element_delimiter: str = " ", strict: bool = False, order: str | None = None, id_func: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """``id``, ``embedding`` (array<float>) of lines ``id <field> v1 <element> v2 ...`` in column ``value``.
 
     Tolerant: lines of another form are skipped; of a repeated id the line of
@@ -47,23 +50,37 @@ def parse_embeddings(lines: DataFrame, field_delimiter: str = "\t", element_deli
     the last field count, numbers are split at any blanks, and a line of
     another form is an error.
     """
-    fields = F.split("value", _literal(field_delimiter), -1)
+    fields, kept = F.split("value", _literal(field_delimiter), -1), [F.col(order).alias("_order")] if order else []
     if strict:
         numbers = F.split(F.trim(F.element_at(fields, -1)), r"\s+", -1)
-        return lines.select(F.get(fields, F.lit(0)).alias("id"), F.transform(numbers, lambda x: x.cast("float")).alias("embedding"))
+        return lines.select(F.get(fields, F.lit(0)).alias("id"), F.transform(numbers, lambda x: x.cast("float")).alias("embedding"), *kept)
     numbers = F.transform(F.split(F.get(fields, F.lit(1)), _literal(element_delimiter), -1), lambda x: F.trim(x).try_cast("float"))
-    rows = lines.where(F.size(fields) == 2).select(F.get(fields, F.lit(0)).alias("id"), numbers.alias("embedding"), *([F.col(order).alias("_order")] if order else []))
-    rows = rows.where(F.forall("embedding", lambda x: x.isNotNull()))
+    name = F.get(fields, F.lit(0))
+    rows = lines.where(F.size(fields) == 2).select((id_func(name) if id_func else name).alias("id"), numbers.alias("embedding"), *kept)
+    rows = rows.where(F.col("id").isNotNull() & F.forall("embedding", lambda x: x.isNotNull()))
     if not order:
         return rows
-    return rows.groupBy("id").agg(F.max_by("embedding", "_order").alias("embedding"))
+    return rows.groupBy("id").agg(F.max_by("embedding", "_order").alias("embedding"), F.min("_order").alias("place"))
 
 
-def embeddings(spark: SparkSession, path: str, field_delimiter: str = "\t", element_delimiter: str = " ", strict: bool = False, id_type: str = "string") -> DataFrame:
-    """Embeddings of a text file, as :func:`parse_embeddings`; the last line of a repeated id counts."""
+def embeddings(
+    spark: SparkSession, path: str, field_delimiter: str = "\t", element_delimiter: str = " ", strict: bool = False, id_func: str | Callable[[Column], Column] = "string", place: bool = False
+) -> DataFrame:
+    """Embeddings of a text file, as :func:`parse_embeddings`; the last line of a repeated id counts.
+
+    ``id_func`` makes the id of its text: a type to cast it to, or a function
+    from column to column. A tolerant read skips lines for which it gives NULL,
+    and counts lines as repeated by what it gives. With ``place``, the rows have
+    one more column of that name, by which they stand in the order of the file
+    (a repeated id where it stood first).
+    """
     lines = spark.read.text(path).select("value", F.struct(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n")).alias("at"))
-    parsed = parse_embeddings(lines, field_delimiter, element_delimiter, strict, None if strict else "at")
-    return parsed.select(F.col("id").cast(id_type).alias("id"), "embedding")
+    named = id_func if callable(id_func) else lambda c: c.try_cast(id_func)
+    if strict:
+        parsed = parse_embeddings(lines, field_delimiter, element_delimiter, True, "at" if place else None)
+        return parsed.withColumn("id", id_func(F.col("id")) if callable(id_func) else F.col("id").cast(id_func)).withColumnsRenamed({"_order": "place"})
+    parsed = parse_embeddings(lines, field_delimiter, element_delimiter, order="at", id_func=named)
+    return parsed if place else parsed.drop("place")
 
 
 def edge_list(spark: SparkSession, path: str, weighted: bool = False) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
+from pathlib import Path
 from typing import Any, Protocol
+from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -87,6 +89,27 @@ def export_model(by_mode: dict[str, DataFrame], folder: str, stamp: str, mode: s
     return [f"{folder}/{stamp}_embeddings_{m}" for m in modes]
 
 
+def scatter_plot(points: DataFrame, path: str, label: str = "label", point: str = "point", side: int = 1296) -> int:
+    """Draws each row's point with its label beside it, as SVG; returns the number of points.
+
+    ``points`` is what a map of a bounded sample gives (see ``embedding.tsne``):
+    its rows come to the driver.
+    """
+    rows = [r for r in points.select(label, point).collect() if r[1] is not None]
+    xs, ys = [r[1][0] for r in rows] or [0.0], [r[1][1] for r in rows] or [0.0]
+    edge = 40
+
+    def scaled(v: float, of: list[float]) -> float:
+        return edge + (side - 2 * edge) * (v - min(of)) / ((max(of) - min(of)) or 1.0)
+
+    shapes = []
+    for k, (text, at) in enumerate(rows):
+        x, y = scaled(at[0], xs), side - scaled(at[1], ys)
+        shapes.append(f'<circle cx="{x:.1f}" cy="{y:.1f}" r="4" fill="hsl({k * 137 % 360},60%,45%)"/><text x="{x - 5:.1f}" y="{y - 2:.1f}" text-anchor="end">{escape(str(text))}</text>')
+    Path(path).write_text(f'<svg xmlns="http://www.w3.org/2000/svg" width="{side}" height="{side}" font-size="10" font-family="sans-serif">\n' + "\n".join(shapes) + "\n</svg>\n", encoding="utf-8")
+    return len(rows)
+
+
 class ListStore(Protocol):
     """What a key-to-list store must do; all calls of one batch may be pipelined until ``flush``."""
 
