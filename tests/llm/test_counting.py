@@ -4,6 +4,7 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from weftline.llm import cooccur, termfreq
@@ -20,11 +21,18 @@ def test_terms(spark):
     assert termfreq.term_frequencies(df.limit(0), "walk", "path").count() == 0
 
 
-def test_many_ranges(spark, monkeypatch):
-    monkeypatch.setattr(termfreq, "RANGE", 8)
-    df = spark.range(100).selectExpr("id AS walk", "concat_ws(' ', transform(sequence(0, cast(id AS int)), x -> concat('n', x))) AS path")
-    got = {r.term: r.occurrences for r in termfreq.term_frequencies(df, "walk", "path").collect()}
-    assert got == {f"n{k}": 100 - k for k in range(100)}
+def test_many_ranges_and_blocks(spark):
+    """Ranges of 8 identifiers, blocks of a few records, and sums of two arrays at a time."""
+    df = spark.range(100).selectExpr("id AS walk", "concat_ws(' ', transform(sequence(0, cast(id AS int)), x -> concat('n', x)), 'n0') AS path")
+    for more in ({"width": 8}, {"block_chars": 300}, {"width": 8, "block_chars": 300, "fan_in": 2}):
+        got = {r.term: (r.occurrences, r.records) for r in termfreq.term_frequencies(df, "walk", "path", **more).collect()}
+        assert got == {f"n{k}": (100 - k + 100 * (k == 0), 100 - k) for k in range(100)}
+
+
+def test_count_arrays():
+    """Three records over identifiers 9, 4 and 7; the second record holds 4 twice."""
+    ids, occurrences, records = termfreq.count_arrays(np.array([9, 4, 7]), np.array([0, 1, 1, 1, 2, 0]), np.array([2, 2, 2]))
+    assert ids.tolist() == [4, 7, 9] and occurrences.tolist() == [3, 1, 2] and records.tolist() == [2, 1, 2]
 
 
 @pytest.mark.parametrize("chunk, broadcast, apart", [(256, 100_000, 1), (4, 100_000, 1), (4, 0, 1), (1, 0, 1), (4, 0, 2**40)])

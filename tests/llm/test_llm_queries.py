@@ -20,8 +20,8 @@ def test_runs(spark, name):
 
 
 def test_recall_of_neighbours(spark):
-    """At least 0.9 of the true neighbours, over every node of the 0.01 tables."""
-    folder = "/root/testdata/sf0.01"
+    """At least 0.9 of the true neighbours, over every node of the 0.1 tables."""
+    folder = "/root/testdata/sf0.1"
     near = queries.p4_nearest(spark, folder).collect()
     vectors = queries.neighbours.clean_vectors(spark.read.parquet(f"{folder}/node_vectors.parquet"), "node", "embedding", "loaded_at", 64).collect()
     names, v = [r.key for r in vectors], np.array([r.v for r in vectors])

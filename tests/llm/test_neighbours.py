@@ -20,24 +20,45 @@ def test_cleaning(spark):
     assert got["b"] == pytest.approx([0.6, 0.8]) and got["i"] == [1.0, 0.0] and got["k"] == [1.0, 0.0]
 
 
-def test_all_cells_are_exact(spark):
+def frame(spark, x):
+    df = spark.createDataFrame([(f"n{k:05d}", v.tolist(), 0, "", 0) for k, v in enumerate(x)], SCHEMA)
+    return neighbours.clean_vectors(df, "node", "embedding", "loaded_at", x.shape[1])
+
+
+def cosines(x):
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    out = u @ u.T
+    np.fill_diagonal(out, -2)
+    return out
+
+
+def recall_of(near, cosine, k):
+    """Share of the k nearest that are found; ties at the last place count."""
+    last = np.sort(cosine, axis=1)[:, -k]
+    a, b = near.a.str[1:].astype(int), near.b.str[1:].astype(int)
+    return (cosine[a, b] >= last[a] - 1e-6).sum() / (k * len(cosine))
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_all_cells_are_exact(spark, monkeypatch, broadcast):
     """With every cell walked, hot pieces split and many copies, the result is the exact one."""
+    monkeypatch.setattr(neighbours, "BROADCAST_CLASSES", broadcast)
+    monkeypatch.setattr(neighbours, "ENTRY_PIECE", 16)
+    monkeypatch.setattr(neighbours, "QUERY_PIECE", 8)
     rng = np.random.default_rng(2)
     x = rng.normal(size=(120, 8)).astype(np.float32)
-    x[60:90] = x[0] + rng.normal(size=(30, 8)).astype(np.float32) * 0.01  # one dense cell
+    x[60:90] = x[0] + rng.normal(size=(30, 8)).astype(np.float32) * 0.01  # one dense shelf
     x[90:] = x[1]  # many copies
-    df = spark.createDataFrame([(f"n{k:03d}", [float(a) for a in v], 0, "", 0) for k, v in enumerate(x)], SCHEMA)
-    clean = neighbours.clean_vectors(df, "node", "embedding", "loaded_at", 8)
-    near = neighbours.nearest(clean, 5, candidates=10_000, centroids=4, piece=16).collect()
-    u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    cosine = u @ u.T
-    np.fill_diagonal(cosine, -2)
-    best = np.sort(cosine, axis=1)[:, ::-1]
+    near = neighbours.nearest(frame(spark, x), 5, reach=float("inf"), centroids=4, shelves=3).collect()
+    best = np.sort(cosines(x), axis=1)[:, ::-1]
     assert len(near) == 600 and len({(r.a, r.b) for r in near}) == 600
     for r in near:
         assert r.a != r.b and r.cosine == pytest.approx(best[int(r.a[1:]), r.rank_no - 1], abs=1e-5)
-    pairs = {(r.node_a, r.node_b) for r in neighbours.alike(neighbours.nearest(clean, 5, 10_000, 4, 16), 0.9999).collect()}
-    assert all(a < b for a, b in pairs) and ("n001", "n090") in pairs
+    copies = [f"n{k:05d}" for k in (1, *range(90, 120))]
+    for a in copies:  # the first other copies by name
+        assert [r.b for r in sorted(near, key=lambda r: r.rank_no) if r.a == a] == [c for c in copies if c != a][:5]
+    pairs = {(r.node_a, r.node_b) for r in neighbours.alike(neighbours.nearest(frame(spark, x), 5, 0.9999), 0.9999).collect()}
+    assert all(a < b for a, b in pairs) and ("n00001", "n00090") in pairs
 
 
 def test_small_inputs(spark):
@@ -49,18 +70,41 @@ def test_small_inputs(spark):
     assert {(r.a, r.b, r.rank_no) for r in neighbours.nearest(two).collect()} == {("a", "b", 1), ("b", "a", 1)}
 
 
-def test_all_neighbours_are_found_beyond_any_cap(spark):
-    """Unless candidates are asked for, the result is the exact one, whatever the number of rows."""
+def test_recall_where_little_is_compared(spark):
+    """Clusters as in the tables: recall of at least 0.9 while a query meets a small part of the rows."""
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(9000, 16)).astype(np.float32)
-    x[5000:] = x[0] + 0.5 * x[5000:]  # one dense region of more than 3,000 rows
-    df = spark.createDataFrame([(f"n{k:04d}", v.tolist(), 0, "", 0) for k, v in enumerate(x)], SCHEMA)
-    near = neighbours.nearest(neighbours.clean_vectors(df, "node", "embedding", "loaded_at", 16), 10).toPandas()
-    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
-    cosine = u @ u.T
-    np.fill_diagonal(cosine, -2)
-    best = np.sort(np.partition(cosine, -10, axis=1)[:, -10:], axis=1)[:, ::-1]
-    assert len(near) == 90_000 and not near.duplicated(["a", "b"]).any() and (near.a != near.b).all()
-    got = np.zeros((9000, 10))
-    got[near.a.str[1:].astype(int), near.rank_no - 1] = near.cosine
-    assert np.abs(got - best).max() < 1e-5
+    centres = rng.normal(size=(60, 32))
+    x = (centres[rng.integers(0, 60, 6000)] + 0.8 * rng.normal(size=(6000, 32))).astype(np.float32)
+    met = []
+    real = neighbours._met
+    try:
+        neighbours._met = lambda placed, visits, shelves, k: met.append(visits.groupBy("shelf").count().join(placed.groupBy("shelf").agg({"*": "count"}), "shelf").selectExpr("sum(count * `count(1)`)").first()[0]) or real(placed, visits, shelves, k)
+        near = neighbours.nearest(frame(spark, x), 10, shelves=60).toPandas()
+    finally:
+        neighbours._met = real
+    assert met[0] / 6000**2 < 0.1
+    assert len(near) == 60_000 and not near.duplicated(["a", "b"]).any() and (near.a != near.b).all()
+    assert recall_of(near, cosines(x), 10) >= 0.9
+
+
+def test_alike_pairs_are_found_without_exception(spark):
+    """Vectors without any clusters, where a walk alone would miss many: every pair of cosine 0.9 or more is found."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 12)).astype(np.float32)
+    x[1500:] = x[:1500] + 0.13 * np.linalg.norm(x[:1500], axis=1, keepdims=True) * rng.normal(size=(1500, 12))  # cosines around 0.9
+    cosine = cosines(x)
+    wanted = {(f"n{a:05d}", f"n{b:05d}") for a, b in np.argwhere(cosine >= 0.9 + 1e-6) if a < b}
+    found = {(r.node_a, r.node_b) for r in neighbours.alike(neighbours.nearest(frame(spark, x), 10, 0.9, reach=0.0, centroids=16, shelves=40), 0.9).collect()}
+    assert len(wanted) > 300 and wanted <= found and len(found - wanted) < 3
+    without = neighbours.alike(neighbours.nearest(frame(spark, x), 10, None, reach=0.0, centroids=16, shelves=40), 0.9).count()
+    assert without < len(wanted)
+
+
+def test_walk_is_by_summed_distance():
+    """The heap pops cells in the order in which a full sort has them."""
+    rng = np.random.default_rng(1)
+    d1, d2 = rng.random(7).astype(np.float32), rng.random(5).astype(np.float32)
+    held = {c: (0,) for c in range(35) if c % 3}
+    summed = sorted((float(d1[c // 5]) + float(d2[c % 5]), c) for c in range(35))
+    reach = summed[20][0] - summed[0][0] + 1e-9
+    assert neighbours._walk(d1, d2, held, reach) == [c for s, c in summed[:21] if c in held]

@@ -61,3 +61,22 @@ def test_repeated_items(spark):
     for r in rows:
         bins[r.bin] = bins.get(r.bin, 0) + r.tokens
     assert sum(bins.values()) == 77 and max(bins.values()) <= 10 and len(rows) == 9 and len(bins) == 8
+
+
+def test_rows_of_one_id_are_dealt_out(spark):
+    """A third of all rows under one id: items of their own, in several parts, nothing lost."""
+    sizes = spark.range(900).selectExpr("if(id % 3 = 0, 7L, id) AS doc", "cast(1 + id % 40 AS int) AS tokens")
+    rows = packing.pack(sizes, spark.createDataFrame([("s", 64)], "container string, capacity int"), part=100).collect()
+    bins = {}
+    for r in rows:
+        bins[r.bin] = bins.get(r.bin, 0) + r.tokens
+    assert len(rows) == 900 and sum(r.doc_id == 7 for r in rows) == 301 and max(bins.values()) <= 64
+    assert sum(bins.values()) == sum(1 + k % 40 for k in range(900)) and sum(bins.values()) / (64 * len(bins)) > 0.97
+
+
+def test_many_containers_in_turns(spark):
+    sizes = spark.createDataFrame([(k, 3 + k % 5) for k in range(30)], "doc bigint, tokens int")
+    boxes = spark.createDataFrame([(f"c{k}", 10 + k) for k in range(9)], "container string, capacity int")
+    rows = packing.pack(sizes, boxes, most_containers=2).collect()
+    assert {name for name, _ in check(rows, {k: 3 + k % 5 for k in range(30)}, {f"c{k}": 10 + k for k in range(9)})} == {f"c{k}" for k in range(9)}
+    assert {(r.container, r.doc_id, r.piece_no) for r in rows} == {(r.container, r.doc_id, r.piece_no) for r in packing.pack(sizes, boxes).collect()}

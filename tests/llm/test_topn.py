@@ -45,3 +45,13 @@ def test_list_differences(spark):
     lists = spark.createDataFrame([(1, [7]), (1, [7]), (2, None), (3, [4, 99]), (None, [1])], "item bigint, item_list array<bigint>")
     wrong = {(r.g, r.rank_no, r.j) for r in topn.list_differences(top, lists, "item", "item_list").collect()}
     assert wrong == {(1, 2, 8), (2, 1, 9)}
+
+
+@pytest.mark.parametrize("limit", [topn.BROADCAST_GROUPS, 0])
+def test_many_groups_and_a_hot_one(spark, limit):
+    """Beyond what is broadcast: thousands of groups, most of them small, and one with a third of the rows."""
+    df = spark.range(12_000).selectExpr(
+        "if(id % 3 = 0, 0L, id % 2500) AS item_i", "id AS item_j", "cast(pmod(hash(id), 97) AS double) AS score", "'x' AS g", "0 AS size"
+    )
+    rows = [tuple(r) for r in df.collect()]
+    assert got(df, 5, broadcast_groups=limit) == brute(rows, 5)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.pairing import keyed_join, list_products
 from ..session import cut
 
 #: Items in a chunk: a row yields at most CHUNK * CHUNK pairs.
@@ -27,32 +28,25 @@ def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
     return df.select(df[basket].alias("b"), df[item].cast("bigint").alias("x")).where("b IS NOT NULL AND x IS NOT NULL").distinct()
 
 
-def _fitting(held: DataFrame, per_item: DataFrame, fit: DataFrame) -> DataFrame:
-    """The rows of ``held`` whose item is in ``fit``. Few unfit items are counted and broadcast; else the rows are shuffled by item."""
+def _fitting(held: DataFrame, per_item: DataFrame, fit: DataFrame, total: int) -> DataFrame:
+    """The rows of ``held`` whose item is in ``fit``. Few unfit items are counted and broadcast; else hot items are, and the rows of the others are shuffled by item."""
     unfit = cut(per_item.select("x").join(fit.select("x"), "x", "left_anti"))
     if unfit.count() <= BROADCAST_ITEMS:
         return held.join(F.broadcast(unfit), "x", "left_anti")
-    return held.join(fit.select("x"), "x", "left_semi")
+    return keyed_join(held, fit.select("x", "n_x"), "x", "n_x", total, "left_semi")
 
 
-def _pairs(held: DataFrame, sizes: DataFrame, chunk: int) -> DataFrame:
+def _pairs(held: DataFrame, sizes: DataFrame, chunk: int, total: int) -> DataFrame:
     """Every unordered pair of every basket, as ``i`` < ``j``; ``held`` is distinct (b, x), ``sizes`` has ``n`` >= the rows of each b."""
-    # The basket's chunks: items are dealt out by hash, so that huge baskets never pass through one task whole.
+    # Items are dealt out to the basket's chunks by hash, so that huge baskets never pass through one task whole.
     # A basket's number of chunks depends on its size alone.
-    many = cut(sizes.where(F.col("n") > chunk).select("b", F.ceil(F.col("n") / (chunk / 2)).cast("int").alias("chunks")))
+    many = cut(sizes.where(F.col("n") > chunk).select("b", F.ceil(F.col("n") / (chunk / 2)).cast("int").alias("chunks"), "n"))
     if many.count() <= BROADCAST_BASKETS:
-        many = F.broadcast(many)
-    dealt = held.join(many, "b", "left").select("b", "x", F.coalesce("chunks", F.lit(1)).alias("chunks"), F.pmod(F.xxhash64("x"), F.coalesce("chunks", F.lit(1))).cast("int").alias("c"))
-    lists = dealt.groupBy("b", "chunks", "c").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    within = F.flatten(F.expr("transform(xs, (v, k) -> transform(slice(xs, k + 2, size(xs)), w -> struct(v AS i, w AS j)))"))
-    ordinary = lists.select(F.explode(within).alias("p"))
-    # Chunk c goes to all pairs of chunks that it belongs to; where the other one holds no item, nothing meets it.
-    big = lists.where(F.col("chunks") > 1)
-    sent = big.select("b", "xs", "c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d")).where("c <> d")
-    met = sent.groupBy("b", F.least("c", "d").alias("c1"), F.greatest("c", "d").alias("c2")).agg(F.min_by("xs", "c").alias("xs"), F.max_by("xs", "c").alias("ys"), F.count(F.lit(1)).alias("chunks"))
-    across = F.flatten(F.expr("transform(xs, v -> transform(ys, w -> struct(least(v, w) AS i, greatest(v, w) AS j)))"))
-    products = met.where("chunks = 2").select(F.explode(across).alias("p"))
-    return ordinary.union(products).select("p.i", "p.j")
+        dealt = held.join(F.broadcast(many.drop("n")), "b", "left")
+    else:
+        dealt = keyed_join(held, many, "b", "n", total, "left")
+    chunks = F.coalesce("chunks", F.lit(1))
+    return list_products(dealt.select("b", "x", chunks.alias("chunks"), F.pmod(F.xxhash64("x"), chunks).cast("int").alias("c")), ("b",)).select("i", "j")
 
 
 def associations(df: DataFrame, basket: str, item: str, min_pairs: int = 1, min_lift: int = 0, chunk: int = CHUNK) -> DataFrame:
@@ -72,7 +66,8 @@ def associations(df: DataFrame, basket: str, item: str, min_pairs: int = 1, min_
     per_item = cut(held.groupBy("x").agg(F.count(F.lit(1)).alias("n_x")))
     total = held.select("b").distinct().agg(F.count(F.lit(1)).alias("n"))
     fit = per_item.crossJoin(F.broadcast(total)).where((F.col("n_x") >= min_pairs) & (F.col("n_x") * min_lift <= F.col("n")))
-    pairs = _pairs(_fitting(held, per_item, fit), held.groupBy("b").agg(F.count(F.lit(1)).alias("n")), chunk)
+    rows = held.count()
+    pairs = _pairs(_fitting(held, per_item, fit, rows), held.groupBy("b").agg(F.count(F.lit(1)).alias("n")), chunk, rows)
     least, most = per_item.agg(F.min("x"), F.max("x")).first()
     if least is not None and most - least < 2**31:  # two items fit one number: less to shuffle and to hash
         packed = pairs.select((F.shiftleft(F.col("i") - least, 32) + F.col("j") - least).alias("ij")).groupBy("ij").agg(F.count(F.lit(1)).alias("n_ij"))

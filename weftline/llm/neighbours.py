@@ -1,47 +1,59 @@
-"""Most similar vectors for every vector: exact, or by an inverted multi-index.
-
-Vectors are scaled to unit length. Unless a number of candidates is given, every
-vector meets every other: the vectors as queries are dealt out over parts by
-hash, all vectors stream past each part, and only those that may be among a
-query's best are looked at again. The work grows as the rows squared.
-
-The index is for whoever asks for it by a number of candidates. Vectors are cut into two halves. Each half is
-quantised by its own k-means; a vector lies in the cell of its two centroids.
-A query walks the cells by growing summed distance of its halves to the cell's
-centroids, popping them off a heap, until the cells hold enough entries, and
-reranks those entries by exact cosine.
-
-Distribution: cells of one first-half centroid form a block. A block's entries
-are dealt out over pieces of bounded size by hash; a query goes once to each
-piece of the blocks that it visits, with the list of second centroids. A block
-that owns a third of all rows is therefore many bounded tasks. Equal vectors are
-one entry with many members.
+"""Most similar vectors for every vector, by an inverted multi-index.
+
+Vectors are scaled to unit length and cut into two halves. Each half is
+quantised by its own k-means; a vector lies in the cell of its two centroids. A
+query walks the cells by growing summed distance of its halves to the cell's
+centroids, popping them off a heap, until that distance has grown by a certain
+reach, and the entries found there are reranked by exact cosine. The reach is
+measured on every table: a sample of queries is answered exactly, against all
+rows, and walks go as far as they must for the wanted recall of those answers.
+
+Cells are kept on shelves, so that few tasks have what a query needs: a shelf is
+the region of one of some centres of whole vectors, and a cell is looked up on the
+shelf where most of its entries lie (and on each shelf whose entries lie mostly
+in that cell). A query is compared with all entries of the shelves that it visits.
+
+Pairs above a bound of similarity are found without exception: the distance of
+two vectors on different shelves is at least the sum of their distances from the
+plane half way between the shelves' centres, so if they are closer than d, one of
+them is closer than d / 2 to that plane, and it visits the other's shelf too.
+
+Distribution: a shelf's entries and visitors are dealt out over pieces of
+bounded size by hash, and every piece of entries streams past every piece of
+visitors. A shelf that owns a third of all rows is therefore many bounded tasks.
+Of equal vectors only the first k + 1 are entries, and one of them asks for all.
 """
 
 from __future__ import annotations
 
 import heapq
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.pairing import keyed_join
 from ..session import cut, spread
 
-#: Both codebooks are fitted on at most this many vectors, those of least hash.
-FIT_ROWS = 20_000
-#: Queries in one part of the exact way: no more than ``MOST_QUERIES``, and no fewer than ``LEAST_QUERIES`` only to give every task a part.
-MOST_QUERIES, LEAST_QUERIES = 65_536, 4096
-#: What a cosine of single precision may be off by.
+#: The index is fitted on at most this many vectors, those of least hash; this many of them are the queries on which recall is measured.
+FIT_ROWS, FIT_QUERIES = 20_000, 256
+#: Share of the true neighbours of those queries that walks must reach.
+RECALL = 0.97
+#: Entries on a shelf, on average, and the most shelves.
+SHELF, MOST_SHELVES = 2048, 1024
+#: Most centroids of a half: a row for each occupied cell, at most their square, passes through the driver.
+MOST_CENTROIDS = 1024
+#: Entries and visitors in one piece.
+ENTRY_PIECE, QUERY_PIECE = 65_536, 16_384
+#: What a cosine of single precision, or a distance, may be off by.
 MARGIN = 1e-5
-#: Entries in one piece of a block; queries come in pieces of twice as many.
-PIECE = 4096
-#: Queries whose walks are held at once.
-VISIT_ROWS = 1000
+SLACK = 1e-4
+#: Vectors of equal ones that are broadcast, at most; their number is counted first.
+BROADCAST_CLASSES = 100_000
 
 
 def clean_vectors(df: DataFrame, key: str, vector: str, version: str | None, dim: int) -> DataFrame:
@@ -77,161 +89,161 @@ def _kmeans(rows: np.ndarray, k: int, seed: int, rounds: int = 10) -> np.ndarray
     return centres
 
 
-def fit_codebooks(vectors: DataFrame, centroids: int, fit_rows: int = FIT_ROWS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """A codebook for each half, fitted on the ``fit_rows`` vectors whose keys have the least hash."""
-    sample = vectors.orderBy(F.xxhash64("key"), "key").limit(fit_rows).select("v").collect()
-    rows = np.array([r.v for r in sample], dtype=np.float32)
-    half = rows.shape[1] // 2
-    return _kmeans(rows[:, :half], centroids, seed), _kmeans(rows[:, half:], centroids, seed + 1)
-
-
 def centroid_count(rows: int) -> int:
-    """A power of two near the cube root of the rows, so that the entries in a cell grow as the cube root too."""
-    return int(2 ** np.clip(round(np.log2(max(rows, 1)) / 3 + 0.3), 3, 12))
-
-
-def _distances(halves: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.maximum((halves**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * halves @ centres.T, 0)
-
-
-def _walk(d1: np.ndarray, d2: np.ndarray, sizes: array, k2: int, wanted: int) -> list[int]:
-    """Cells by summed distance until they hold ``wanted`` entries: the multi-sequence algorithm with a heap."""
+    """A power of two near twice the cube root of the rows, so that the entries in a cell grow as the cube root too."""
+    return int(2 ** np.clip(round(np.log2(max(rows, 1)) / 3 + 1.3), 3, np.log2(MOST_CENTROIDS)))
+
+
+def _distances(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum((rows**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * rows @ centres.T, 0)
+
+
+class Index:
+    """Codebooks of both halves, the centres of the shelves, and of each cell its entries and its shelf."""
+
+    def __init__(self, sample: np.ndarray, centroids: int, shelves: int, seed: int = 7):
+        self.half = sample.shape[1] // 2
+        self.first, self.second = _kmeans(sample[:, : self.half], centroids, seed), _kmeans(sample[:, self.half :], centroids, seed + 1)
+        self.centres = _kmeans(sample, shelves, seed + 2)
+        gap = np.sqrt(_distances(self.centres, self.centres))
+        self.gap = np.where(gap > 0, gap, np.inf)
+        self.shelves: dict[int, tuple[int, ...]] = {}
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cell and shelf of each vector."""
+        a, b = _distances(x[:, : self.half], self.first).argmin(1), _distances(x[:, self.half :], self.second).argmin(1)
+        return (a * len(self.second) + b).astype(np.int32), _distances(x, self.centres).argmin(1).astype(np.int32)
+
+    def fill(self, held: list[tuple[int, int]]) -> None:
+        """Notes on which shelves to look up which cells; a cell without a shelf is empty."""
+        for cell, shelf in sorted(set(held)):
+            self.shelves[cell] = (*self.shelves.get(cell, ()), shelf)
+
+    def _halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _distances(x[:, : self.half], self.first), _distances(x[:, self.half :], self.second)
+
+    def walked(self, x: np.ndarray, reach: float) -> list[set[int]]:
+        """The shelves of the cells that each query walks within ``reach``."""
+        return [{s for cell in _walk(p, q, self.shelves, reach) for s in self.shelves[cell]} for p, q in zip(*self._halves(x))]
+
+    def reaches(self, x: np.ndarray) -> np.ndarray:
+        """By query and shelf: the reach of a walk that leads there."""
+        d1, d2 = self._halves(x)
+        out = np.full((len(x), len(self.centres)), np.inf)
+        for cell, shelves in self.shelves.items():
+            summed = d1[:, cell // len(self.second)] + d2[:, cell % len(self.second)]
+            for s in shelves:
+                np.minimum(out[:, s], summed, out=out[:, s])
+        return out - (d1.min(1) + d2.min(1))[:, None]
+
+    def close(self, x: np.ndarray, distance: float) -> np.ndarray:
+        """By query and shelf: whether the plane half way to the shelf is within half of ``distance``."""
+        d = _distances(x, self.centres)
+        own = d.argmin(1)
+        from_plane = (d - d[np.arange(len(x)), own][:, None]) / (2 * self.gap[own])
+        near = from_plane <= distance / 2 + SLACK
+        near[np.arange(len(x)), own] = True
+        return near
+
+
+def _walk(d1: np.ndarray, d2: np.ndarray, held: dict[int, tuple[int, ...]], reach: float) -> list[int]:
+    """Cells that hold entries, by summed distance, until it exceeds the least by more than ``reach``: the multi-sequence algorithm with a heap."""
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
     s1, s2, l1, l2 = d1[o1].tolist(), d2[o2].tolist(), o1.tolist(), o2.tolist()
-    heap, visited, held = [(s1[0] + s2[0], 0, 0)], [], 0
-    while heap and held < wanted:
-        _, a, b = heapq.heappop(heap)
-        cell = l1[a] * k2 + l2[b]
-        if size := sizes[cell]:
+    k2, heap, visited, most = len(l2), [(s1[0] + s2[0], 0, 0)], [], s1[0] + s2[0] + reach
+    while heap:
+        summed, a, b = heapq.heappop(heap)
+        if summed > most:
+            break
+        if (cell := l1[a] * k2 + l2[b]) in held:
             visited.append(cell)
-            held += size
-        if b + 1 < len(l2):
+        if b + 1 < k2:
             heapq.heappush(heap, (s1[a] + s2[b + 1], a, b + 1))
         if b == 0 and a + 1 < len(l1):
             heapq.heappush(heap, (s1[a + 1] + s2[0], a + 1, 0))
     return visited
 
 
-def _coder(c1: np.ndarray, c2: np.ndarray):
-    half = c1.shape[1]
+def _matrix(v: pa.Array) -> np.ndarray:
+    flat = np.frombuffer(b"".join(v.to_pylist()), dtype=np.float32)
+    return flat.reshape(len(v), -1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _placer(index: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                x = np.stack(batch["v"].to_numpy()).astype(np.float32)
-                batch["block"], batch["second"] = _distances(x[:, :half], c1).argmin(1).astype(np.int32), _distances(x[:, half:], c2).argmin(1).astype(np.int32)
-                yield batch[["id", "v", "block", "second"]]
+            if not batch.num_rows:
+                continue
+            x = np.asarray(batch.column("v").flatten(), dtype=np.float32).reshape(batch.num_rows, -1)
+            cell, shelf = index.value.place(x)
+            packed = pa.array([row.tobytes() for row in x], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("asks"), packed, pa.array(cell), pa.array(shelf)], names=["key", "asks", "v", "cell", "shelf"])
 
     return run
 
 
-def _visitor(c1: np.ndarray, c2: np.ndarray, sizes: array, wanted: int):
-    half, k2 = c1.shape[1], len(c2)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _visitor(index: Broadcast, reach: float, distance: float | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), VISIT_ROWS):
-                batch = whole.iloc[at : at + VISIT_ROWS]
-                x = np.stack(batch["v"].to_numpy()).astype(np.float32)
-                d1, d2 = _distances(x[:, :half], c1), _distances(x[:, half:], c2)
-                rows, blocks, seconds = [], [], []
-                for r in range(len(x)):
-                    by_block: dict[int, list[int]] = {}
-                    for cell in _walk(d1[r], d2[r], sizes, k2, wanted):
-                        by_block.setdefault(cell // k2, []).append(cell % k2)
-                    rows += [r] * len(by_block)
-                    blocks += by_block
-                    seconds += by_block.values()
-                yield pd.DataFrame({"id": batch["id"].to_numpy()[rows], "v": batch["v"].to_numpy()[rows], "block": np.array(blocks, dtype=np.int32), "seconds": seconds})
-
-    return run
-
-
-def _reranker(k: int, step: int = 512):
-    def run(key, queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": np.array([], dtype=np.int64), "b": np.array([], dtype=np.int64), "cosine": np.array([], dtype=np.float64)})
-        if queries.empty or entries.empty:
-            return none
-        ids = entries["id"].to_numpy()
-        e = np.stack(entries["v"].to_numpy()).astype(np.float32)
-        second = entries["second"].to_numpy()
-        found = []
-        for at in range(0, len(queries), step):
-            part = queries.iloc[at : at + step]
-            q = np.stack(part["v"].to_numpy()).astype(np.float32)
-            wanted = np.zeros((len(part), int(max(second.max(), max(max(s) for s in part["seconds"]))) + 1), dtype=bool)
-            for r, s in enumerate(part["seconds"]):
-                wanted[r, s] = True
-            cosine = q @ e.T
-            cosine[~wanted[:, second]] = -2
-            cosine[part["id"].to_numpy()[:, None] == ids[None, :]] = -2
-            if k < len(ids):
-                top = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-                floor = np.take_along_axis(cosine, top, 1).min(1)
-                rows, cols = np.nonzero((cosine >= floor[:, None]) & (cosine > -1.5))  # ties at the floor stay in
-            else:
-                rows, cols = np.nonzero(cosine > -1.5)
-            exact = np.einsum("ij,ij->i", q[rows].astype(np.float64), e[cols].astype(np.float64))
-            found.append(pd.DataFrame({"a": part["id"].to_numpy()[rows], "b": ids[cols], "cosine": exact}))
-        return pd.concat(found) if found else none
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                x = _matrix(batch.column("v"))
+                shelves = index.value.walked(x, reach)
+                if distance is not None:
+                    for r, c in np.argwhere(index.value.close(x, distance)).tolist():
+                        shelves[r].add(c)
+                rows = np.repeat(np.arange(len(x)), [len(s) for s in shelves])
+                chosen = batch.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([chosen.column("key"), chosen.column("v"), pa.array([c for s in shelves for c in sorted(s)], pa.int32())], names=["key", "v", "shelf"])
 
     return run
 
 
-def _matrix(v: pa.Array) -> np.ndarray:
-    flat = np.frombuffer(b"".join(v.to_pylist()), dtype=np.float32)
-    return flat.reshape(len(v), -1)
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``id`` and the vector as bytes of single precision."""
-    for batch in batches:
-        vectors = [np.asarray(v, dtype=np.float32).tobytes() for v in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary())], names=["id", "v"])
-
-
 class _Best:
-    """The best ``k`` entries so far of each query of a part."""
+    """The best ``k`` entries so far of each query, by cosine, then by the entry's place."""
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
-        self.ids, self.q, self.k = ids, q, k
-        self.cosine, self.other = np.full((len(ids), k), -2.0), np.zeros((len(ids), k), dtype=np.int64)
+    def __init__(self, q: np.ndarray, k: int):
+        self.q, self.k, self.seen = q, k, 0
+        self.cosine, self.entry = np.full((len(q), k), -2.0), np.zeros((len(q), k), dtype=np.int64)
 
-    def meet(self, ids: np.ndarray, e: np.ndarray, step: int = 512) -> None:
-        for at in range(0, len(self.ids), step):
-            q, own = self.q[at : at + step], self.ids[at : at + step]
-            best, other = self.cosine[at : at + step], self.other[at : at + step]
+    def meet(self, e: np.ndarray, step: int = 512) -> None:
+        first, self.seen = self.seen, self.seen + len(e)
+        for at in range(0, len(self.q), step):
+            q, best, entry = (x[at : at + step] for x in (self.q, self.cosine, self.entry))
             near = q @ e.T
             floor = best[:, -1]
-            if floor.min() < -1.5 and len(ids) > self.k + 1:  # not full yet; one more than k, as a query may meet itself
-                floor = np.maximum(floor, np.partition(near, len(ids) - self.k - 1, axis=1)[:, len(ids) - self.k - 1] - MARGIN)
-            rows, cols = np.divmod(np.flatnonzero(near >= (floor - MARGIN).astype(np.float32)[:, None]), len(ids))
-            other_than_self = own[rows] != ids[cols]
-            rows, cols = rows[other_than_self], cols[other_than_self]
+            if floor.min() < -1.5 and len(e) > self.k:  # not full yet
+                floor = np.maximum(floor, np.partition(near, len(e) - self.k, axis=1)[:, len(e) - self.k] - MARGIN)
+            rows, cols = np.divmod(np.flatnonzero(near >= (floor - MARGIN).astype(np.float32)[:, None]), len(e))
             if not len(rows):
                 continue
             exact = np.einsum("ij,ij->i", q[rows].astype(np.float64), e[cols].astype(np.float64))
             hit = np.unique(rows)
             row = np.concatenate([np.repeat(hit, self.k), rows])
-            cosine, b = np.concatenate([best[hit].ravel(), exact]), np.concatenate([other[hit].ravel(), ids[cols]])
-            order = np.lexsort((b, -cosine, row))
+            cosine, number = np.concatenate([best[hit].ravel(), exact]), np.concatenate([entry[hit].ravel(), first + cols])
+            order = np.lexsort((number, -cosine, row))
             begins = np.searchsorted(row[order], hit)
             kept = order[begins[:, None] + np.arange(self.k)]
-            best[hit], other[hit] = cosine[kept], b[kept]
+            best[hit], entry[hit] = cosine[kept], number[kept]
+
 
-    def rows(self) -> pa.RecordBatch:
-        there = self.cosine > -1.5
-        a = np.repeat(self.ids, there.sum(1))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(self.other[there]), pa.array(self.cosine[there])], names=["a", "b", "cosine"])
+_MET = "a string, x array<struct<far: double, b: string>>"
 
 
 def _meeting(k: int, step: int = 4096):
-    """Over rows of ``part``, ``entry``, ``id``, ``v`` in that order: each part's queries, then all entries."""
+    """Over rows of ``part``, ``entry``, ``key``, ``v`` in that order: each part's queries, then its entries; the best of each query."""
+
+    def result(names: list[pa.Array], best: _Best, entries: list[pa.Array]) -> pa.RecordBatch:
+        there = best.cosine > -1.5
+        held = pa.chunked_array(entries).combine_chunks()
+        pairs = pa.StructArray.from_arrays([pa.array(-best.cosine[there]), held.take(pa.array(best.entry[there]))], names=["far", "b"])
+        offsets = np.concatenate([[0], np.cumsum(there.sum(1))]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.chunked_array(names).combine_chunks(), pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=["a", "x"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, ids, vectors, best = None, [], [], None
+        part, names, vectors, best, entries = None, [], [], None, []
         for batch in batches:
-            parts, entry, id_ = (batch.column(c).to_numpy() for c in range(3))
+            parts, entry = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             x = _matrix(batch.column(3))
             new = np.flatnonzero((parts[1:] != parts[:-1]) | (entry[1:] != entry[:-1])) + 1
             for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(parts)]):
@@ -239,107 +251,149 @@ def _meeting(k: int, step: int = 4096):
                     continue
                 if parts[lo] != part:
                     if best:
-                        yield best.rows()
-                    part, ids, vectors, best = parts[lo], [], [], None
+                        yield result(names, best, entries)
+                    part, names, vectors, best, entries = parts[lo], [], [], None, []
                 if not entry[lo]:
-                    ids.append(id_[lo:hi])
+                    names.append(batch.column(2).slice(lo, hi - lo))
                     vectors.append(x[lo:hi])
                     continue
                 if best is None:
-                    if not ids:  # a part without queries
+                    if not names:  # entries that nobody visits
                         continue
-                    best = _Best(np.concatenate(ids), np.concatenate(vectors), k)
+                    best = _Best(np.concatenate(vectors), k)
+                entries.append(batch.column(2).slice(lo, hi - lo))
                 for at in range(lo, hi, step):
-                    best.meet(id_[at : min(at + step, hi)], x[at : min(at + step, hi)])
+                    best.meet(x[at : min(at + step, hi)])
         if best:
-            yield best.rows()
+            yield result(names, best, entries)
 
     return run
 
 
-def _met(vectors: DataFrame, count: int, k: int) -> DataFrame:
-    """``a``, ``b``, ``cosine``: the ``k`` nearest of every ``id``, each compared with all others."""
-    spark = vectors.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    parts = max(-(-count // MOST_QUERIES), min(tasks, -(-count // LEAST_QUERIES)))
-    held = cut(spread(vectors).mapInArrow(_packed, "id bigint, v binary"))
-    queries = held.select(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("entry"), "id", "v")
-    entries = held.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("entry"), "id", "v")
-    dealt = queries.union(entries).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "entry")
-    return dealt.mapInArrow(_meeting(k), "a bigint, b bigint, cosine double")
-
-
-def _walked(classes: DataFrame, count: int, k: int, candidates: int, centroids: int | None, piece: int, fit_rows: int) -> DataFrame:
-    """``a``, ``b``, ``cosine``: of every ``id``, at least its ``k`` nearest of each piece of the index that it visits."""
-    c1, c2 = fit_codebooks(classes.select(F.col("id").alias("key"), "v"), centroids or centroid_count(count), fit_rows)
-    spark = classes.sparkSession
-    vectors = spread(classes.select("id", "v"))
-    entries = cut(vectors.mapInPandas(_coder(c1, c2), "id bigint, v array<float>, block int, second int"))
-    # a row per occupied cell: at most centroids ** 2
-    sizes = array("i", bytes(4 * len(c1) * len(c2)))
-    for r in entries.groupBy("block", "second").count().collect():
-        sizes[r.block * len(c2) + r.second] = r["count"]
-    queries = cut(vectors.mapInPandas(_visitor(c1, c2, sizes, candidates), "id bigint, v array<float>, block int, seconds array<int>"))
-    own_rows, visits = ({r.block: r["count"] for r in df.groupBy("block").count().collect()} for df in (entries, queries))  # a row per block
-
-    def parts(rows: dict[int, int], most: int) -> F.Column:
-        return F.get(F.array(*(F.lit(max(1, -(-rows.get(b, 0) // most))) for b in range(len(c1)))), F.col("block"))  # a constant, read by its index
-
-    entry_parts, query_parts = parts(own_rows, piece), parts(visits, 2 * piece)
-    here = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+def _asker(queries: np.ndarray, k: int):
+    """The best ``k`` rows of a partition for each of a few queries, with their shelves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, shelves = _Best(queries, k), []
+        for batch in batches:
+            if batch.num_rows:
+                best.meet(_matrix(batch.column("v")))
+                shelves.append(batch.column("shelf").to_numpy())
+        if shelves:
+            r, c = np.nonzero(best.cosine > -1.5)
+            yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int32)), pa.array(best.cosine[r, c]), pa.array(np.concatenate(shelves)[best.entry[r, c]])], names=["query", "cosine", "shelf"])
+
+    return run
+
+
+def measured_reach(index: Index, placed: DataFrame, queries: np.ndarray, k: int, recall: float) -> float:
+    """The reach with which walks lead to ``recall`` of the queries' true neighbours, found by comparing them with all rows."""
+    best = placed.mapInArrow(_asker(queries, k), "query int, cosine double, shelf int")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine")))
+    true = best.withColumn("place", place).where(F.col("place").between(2, k)).select("query", "shelf").collect()  # k - 1 rows for each of a few queries: themselves don't count
+    if not true:
+        return 0.0
+    needed = np.sort(index.reaches(queries)[[r["query"] for r in true], [r.shelf for r in true]])
+    return float(needed[int(np.ceil(recall * len(needed))) - 1]) + SLACK
+
+
+def _met(placed: DataFrame, visits: DataFrame, shelves: int, k: int) -> DataFrame:
+    """The best ``k`` entries of each query among those of the shelves that it visits, piece by piece."""
+    spark = placed.sparkSession
+    held, asked = ({r.shelf: r["count"] for r in df.groupBy("shelf").count().collect()} for df in (placed, visits))  # a row for each shelf
+    entries, queries = (np.array([max(1, -(-of.get(s, 0) // most)) for s in range(shelves)]) for of, most in ((held, ENTRY_PIECE), (asked, QUERY_PIECE)))
+    first = np.concatenate([[0], np.cumsum(entries * queries)])
+    of = lambda values: F.get(F.array(*(F.lit(int(v)) for v in values)), F.col("shelf"))
+    own = lambda n: F.pmod(F.xxhash64("key"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    sent = queries.withColumn("query_part", here(query_parts)).withColumn("entry_part", every(entry_parts))
-    dealt = entries.withColumn("entry_part", here(entry_parts)).withColumn("query_part", every(query_parts))
-    key = ("block", "entry_part", "query_part")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)  # set, as few bytes can be much work
-    sent, dealt = sent.repartition(tasks, *key), dealt.repartition(tasks, *key)
-    return sent.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(_reranker(k), "a bigint, b bigint, cosine double")
+    part = of(first[:-1]) + F.col("entry_piece") * of(queries) + F.col("query_piece")
+    dealt_entries = placed.select("key", "v", "shelf", own(of(entries)).alias("entry_piece"), every(of(queries)).alias("query_piece")).select(part.alias("part"), F.lit(1).alias("entry"), "key", "v")
+    dealt_queries = visits.select("key", "v", "shelf", own(of(queries)).alias("query_piece"), every(of(entries)).alias("entry_piece")).select(part.alias("part"), F.lit(0).alias("entry"), "key", "v")
+    # Few bytes are much work here: tasks are many, and where the parts are few enough to be weighed, each gets about as much work as any other.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    task = F.pmod(F.xxhash64("part"), F.lit(tasks)).cast("int")
+    if first[-1] <= 4096:
+        work = np.concatenate([np.repeat((held.get(s, 0) / e) * (asked.get(s, 0) / q), e * q) for s, (e, q) in enumerate(zip(entries.tolist(), queries.tolist()))])
+        task = F.get(F.array(*(F.lit(t) for t in _spread_evenly(work, tasks))), F.col("part"))
+    dealt = dealt_queries.union(dealt_entries).repartitionById(tasks, task).sortWithinPartitions("part", "entry", "key")
+    met = dealt.mapInArrow(_meeting(k), _MET)
+    return met.groupBy("a").agg(F.slice(F.sort_array(F.flatten(F.collect_list("x"))), 1, k).alias("x"))
+
+
+def _spread_evenly(work: np.ndarray, tasks: int) -> list[int]:
+    """A task for each part: the largest first, each to the task that has least so far."""
+    loads = [(0.0, t) for t in range(tasks)]
+    out = [0] * len(work)
+    for k in np.argsort(-work, kind="stable").tolist():
+        load, t = heapq.heappop(loads)
+        out[k] = t
+        heapq.heappush(loads, (load + float(work[k]) + 1.0, t))
+    return out
+
+
+def _distinct(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entries (``key``, ``v``, ``asks``: is it the first of its class), the keys of larger classes (``key``, ``a``: the class's first), and those classes (``a``, ``n`` keys).
+
+    A class is the keys of one vector, told by two hashes of 64 bits. Of a class the
+    first k + 1 keys are entries, as no list needs more of it.
+    """
+    for seed in range(0, 16, 2):
+        held = cut(vectors.select(F.col("key").cast("string").alias("key"), "v", F.xxhash64(F.lit(seed), "v").alias("id")))
+        other = F.xxhash64(F.lit(seed + 1), "v")
+        larger = cut(held.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(other).alias("low"), F.max(other).alias("high"), F.min("key").alias("a")).where("n > 1"))
+        if larger.where("low <> high").isEmpty():
+            break
+    else:
+        raise ValueError("eight hash functions in turn gave different vectors one value")
+    names, ids = larger.select("id", "a"), larger.select("id")
+    if larger.count() <= BROADCAST_CLASSES:
+        many, single = held.join(F.broadcast(names), "id"), held.join(F.broadcast(ids), "id", "left_anti")
+    else:
+        many, single = keyed_join(held, larger.select("id", "a", "n"), "id", "n", held.count()), held.join(ids, "id", "left_anti")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("key"))  # cut off before the shuffle by the limit below
+    first = many.withColumn("place", place).where(F.col("place") <= k + 1).select("key", "v", (F.col("place") == 1).alias("asks"))
+    return cut(single.select("key", "v", F.lit(True).alias("asks")).union(first)), many.select("key", "a"), larger.select("a", "n")
 
 
-def nearest(vectors: DataFrame, k: int = 10, candidates: int | None = None, centroids: int | None = None, piece: int = PIECE, fit_rows: int = FIT_ROWS) -> DataFrame:
+def nearest(
+    vectors: DataFrame, k: int = 10, alike: float | None = None, recall: float = RECALL, reach: float | None = None, centroids: int | None = None, shelves: int | None = None, fit_rows: int = FIT_ROWS
+) -> DataFrame:
     """The ``k`` most similar other keys of every key by cosine.
 
     ``vectors`` is what :func:`clean_vectors` gives. Returns ``a``, ``b``,
-    ``cosine`` and ``rank_no`` (by cosine descending, then ``b``; of different
-    vectors that tie for the last place any may stay). Keys with
-    equal vectors are neighbours of each other like any others. Exact, every
-    vector is compared with every other, unless ``candidates`` is given: then a
-    query walks cells of the index until they hold so many entries, and a
-    neighbour outside them is missed; the other parameters concern the index
-    only. Fewer than ``k`` other keys give fewer rows; an empty table
-    gives none.
+    ``cosine`` and ``rank_no`` (by cosine descending, then ``b``). Keys with
+    equal vectors are neighbours of each other like any others. Fewer than ``k``
+    other keys give fewer rows; an empty table gives none.
+
+    Walks go as far as leads to ``recall`` of the true neighbours of a sample of
+    queries, unless a ``reach`` is given (infinity: through all cells, which is
+    exact). With ``alike``, every pair of at
+    least that cosine is compared, without exception; such a pair is in the list
+    of one of the two or of both, see :func:`alike`.
     """
     spark = vectors.sparkSession
-    held, classes = _classes(vectors)
-    count = classes.count()
+    entries, members, classes = _distinct(vectors, k)
+    count = entries.count()
     if not count:
         return spark.createDataFrame([], "a string, b string, cosine double, rank_no int")
-    if candidates is None:
-        near = _met(classes.select("id", "v"), count, k)
-    else:
-        met = _walked(classes, count, k, candidates, centroids, piece, fit_rows)
-        near = met.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))).where(F.col("place") <= k)
-    # no key needs more than the first k + 1 members of a class, by key
-    member = F.row_number().over(Window.partitionBy("id").orderBy("key"))
-    first = held.withColumn("member", member).where(F.col("member") <= k + 1).groupBy("id").agg(F.collect_list("key").alias("others"))
-    pairs = near.select("a", "b", "cosine").union(classes.where("n > 1").select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0)))
-    listed = pairs.join(first.select(F.col("id").alias("b"), "others"), "b").select("a", F.explode("others").alias("b"), "cosine")
-    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))
-    best = listed.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("a").agg(F.collect_list(F.struct("cosine", "b")).alias("best"))
-    # a row per class meets the class's keys; adaptive execution splits a class of very many keys
-    each = held.select("key", F.col("id").alias("a")).join(best, "a").select(F.col("key").alias("a"), F.explode("best").alias("x")).select("a", "x.b", "x.cosine").where("a <> b")
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))
-    return each.withColumn("rank_no", rank).where(F.col("rank_no") <= k)
-
-
-def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``key``, ``id``) and the distinct vectors (``id``, ``v``, ``n`` keys); ``id`` is a hash, seeded anew should two vectors share one."""
-    for seed in range(8):
-        held = vectors.select("key", "v", F.xxhash64(F.lit(seed), "v").alias("id"))
-        classes = cut(held.groupBy("id").agg(F.min("v").alias("v"), F.max("v").alias("w"), F.count(F.lit(1)).alias("n")))
-        if classes.where("v <> w").isEmpty():
-            return held.select("key", "id"), classes.select("id", "v", "n")
-    raise ValueError("eight hash functions in turn gave different vectors one value")
+    sample = np.array([r.v for r in entries.where("asks").orderBy(F.xxhash64("key"), "key").limit(fit_rows).select("v").collect()], dtype=np.float32)
+    index = Index(sample, centroids or centroid_count(count), shelves or int(np.clip(count // SHELF, 1, MOST_SHELVES)))
+    placed = cut(spread(entries).mapInArrow(_placer(spark.sparkContext.broadcast(index)), "key string, asks boolean, v binary, cell int, shelf int"))
+    counts = placed.groupBy("cell", "shelf").count()
+    best = lambda of, by: counts.groupBy(of).agg(F.max_by(by, F.struct("count", by)).alias(by)).select("cell", "shelf")
+    index.fill([(r.cell, r.shelf) for r in best("cell", "shelf").union(best("shelf", "cell")).collect()])  # a row for each occupied cell and each shelf
+    reach = measured_reach(index, placed, sample[:FIT_QUERIES], k + 1, recall) if reach is None else reach
+    distance = None if alike is None else float(np.sqrt(max(0.0, 2 - 2 * alike)))
+    visits = cut(placed.where("asks").select("key", "v").mapInArrow(_visitor(spark.sparkContext.broadcast(index), reach, distance), "key string, v binary, shelf int"))
+    near = _met(placed, visits, len(index.centres), k + 1)
+    lists = near.select(F.col("a").alias("key"), "x")
+    if not classes.isEmpty():  # all keys of a class have its one list
+        own = near.join(F.broadcast(classes) if classes.count() <= BROADCAST_CLASSES else classes, "a")
+        shared = keyed_join(members.where("key <> a"), own, "a", "n", max(count, members.count()))
+        lists = lists.union(shared.select("key", "x"))
+    # a list holds the key itself, unless k + 1 keys of its class come before it
+    ranked = lists.select("key", F.posexplode(F.slice(F.filter("x", lambda e: e["b"] != F.col("key")), 1, k)).alias("place", "e"))
+    return ranked.select(F.col("key").alias("a"), F.col("e.b").alias("b"), (-F.col("e.far")).alias("cosine"), (F.col("place") + 1).alias("rank_no"))
 
 
 def alike(neighbours: DataFrame, at_least: float = 0.9) -> DataFrame:

@@ -3,7 +3,8 @@
 Items are spread over partitions of bounded size. Every partition packs its own
 by best fit, largest first, and emits the bins that are nearly full. The bins
 left underfull become items of the next round, in which a few partitions merge
-into one, until the rounds end in one partition or nothing merges any more. An
+into one, until the rounds end in one partition or, for a container by itself,
+nothing merges any more. An
 item goes through the tree only as long as its bin is underfull, so the shuffled
 data shrink from round to round.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,16 +24,18 @@ from pyspark.sql import functions as F
 from ..session import cut, spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-#: How a byte-level BPE splits text before merging; a fixed value of this kind of public vocabulary.
-SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: how byte-level BPE of this kind splits text before merging, as published with the vocabulary.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Items in a partition of the first round, and most in one of a later round.
 PART = 20_000
 #: Partitions that merge into one from round to round.
 FAN_IN = 8
 #: A bin is nearly full at this share of its capacity.
 NEARLY = 0.98
-#: Most containers that are broadcast.
+#: Most containers that are broadcast and packed side by side; more are packed in turns.
 MOST_CONTAINERS = 1000
+#: A container's rounds end when its underfull bins are still this share of what they were a round before.
+HARDLY_FEWER = 0.95
 
 _BIN = "container string, capacity int, part bigint, number int, fill int, docs array<bigint>, pieces array<int>, starts array<int>, tokens array<int>"
 
@@ -95,7 +99,7 @@ def _packer(pdf: pd.DataFrame) -> pd.DataFrame:
     ]
 
 
-def pack(sizes: DataFrame, containers: DataFrame, container: str = "container", capacity: str = "capacity", part: int = PART, nearly: float = NEARLY) -> DataFrame:
+def pack(sizes: DataFrame, containers: DataFrame, container: str = "container", capacity: str = "capacity", part: int = PART, nearly: float = NEARLY, most_containers: int = MOST_CONTAINERS) -> DataFrame:
     """Bins of each container's capacity that hold all items.
 
     ``sizes`` is ``doc``, ``tokens`` (> 0). Returns one row per piece:
@@ -111,14 +115,16 @@ def pack(sizes: DataFrame, containers: DataFrame, container: str = "container",
     items or containers there are no rows. Other columns are never read.
     """
     kinds = containers.select(containers[container].alias("container"), containers[capacity].cast("int").alias("capacity")).where("container IS NOT NULL AND capacity > 0").distinct()
-    if kinds.count() > MOST_CONTAINERS:
-        raise ValueError(f"more than {MOST_CONTAINERS} containers")
+    turns = -(-kinds.count() // most_containers)
+    if turns > 1:
+        packed = [pack(sizes, kinds.where(F.pmod(F.xxhash64("container", "capacity"), F.lit(2 * turns)) == turn), part=part, nearly=nearly, most_containers=2 * most_containers) for turn in range(2 * turns)]
+        return reduce(DataFrame.unionByName, packed)
     sizes = cut(sizes.select("doc", "tokens", F.monotonically_increasing_id().alias("row")))
     parts = max(1, -(-sizes.count() // part))
     each = sizes.crossJoin(F.broadcast(kinds)).withColumn("whole", F.expr("tokens div capacity"))
     # pieces as large as the container are bins already
     full = each.where("whole > 0").select("container", "capacity", "doc", "row", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int") - 1)).alias("piece"))
-    rest = each.where("tokens > whole * capacity").select("container", "capacity", "doc", F.col("whole").cast("int").alias("piece"), F.expr("cast(tokens - whole * capacity AS int)").alias("left"))
+    rest = each.where("tokens > whole * capacity").select("container", "capacity", "doc", "row", F.col("whole").cast("int").alias("piece"), F.expr("cast(tokens - whole * capacity AS int)").alias("left"))
     done = [
         full.select(
             "container", F.concat_ws("-", "container", "capacity", F.lit("whole"), "row", "piece").alias("bin"), F.col("doc").alias("doc_id"),
@@ -126,28 +132,30 @@ def pack(sizes: DataFrame, containers: DataFrame, container: str = "container",
         )
     ]
     open_bins = rest.select(
-        "container", "capacity", F.pmod(F.xxhash64("doc"), F.lit(parts)).alias("part"), F.col("left").alias("fill"), F.array("doc").alias("docs"),
+        "container", "capacity", F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"), F.col("left").alias("fill"), F.array("doc").alias("docs"),
         F.array("piece").alias("pieces"), F.array(F.col("piece") * F.col("capacity")).alias("starts"), F.array("left").alias("tokens"),
     )
-    level, before = 0, None
+    level, before = 0, {}
+    kind = F.concat_ws("-", "container", "capacity")
     while True:
         keyed = open_bins.withColumns({"first_doc": F.col("docs")[0], "first_piece": F.col("pieces")[0]})
         packed = cut(keyed.groupBy("container", "capacity", "part").applyInPandas(_packer, _BIN))
-        most = packed.where(F.col("fill") < nearly * F.col("capacity")).groupBy("container", "capacity").count().agg(F.max("count")).first()[0] or 0
-        last = not most or parts == 1 or (before is not None and most > 0.95 * before)
-        kept = packed if last else packed.where(F.col("fill") >= nearly * F.col("capacity"))
+        underfull = F.col("fill") < nearly * F.col("capacity")
+        left = {r.kind: r["count"] for r in packed.where(underfull).groupBy(kind.alias("kind")).count().collect()}  # a row for each container
+        going = [] if parts == 1 else [k for k, n in left.items() if n <= HARDLY_FEWER * before.get(k, float("inf"))]
+        goes_on = underfull & kind.isin(going)
         name = F.concat_ws("-", "container", "capacity", F.lit(level), "part", "number")
         row = F.explode(F.arrays_zip("docs", "pieces", "starts", "tokens"))
-        done.append(kept.select("container", name.alias("bin"), row.alias("x")).select("container", "bin", F.col("x.docs").alias("doc_id"), F.col("x.pieces").alias("piece_no"), F.col("x.starts").alias("start"), F.col("x.tokens").alias("tokens")))
-        if last:
+        done.append(
+            packed.where(~goes_on).select("container", name.alias("bin"), row.alias("x"))
+            .select("container", "bin", F.col("x.docs").alias("doc_id"), F.col("x.pieces").alias("piece_no"), F.col("x.starts").alias("start"), F.col("x.tokens").alias("tokens"))
+        )
+        if not going:
             break
-        parts = max(1, min(-(-parts // FAN_IN), parts - 1), -(-most // part))
-        open_bins = packed.where(F.col("fill") < nearly * F.col("capacity")).withColumn("part", F.col("part") % parts)
-        level, before = level + 1, most
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
+        parts = max(1, min(-(-parts // FAN_IN), parts - 1), -(-max(left[k] for k in going) // part))
+        open_bins = packed.where(goes_on).withColumn("part", F.col("part") % parts)
+        level, before = level + 1, left
+    return reduce(DataFrame.unionByName, done)
 
 
 def fill_report(packed: DataFrame, containers: DataFrame, container: str = "container", capacity: str = "capacity") -> DataFrame:

@@ -70,7 +70,7 @@ WITH texts AS (SELECT walk_id, min(path) AS path FROM walks GROUP BY walk_id),
 
 def _nearest_nodes(spark: SparkSession, folder: str) -> DataFrame:
     vectors = cut(neighbours.clean_vectors(_table(spark, folder, "node_vectors"), "node", "embedding", "loaded_at", 64))
-    return neighbours.nearest(vectors, 10)
+    return neighbours.nearest(vectors, 10, alike=0.9)
 
 
 def p4_nearest(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,8 +6,13 @@ round cuts every open group's interval of codes into at most 257 parts by its
 leading undecided bits, counts the rows of each part in one partially combined
 aggregation, and keeps of each group only the part in which its N-th row lies.
 A group closes as soon as its cutoff holds exactly N rows, after at most eight
-rounds on the score and eight on the identifier. No task ever sorts a whole
-group: at the end at most N rows of a group are left to rank.
+rounds on the score and eight on the identifier. Groups of at most N rows never
+take part. No task ever sorts a whole group: at the end at most N rows of a
+group are left to rank.
+
+A round reads the rows that were written last, and writes those still in
+question only once they are a quarter of these. Bounds are broadcast while they
+are few; beyond, those of hot groups are, and the other rows are shuffled by group.
 """
 
 from __future__ import annotations
@@ -18,12 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from ..operators.pairing import keyed_join
 from ..session import cut
 
 #: Bits that one round decides, i.e. 2 ** BITS midpoints for each open group.
 BITS = 8
-#: Beyond BROADCAST_GROUPS open groups, bounds are joined by (group, salt), which spreads a hot group over SALTS tasks.
-SALTS = 32
 #: At most this many rows of bounds (under 100 bytes each) are broadcast; their number is counted first.
 BROADCAST_GROUPS = 200_000
 
@@ -41,12 +45,11 @@ def _code(score: pd.Series) -> pd.Series:
     return pd.Series(code_of(score.to_numpy()))
 
 
-def _bounded(rows: DataFrame, bounds: DataFrame, groups: int, limit: int) -> DataFrame:
-    """``rows`` with the bounds of their group; rows of other groups go."""
+def _bounded(rows: DataFrame, bounds: DataFrame, groups: int, limit: int, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` with the bounds of their group; ``size`` of bounds says how many of ``total`` rows the group has."""
     if groups <= limit:
-        return rows.join(F.broadcast(bounds), "g")
-    salted = bounds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("j"), F.lit(SALTS)).cast("int")).join(salted, ["g", "salt"]).drop("salt")
+        return rows.join(F.broadcast(bounds.drop("size")), "g", how)
+    return keyed_join(rows, bounds, "g", "size", total, how)
 
 
 def top_n(df: DataFrame, group: str, item: str, score: str, n: int = 20, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
@@ -66,54 +69,57 @@ def top_n(df: DataFrame, group: str, item: str, score: str, n: int = 20, broadca
     )
     best = rows.groupBy("g", "j").agg(F.max("s").alias("s"))
     base = cut(best.select("g", "j", "s", _code("s").alias("c1"), F.expr("~j").alias("c2")))
-    sizes = base.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.min("c1").alias("lo"), F.max("c1").alias("hi"))
-    sizes = cut(sizes)
-    small = sizes.where(F.col("rows") <= n).select("g", F.lit(_LOWEST).alias("cut1"), F.lit(_LOWEST).alias("cut2"))
+    sizes = cut(base.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("c1").alias("lo"), F.max("c1").alias("hi")))
+    total, expected, groups = sizes.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in ("size", F.when(F.col("size") > n, F.col("size")), F.when(F.col("size") > n, 1)))).first()
     # phase 1 looks for the score's code c1, phase 2 for the identifier's code c2 among the rows whose c1 is cut1
-    bounds = sizes.where(F.col("rows") > n).select("g", F.lit(1).alias("phase"), F.lit(n).cast("bigint").alias("need"), F.lit(_LOWEST).alias("cut1"), "lo", "hi")
-    closed, candidates = [small], base.select("g", "j", "c1", "c2")
-    open_groups = bounds.count()
+    bounds = sizes.where(F.col("size") > n).select("g", "size", F.lit(1).alias("phase"), F.lit(n).cast("bigint").alias("need"), F.lit(_LOWEST).alias("cut1"), "lo", "hi")
+    closed, held, written, open_groups = [], base.select("g", "j", "c1", "c2"), total, groups
     while open_groups:
         bounds = bounds.withColumn("shift", F.greatest(F.lit(0), F.expr(f"if(lo = hi, 0, length(bin(lo ^ hi))) - {BITS}")))
         x = F.when(F.col("phase") == 1, F.col("c1")).otherwise(F.col("c2"))
         candidates = (
-            _bounded(candidates, bounds, open_groups, broadcast_groups)
+            _bounded(held, bounds, open_groups, broadcast_groups, total)
             .where(((F.col("phase") == 1) | (F.col("c1") == F.col("cut1"))) & x.between(F.col("lo"), F.col("hi")))
             .select("g", "j", "c1", "c2", x.alias("x"), F.expr("shiftright(if(phase = 1, c1, c2), shift)").alias("part"))
         )
-        candidates = cut(candidates)
+        if expected * 4 <= written:
+            candidates = cut(candidates)
+            held, written = candidates.select("g", "j", "c1", "c2"), expected
         counts = candidates.groupBy("g", "part").agg(
             F.count(F.lit(1)).alias("rows"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("c2").alias("lo2"), F.max("c2").alias("hi2")
         )
         above = F.sum("rows").over(Window.partitionBy("g").orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
         here = (
             counts.withColumn("above", above)
-            .join(bounds.select("g", "phase", "need", "cut1"), "g")
+            .join(bounds.select("g", "size", "phase", "need", "cut1"), "g")
             .where((F.col("above") >= F.col("need")) & (F.col("above") - F.col("rows") < F.col("need")))
             .withColumn("rest", F.col("need") - F.col("above") + F.col("rows"))
         )
         here = cut(here)
         whole = F.col("rest") == F.col("rows")
         first = F.col("phase") == 1
-        closed.append(here.where(whole).select("g", F.when(first, F.col("lo")).otherwise(F.col("cut1")).alias("cut1"), F.when(first, F.lit(_LOWEST)).otherwise(F.col("lo")).alias("cut2")))
+        closed.append(
+            here.where(whole).select("g", "size", F.when(first, F.col("lo")).otherwise(F.col("cut1")).alias("cut1"), F.when(first, F.lit(_LOWEST)).otherwise(F.col("lo")).alias("cut2"))
+        )
         tied = first & (F.col("lo") == F.col("hi"))
         bounds = here.where(~whole).select(
-            "g",
+            "g", "size",
             F.when(tied, F.lit(2)).otherwise(F.col("phase")).alias("phase"),
             F.col("rest").alias("need"),
             F.when(tied, F.col("lo")).otherwise(F.col("cut1")).alias("cut1"),
             F.when(tied, F.col("lo2")).otherwise(F.col("lo")).alias("lo"),
             F.when(tied, F.col("hi2")).otherwise(F.col("hi")).alias("hi"),
+        )
+        open_groups, expected = here.where(~whole).agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    kept = base
+    if closed:
+        cutoffs = closed[0]
+        for more in closed[1:]:
+            cutoffs = cutoffs.union(more)
+        # rows of the groups that took no part have no cutoff and stay
+        kept = _bounded(base, cut(cutoffs), groups, broadcast_groups, total, "left").where(
+            F.col("cut1").isNull() | (F.col("c1") > F.col("cut1")) | ((F.col("c1") == F.col("cut1")) & (F.col("c2") >= F.col("cut2")))
         )
-        open_groups = bounds.count()
-        candidates = candidates.select("g", "j", "c1", "c2")
-    cutoffs = closed[0]
-    for more in closed[1:]:
-        cutoffs = cutoffs.union(more)
-    cutoffs = cut(cutoffs)
-    kept = _bounded(base, cutoffs, cutoffs.count(), broadcast_groups).where(
-        (F.col("c1") > F.col("cut1")) | ((F.col("c1") == F.col("cut1")) & (F.col("c2") >= F.col("cut2")))
-    )
     rank = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("c1"), F.desc("c2")))
     return kept.select("g", "j", F.col("s").alias("score"), rank.alias("rank_no"))
 
