@@ -5,6 +5,7 @@ import unicodedata
 
 import numpy as np
 import pytest
+import recall_of_leaks
 
 from weftline.llm import leaks
 
@@ -81,12 +82,11 @@ def test_blocks_and_empty(spark, monkeypatch):
 
 def test_search_against_find():
     """Every occurrence of every pattern, as str.find would give them."""
-    spaced, _ = leaks.build([(1, ITEM), (2, OTHER)])
+    spaced, _, _ = leaks.build([(1, ITEM), (2, OTHER)])
     text = (NOISE + ITEM[40:200] + OTHER + ITEM) * 3
-    codes, _, _ = leaks._stream([text])
+    codes, _, firsts = leaks._stream([text])
     raw = codes.tobytes()
-    place, item, word = spaced.search(codes)
-    got = sorted(zip(place.tolist(), item.tolist(), word.tolist()))
+    got = sorted(x for part in spaced.matches(*spaced.search(codes), firsts) for x in zip(*(y.tolist() for y in part)))
     wanted = []
     for k, source in enumerate((ITEM, OTHER)):
         own = leaks._stream([source])[0][:-1].tobytes()
@@ -105,7 +105,7 @@ def test_pieces_of_long_texts(spark, monkeypatch):
     parts = [x for part in leaks._parts([r[0] for r in rows], [r[1] for r in rows], 4000) for x in part]
     assert all(any(ITEM in t for d, t in parts if d == k) for k, _ in rows) and max(len(t) for _, t in parts) <= 8000
     scripts = leaks.build([(1, ITEM)])
-    hits = {parts[t][0] for t, _ in leaks.find([t for _, t in parts], *scripts, 20, 28, 6 / 7)}
+    hits = {parts[t][0] for t, _ in leaks.find([t for _, t in parts], scripts, 20, 28, 6 / 7)}
     assert hits == {k for k, _ in rows}
 
 
@@ -114,9 +114,9 @@ def test_longer_passages_whose_alterations_lie_close():
     there = np.zeros(60, dtype=np.int32)
     there[10:38] = 1
     there[22:26] = 0
-    assert leaks.carries(there, np.ones(60), 20, 6 / 7, leaks.RUN)
+    assert leaks.carries(there, np.ones(60), 20, 6 / 7)
     there[21] = 0
-    assert not leaks.carries(there, np.ones(60), 20, 6 / 7, leaks.RUN)
+    assert not leaks.carries(there, np.ones(60), 20, 6 / 7)
 
 
 def test_every_run_is_tried():
@@ -126,10 +126,73 @@ def test_every_run_is_tried():
     there[[3, 10]] = 0
     weights[[3, 10]] = 2.0  # 18 of 22: neither enough weight nor, with what follows, dense
     there[22:34:3] = 1
+    assert not leaks.carries(there, weights, 20, 6 / 7)
     there[50:70] = 1
     there[[55, 60, 65]] = 0
     weights[[55, 60, 65]] = 1.3  # 17 of 20.9, in a stretch that is dense all along
-    assert leaks.carries(there, weights, 20, 6 / 7, leaks.RUN)
+    assert leaks.carries(there, weights, 20, 6 / 7)
+
+
+def test_a_run_begins_and_ends_with_words_that_are_there():
+    there = np.zeros(60, dtype=np.int32)
+    there[10:29] = 1
+    assert not leaks.carries(there, np.ones(60), 20, 6 / 7)  # 19 words
+    there[29] = 1
+    assert leaks.carries(there, np.ones(60), 20, 6 / 7)
+
+
+SCRIPTS = {
+    "greek": (0x3B1, 0x3CA), "cyrillic": (0x430, 0x450), "armenian": (0x561, 0x587), "hebrew": (0x5D0, 0x5EB), "arabic": (0x627, 0x64B), "hindi": (0x915, 0x93A),
+    "georgian": (0x10D0, 0x10F1), "hangul": (0xAC00, 0xB000), "vietnamese": (0x1EA0, 0x1EFA), "polish": (0x141, 0x143), "supplementary": (0x10400, 0x10428),
+}
+
+
+@pytest.mark.parametrize("name", SCRIPTS)
+def test_script(name):
+    """A passage is found in its script; other words of the same lengths are not, and cost few matches."""
+    rng = random.Random(name)
+    letters = [chr(c) for c in range(*SCRIPTS[name]) if chr(c).isalpha()] + (list("aeionrstw") if name == "polish" else [])
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(40)]
+    same_lengths = [["".join(rng.choice(letters) for _ in w) for w in words] for _ in range(5)]
+    texts = [NOISE + " ".join(words[8:32]) + ". " + NOISE, *(" ".join(w) for w in same_lengths)]
+    scripts = leaks.build([(1, " ".join(words))])
+    assert leaks.find(texts, scripts, 20, 28, 6 / 7) == [(0, 1)]
+    if scripts[2].ids:
+        stream = leaks._stream([" ".join(" ".join(w) for w in same_lengths)])[1].astype(np.int64)
+        assert len(scripts[2].search(stream)[0]) <= 2
+
+
+def test_numbers_that_collide_are_told_apart_by_letters(monkeypatch):
+    """All windows share one number and one bucket: the letters still decide."""
+    monkeypatch.setattr(leaks.Script, "windows", lambda self, codes, ends: np.zeros(len(ends), np.int64))
+    scripts = leaks.build([(1, ITEM), (2, OTHER)])
+    assert leaks.find([NOISE + ITEM + NOISE, NOISE], scripts, 20, 28, 6 / 7) == [(0, 1)]
+
+
+def test_common_windows_are_taken_in_parts(monkeypatch):
+    """Items that share all their wording, a text that repeats it: more matches than are looked at at once."""
+    items = [(k, ITEM + f" ending{k}") for k in range(30)]
+    texts = [NOISE, (ITEM + ". ") * 20, NOISE + ITEM, NOISE]
+    scripts = leaks.build(items)
+    whole = leaks.find(texts, scripts, 20, 28, 6 / 7)
+    monkeypatch.setattr(leaks, "MOST_MATCHES", 500)
+    assert whole == leaks.find(texts, scripts, 20, 28, 6 / 7) == [(t, k) for t in (1, 2) for k in range(30)]
+
+
+def test_blocks_of_items_change_nothing(spark, monkeypatch):
+    """The items of the tables in one block and in many: weights are of all items."""
+    folder = "/root/testdata/sf0.01"
+    docs, items = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "eval_items"))
+    run = lambda: {tuple(r) for r in leaks.leaks(docs, items, "doc_id", "text", "item_id", "text").collect()}
+    whole = run()
+    monkeypatch.setattr(leaks, "ITEM_CHARS", 8000)
+    assert len(whole) > 20 and run() == whole
+
+
+def test_recall_of_altered_passages():
+    items = recall_of_leaks.items_of("/root/testdata/sf0.1")
+    assert recall_of_leaks.recall(items, [22, 28, 35], 1 / 7, 60, False) >= 0.97
+    assert recall_of_leaks.recall(items, [31, 36, 50], 1 / 7, 60, True) >= 0.95
 
 
 def test_other_scripts():
@@ -151,5 +214,5 @@ def test_other_scripts():
     texts.append(NOISE + thai[8:40] + NOISE)
     wanted.add((9, 10))
     batch = leaks.pa.RecordBatch.from_arrays([leaks.pa.array(range(len(texts)), leaks.pa.int64()), leaks.pa.array(texts)], names=["doc", "text"])
-    got = {(r["doc_id"], r["item_id"]) for out in leaks._finder(items, 20, 28, 6 / 7)(iter([batch])) for r in out.to_pylist()}
+    got = {(r["doc_id"], r["item_id"]) for out in leaks._finder(items, leaks.held_by(items), 20, 28, 6 / 7)(iter([batch])) for r in out.to_pylist()}
     assert got == wanted

@@ -7,22 +7,26 @@ length that begin at every word of every item (every character, where a script
 has no blanks).
 
 Search: a table tells for every block of ``B`` characters how far the nearest
-pattern's end can be; the search reads the block at its position, skips that
-far, and only where the skip is 0 looks the window up among the sorted patterns,
-packed losslessly into one integer each. Many stretches of a batch of texts
-advance at once, one array operation for all. Items that hold letters other than
-a to z and 0 to 9 (Greek, Cyrillic, Arabic, Thai ...) are compared by code points;
-their windows are hashed to 64 bits, and the alignment sorts out what collides.
+pattern's end can be; the search reads the block at its position and skips that
+far. Where the skip is 0, the block selects the bucket of the patterns that end in
+it; within the bucket the window's number is looked up, and the letters of pattern
+and text are then compared one by one. Many stretches of a batch of texts advance at
+once, one array operation for all. Items that hold letters other than a to z and
+0 to 9 (Greek, Cyrillic, Arabic, Thai ...) are searched and compared by code points.
 
 Matches of one item on nearby diagonals of one text are candidates. Each is
-aligned word by word, and counts if some run of ``min_words`` words of the item
-(``min_chars`` letters without blanks) is there in order but for one in seven.
+aligned word by word along its longest chain of matches, and counts if some run of
+``min_words`` words of the item (``min_chars`` letters without blanks), or of more, is
+there in order but for one in seven, and if those words are not common phrases only:
+a word weighs the more the fewer of all items hold it. The weights are counted once,
+over all items, so a result doesn't depend on how items are blocked.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import cut, spread
 
 #: Items are searched for in blocks of about this many characters; each block is a pass over the texts.
 ITEM_CHARS = 4_000_000
@@ -44,15 +48,23 @@ MARGIN = 20_000
 #: Characters of one stretch of the search.
 STRETCH = 2048
 #: Diagonals in one bin; a page header or some inserted words shift a passage by less.
-DRIFT = 128
-
-#: Shares of a passage's weight, see :func:`carries`; words that few items hold weigh more.
-ENOUGH, SHARE = 0.86, 0.75
-#: Share of the words of the stretch around a passage that must be there, with and without blanks between words, and the missing words in a row that end the stretch.
-RUN, RUN_BLANKLESS, LOST = 0.82, 0.84, 3
+DRIFT = 64
+
+#: Shares of a passage's weight that are enough by themselves, and in a dense stretch, and the share of the words that makes a stretch dense: with and without blanks between words. See :func:`carries`.
+ENOUGH, SHARE, RUN = 0.86, 0.80, 0.82
+ENOUGH_BLANKLESS, SHARE_BLANKLESS, RUN_BLANKLESS = 0.95, 0.85, 0.85
+#: Missing words in a row that end a stretch.
+LOST = 3
+#: Matches that are looked at at once; more are taken text by text, then item by item.
+MOST_MATCHES = 4_000_000
+#: Matching windows that make a candidate.
+LEAST = 4
+#: Letters beyond a word within which the alignment looks for it, for each word missed before; it gives up after MISSED words.
+STEP, MISSED = 14, 4
 
 _TABLE = 0x30000
 _OTHER, _MANY, _END = 37, 255, 254
+_BASE = 0x9E3779B1  # of a window of code points: its number wraps around
 _LIGATURES = {"œ": "oe", "æ": "ae"}  # which have no compatibility form
 
 
@@ -113,60 +125,70 @@ class Script:
 
     length: int  # of a pattern
     block: int  # B
-    base: int  # of the packed window; for letters of any script, of a hash that wraps around
-    run: float
+    base: int  # of a window's number, which wraps around unless the base is 38
+    bounds: tuple[float, float, float]  # ENOUGH, SHARE, RUN
     words: list = field(default_factory=list)  # by item: its words, as bytes of small codes or as strings
     starts: list = field(default_factory=list)  # by item: where each word begins in the item's stream
-    ids: list = field(default_factory=list)
     weights: list = field(default_factory=list)  # by item: of each word, the more the fewer items hold it
-    keys: np.ndarray = None  # sorted distinct packed patterns
-    first: np.ndarray = None  # by key: its first occurrence, and one past the last
-    item: np.ndarray = None  # by occurrence
-    word: np.ndarray = None
+    ids: list = field(default_factory=list)
+    letters: np.ndarray = None  # by key: the pattern
+    keys: np.ndarray = None  # numbers of the distinct patterns, in order within each bucket
+    bucket: np.ndarray = None  # by block: its first key; one more at the end
+    occurrence: np.ndarray = None  # key and item of every occurrence in one number, in order
+    word: np.ndarray = None  # by occurrence
     shift: np.ndarray = None
 
     def blocks(self, codes: np.ndarray) -> np.ndarray:
-        """The block that ends at each position, as an index of the shift table."""
+        """The block that ends at each position, as an index of the shift and bucket tables."""
+        if self.base != 38:
+            return _hashed(codes)
         c = codes.astype(np.int32)
         out = c.copy()
         for back in range(1, self.block):
             out[back:] += c[:-back] * np.int32(38**back)
-        return out if self.base == 38 else _hashed(c)
+        return out
 
     def windows(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The packed windows that end at ``ends``."""
+        """The numbers of the windows that end at ``ends``."""
         out = np.zeros(len(ends), np.int64)
         for k in range(self.length):
             out = out * self.base + codes[ends - self.length + 1 + k]
         return out
 
     def build(self, streams: list[np.ndarray]) -> None:
-        held = Counter(w for words in self.words for w in set(words))
-        self.weights = [np.array([np.log((len(self.words) + 1) / held[w]) for w in words]) for words in self.words]
         size = 38**self.block if self.base == 38 else 1 << 20
         self.shift = np.full(size, self.length - self.block + 1, np.uint8)
-        keys, item, word = [], [], []
+        suffix, number, item, word, letters = [], [], [], [], []
         for k, (codes, starts) in enumerate(zip(streams, self.starts)):
             begins = np.asarray([s for s in starts if s + self.length <= len(codes)], dtype=np.int64)
             if not len(begins):
                 continue
-            blocks = self.blocks(codes)
+            blocks, ends = self.blocks(codes), begins + self.length - 1
             for end in range(self.block - 1, self.length):
                 np.minimum.at(self.shift, blocks[begins + end], np.uint8(self.length - 1 - end))
-            keys.append(self.windows(codes, begins + self.length - 1))
+            suffix.append(blocks[ends])
+            number.append(self.windows(codes, ends))
             item.append(np.full(len(begins), k))
             word.append(np.searchsorted(starts, begins))
-        keys, item, word = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, item, word))
-        order = np.argsort(keys, kind="stable")
-        self.item, self.word = item[order], word[order]
-        self.keys, first = np.unique(keys[order], return_index=True)
-        self.first = np.append(first, len(order))
-
-    def search(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where patterns begin in the stream, with the item and word of each: Wu-Manber."""
+            letters.append(codes[begins[:, None] + np.arange(self.length)])
+        if not suffix:
+            self.keys = np.zeros(0, np.int64)
+            return
+        suffix, number, item, word, letters = (np.concatenate(x) for x in (suffix, number, item, word, letters))
+        order = np.lexsort((*letters.T[::-1], number, suffix))
+        suffix, number, item, word, letters = (x[order] for x in (suffix, number, item, word, letters))
+        new = np.append(True, (letters[1:] != letters[:-1]).any(1))
+        key = np.cumsum(new) - 1
+        self.keys, self.letters = number[new], letters[new]
+        self.bucket = np.searchsorted(suffix[new], np.arange(size + 1)).astype(np.int32)
+        order = np.lexsort((word, item, key))
+        self.occurrence, self.word = (key * len(self.ids) + item)[order], word[order]
+
+    def search(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where patterns begin in the stream, and the key of each, by place: Wu-Manber."""
         none = np.zeros(0, np.int64)
         if not len(self.keys) or len(codes) < self.length:
-            return none, none, none
+            return none, none
         blocks, shift = self.blocks(codes), self.shift
         at = np.maximum(np.arange(0, len(codes), STRETCH), self.length - 1)
         end = np.minimum(np.arange(0, len(codes), STRETCH) + STRETCH, len(codes))
@@ -179,14 +201,52 @@ class Script:
             inside = at < end
             if not inside.all():
                 at, end = at[inside], end[inside]
-        ends = np.concatenate(maybe)
-        keys = self.windows(codes, ends)
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        right = self.keys[place] == keys
-        ends, place = ends[right], place[right]
-        many = self.first[place + 1] - self.first[place]
-        occurrence = np.repeat(self.first[place] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        return np.repeat(ends - self.length + 1, many), self.item[occurrence], self.word[occurrence]
+        ends = np.sort(np.concatenate(maybe))
+        wanted = self.windows(codes, ends)
+        low, high = (self.bucket[blocks[ends] + k].astype(np.int64) for k in (0, 1))
+        last = high
+        while (low < high).any():  # bisection within all buckets at once
+            middle = (low + high) >> 1
+            less = (low < high) & (self.keys[np.minimum(middle, len(self.keys) - 1)] < wanted)
+            low, high = np.where(less, middle + 1, low), np.where(less | (low >= high), high, middle)
+        places, found = [], []
+        while True:  # more than one round only where patterns of one bucket share a number
+            held = low < last
+            held &= self.keys[np.minimum(low, len(self.keys) - 1)] == wanted
+            if not held.any():
+                break
+            ends, wanted, low, last = ends[held], wanted[held], low[held], last[held]
+            begins = ends - self.length + 1
+            same = (codes[begins[:, None] + np.arange(self.length)] == self.letters[low]).all(1)
+            places.append(begins[same])
+            found.append(low[same])
+            low = low + 1
+        if not places:
+            return none, none
+        places, found = np.concatenate(places), np.concatenate(found)
+        order = np.argsort(places, kind="stable")
+        return places[order], found[order]
+
+    def matches(self, place: np.ndarray, key: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(places, items, words) of all occurrences, some texts or some items at a time: what concerns one text and one item stays together."""
+        text = np.searchsorted(firsts, place, side="right") - 1
+        blocks = [(0, len(place), 0, len(self.ids))]
+        while blocks:
+            a, b, first, last = blocks.pop()
+            low, high = (np.searchsorted(self.occurrence, key[a:b] * len(self.ids) + k) for k in (first, last))
+            many = high - low
+            total = int(many.sum())
+            if not total:
+                continue
+            if total <= MOST_MATCHES or (text[a] == text[b - 1] and last - first == 1):
+                at = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(total)
+                yield np.repeat(place[a:b], many), self.occurrence[at] % len(self.ids), self.word[at]
+            elif text[a] == text[b - 1]:
+                half = (first + last) // 2
+                blocks += [(a, b, half, last), (a, b, first, half)]
+            else:
+                half = int(np.searchsorted(text[a:b], (text[a] + text[b - 1] + 1) // 2)) + a
+                blocks += [(half, b, first, last), (a, half, first, last)]
 
 
 def _hashed(points: np.ndarray) -> np.ndarray:
@@ -206,47 +266,43 @@ def _blankless(points: np.ndarray) -> np.ndarray:
     return (points >= 0x3040) & (points < 0xA000) | (points >= 0x20000) | southeast
 
 
-def _is_foreign(text: str) -> bool:
-    """Whether a text with blanks between words holds letters that share a small code."""
+def _words(text: str) -> list[tuple[str, bytes]]:
+    """The item's words, folded, and their small codes; of a text without blanks, its letters."""
     codes, points, _ = _stream([text])
-    return not _is_blankless(points[:-1]) and bool((codes == _OTHER).any())
-
-
-def build(items: list[tuple[int, str]]) -> tuple[Script, Script]:
-    """The patterns of items with blanks between words, and of those without."""
-    spaced, blankless = Script(12, 4, 38, RUN), Script(4, 2, 1 << 16, RUN_BLANKLESS)
-    streams: tuple[list, list] = ([], [])
+    if _is_blankless(points[:-1]):
+        return [(chr(p), b"") for p in points[:-1].tolist()]
+    out = []
+    for word in _split(text):
+        codes, points, _ = _stream([word])
+        if len(codes) > 1:
+            out.append(("".join(map(chr, points[:-1].tolist())), codes[:-1].tobytes()))
+    return out
+
+
+def held_by(items: list[tuple[int, str]]) -> tuple[dict[str, int], int]:
+    """How many of the items hold each word, and how many there are."""
+    return Counter(w for _, text in items for w in {w for w, _ in _words(text)}), len(items)
+
+
+def build(items: list[tuple[int, str]], held: tuple[dict[str, int], int] | None = None) -> tuple[Script, Script, Script]:
+    """The patterns of items with blanks between words, of those without, and of those with blanks and letters of any script; ``held``: see :func:`held_by`."""
+    spaced, blankless, foreign = scripts = Script(12, 4, 38, (ENOUGH, SHARE, RUN)), Script(4, 2, _BASE, (ENOUGH_BLANKLESS, SHARE_BLANKLESS, RUN_BLANKLESS)), Script(12, 2, _BASE, (ENOUGH, SHARE, RUN))
+    streams: tuple[list, ...] = ([], [], [])
+    counts, total = held or held_by(items)
     for item, text in items:
         codes, points, _ = _stream([text])
         codes, points = codes[:-1], points[:-1]
-        if _is_blankless(points):
-            blankless.ids.append(item)
-            points = points & 0xFFFF
-            blankless.words.append([int(p) for p in points])
-            blankless.starts.append(np.arange(len(points)))
-            streams[1].append(points.astype(np.int64))
-            continue
-        words = [w for w in (_stream([x])[0][:-1].tobytes() for x in _split(text)) if w]
-        spaced.ids.append(item)
-        spaced.words.append(words)
-        spaced.starts.append(np.cumsum([0, *map(len, words)])[:-1])
-        streams[0].append(codes)
-    spaced.build(streams[0])
-    blankless.build(streams[1])
-    return spaced, blankless
-
-
-def build_foreign(items: list[tuple[int, str]]) -> Script:
-    """The patterns of items with blanks between words and letters of any script."""
-    foreign, streams = Script(12, 2, 0x9E3779B1, RUN), []
-    for item, text in items:
-        words = [w for w in ("".join(map(chr, _stream([x])[1][:-1].tolist())) for x in _split(text)) if w]
-        foreign.ids.append(item)
-        foreign.words.append(words)
-        foreign.starts.append(np.cumsum([0, *map(len, words)])[:-1])
-        streams.append(_stream([text])[1][:-1].astype(np.int64))
-    foreign.build(streams)
-    return foreign
+        kind = 1 if _is_blankless(points) else 2 if (codes == _OTHER).any() else 0
+        words = _words(text)
+        own = scripts[kind]
+        own.ids.append(item)
+        own.words.append([small if kind == 0 else word for word, small in words])
+        own.starts.append(np.cumsum([0, *(len(word) for word, _ in words)])[:-1])
+        own.weights.append(np.array([np.log((total + 1) / counts[word]) for word, _ in words]))
+        streams[kind].append(codes if kind == 0 else points.astype(np.int64))
+    for script, own in zip(scripts, streams):
+        script.build(own)
+    return spaced, blankless, foreign
 
 
 def _split(text: str) -> list[str]:
@@ -254,8 +310,8 @@ def _split(text: str) -> list[str]:
     return re.split(r"[\W_]+", "".join(c for c in text if not unicodedata.category(c).startswith("M")))
 
 
-def _present(words: list[bytes], anchors: list[tuple[int, int]], near: bytes, length: int) -> np.ndarray:
-    """Which of the item's words are there in order; anchors: (word, place in ``near``) of patterns."""
+def _present(words: list, anchors: list[tuple[int, int]], near: bytes | str, length: int) -> np.ndarray:
+    """Which of the item's words are there in order; anchors: (word, place in ``near``) of patterns, growing in both."""
     there = np.zeros(len(words), dtype=np.int32)
     chain: list[tuple[int, int, int]] = []  # word, from, to
     for word, place in anchors:
@@ -278,16 +334,16 @@ def _present(words: list[bytes], anchors: list[tuple[int, int]], near: bytes, le
                 there[w] = 1
                 at = k + len(words[w])
     w, at, missed = chain[-1][0] + 1, chain[-1][2], 0
-    while w < len(words) and missed < 4:
-        k = near.find(words[w], at, at + len(words[w]) + (14 * (missed + 1) if len(words[w]) > 2 else 3))
+    while w < len(words) and missed < MISSED:
+        k = near.find(words[w], at, at + len(words[w]) + (STEP * (missed + 1) if len(words[w]) > 2 else 3))
         if k >= 0:
             there[w], at, missed = 1, k + len(words[w]), 0
         else:
             missed += 1
         w += 1
     w, at, missed = chain[0][0] - 1, chain[0][1], 0
-    while w >= 0 and missed < 4:
-        k = near.rfind(words[w], max(0, at - len(words[w]) - (14 * (missed + 1) if len(words[w]) > 2 else 3)), at)
+    while w >= 0 and missed < MISSED:
+        k = near.rfind(words[w], max(0, at - len(words[w]) - (STEP * (missed + 1) if len(words[w]) > 2 else 3)), at)
         if k >= 0:
             there[w], at, missed = 1, k, 0
         else:
@@ -296,32 +352,30 @@ def _present(words: list[bytes], anchors: list[tuple[int, int]], near: bytes, le
     return there
 
 
-def carries(there: np.ndarray, weights: np.ndarray, size: int, ratio: float, run: float) -> bool:
-    """Whether a run of ``size`` words or more is there but for 1 - ``ratio`` of them.
+def carries(there: np.ndarray, weights: np.ndarray, size: int, ratio: float, enough: float = ENOUGH, least: float = SHARE, run: float = RUN) -> bool:
+    """Whether some run of ``size`` words or more, from one that is there to another, is there but for 1 - ``ratio`` of its words.
 
-    Items built on one pattern share their common words. So such a run must hold
-    ``ENOUGH`` of its weight; or else ``SHARE`` of it, and of the stretch in
-    which the item goes on around it (while no ``LOST`` words in a row are
-    missing) the share ``run``: common wording thins out over a long stretch, a
-    passage ends where it ends. Every run of every length is tried.
+    Items built on one pattern share their common words, and such words alone
+    are no passage. So the run must hold the share ``enough`` of its weight; or
+    else ``least`` of it, and of the stretch in which the item goes on around it
+    (while no ``LOST`` words in a row are missing) the share ``run``: common
+    wording thins out over a long stretch, a passage ends where it ends. Every
+    run of every length is tried.
     """
-    n = len(there)
-    if n < size or there.sum() < np.floor(ratio * size):
-        return False
-    sums, held, whole = (np.concatenate([[0], np.cumsum(x)]) for x in (there, there * weights, weights))
     at = np.flatnonzero(there)
-    most = length = size
-    # a run twice as long as one falls into two, of which one has enough words if it has
-    while length <= min(n, 2 * most):
-        fit = np.flatnonzero(sums[length:] - sums[:-length] >= np.floor(ratio * length))
-        if len(fit):
-            most = length + 1
-            share = (held[fit + length] - held[fit]) / np.maximum(whole[fit + length] - whole[fit], 1e-9)
-            if (share >= ENOUGH).any():
-                return True
-            if any(_dense(at, begin, begin + length, run) for begin in fit[share >= SHARE].tolist()):
-                return True
-        length += 1
+    fewest = int(np.floor(ratio * size))
+    if len(at) < fewest or len(there) < size:
+        return False
+    held_weight, weight = (np.concatenate([[0], np.cumsum(x)]) for x in (there * weights, weights))
+    for held in range(fewest, len(at) + 1):  # runs that hold so many words that are there
+        first, last = at[: len(at) - held + 1], at[held - 1 :]
+        fit = (last - first + 1 >= size) & (held >= np.floor(ratio * (last - first + 1)))
+        if not fit.any():
+            continue
+        first, last = first[fit], last[fit] + 1
+        share = (held_weight[last] - held_weight[first]) / np.maximum(weight[last] - weight[first], 1e-9)
+        if (share >= enough).any() or any(_dense(at, b, e, run) for b, e in zip(first[share >= least].tolist(), last[share >= least].tolist())):
+            return True
     return False
 
 
@@ -335,12 +389,8 @@ def _dense(at: np.ndarray, begin: int, end: int, run: float) -> bool:
     return last - first + 1 >= run * (at[last] - at[first] + 1)
 
 
-def _candidates(place: np.ndarray, item: np.ndarray, word: np.ndarray, starts: list, firsts: np.ndarray, least: int, span: int):
-    """(text, item, matches' words, matches' places) of enough matches on nearby diagonals."""
-    if not len(place):
-        return
-    offsets = np.concatenate(starts)
-    base = np.concatenate([[0], np.cumsum([len(s) for s in starts])])
+def _candidates(place: np.ndarray, item: np.ndarray, word: np.ndarray, offsets: np.ndarray, base: np.ndarray, firsts: np.ndarray, span: int):
+    """(text, item, matches' words, matches' places) of enough matches on nearby diagonals; ``offsets``: of all words, ``base``: of each item's first."""
     diagonal = place - offsets[base[item] + word]
     text = np.searchsorted(firsts, place, side="right") - 1
     order = np.lexsort((diagonal, item, text))
@@ -351,74 +401,67 @@ def _candidates(place: np.ndarray, item: np.ndarray, word: np.ndarray, starts: l
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(text))
     low, high = np.minimum.reduceat(word, begin), np.maximum.reduceat(word, begin)
-    for k in np.flatnonzero((end - begin >= least) & (high - low >= span)).tolist():
+    for k in np.flatnonzero((end - begin >= LEAST) & (high - low >= span)).tolist():
         b, e = begin[k], end[k]
         yield int(text[b]), int(item[b]), word[b:e], place[b:e]
 
 
-def find(texts: list[str], spaced: Script, blankless: Script, min_words: int, min_chars: int, ratio: float, foreign: Script | None = None) -> list[tuple[int, int]]:
+def find(texts: list[str], scripts: tuple[Script, Script, Script], min_words: int, min_chars: int, ratio: float) -> list[tuple[int, int]]:
     """(number of the text, item id) of every leak."""
     found: set[tuple[int, int]] = set()
     codes, points, firsts = _stream(texts)
     raw = codes.tobytes()
     ends = np.append(firsts[1:], len(codes))
-    for script, own, size, least in ((spaced, codes, min_words, 4), (blankless, points & 0xFFFF, min_chars, 4), (foreign, points, min_words, 4)):
-        if script is None or not script.ids:
+    spaced, blankless, foreign = scripts
+    for script, own, size in ((spaced, codes, min_words), (blankless, points, min_chars), (foreign, points, min_words)):
+        if not len(script.keys):
             continue
         stream, origin = own, None
         if script is blankless:
             # only texts with enough characters of such scripts
-            if not len(script.keys):
-                continue
             per_text = np.add.reduceat(_blankless(points).astype(np.int32), firsts)
             if not (per_text >= size // 2).any():
                 continue
             mine = np.repeat(per_text >= size // 2, ends - firsts)
-            origin, stream = np.flatnonzero(mine), own[mine].astype(np.int64)
-        place, item, word = script.search(stream)
+            origin, stream = np.flatnonzero(mine), own[mine]
+        place, key = script.search(stream if script is spaced else stream.astype(np.int64))
         if origin is not None:
             place = origin[place]
-        for text, k, hit_words, hit_places in _candidates(place, item, word, script.starts, firsts, least, size // 2):
-            if (text, script.ids[k]) in found:
-                continue
-            lo = max(int(firsts[text]), int(hit_places.min()) - 400)
-            hi = min(int(ends[text]), int(hit_places.max()) + 400)
-            if script is spaced:
-                words, near = script.words[k], raw[lo:hi]
-            elif script is foreign:
-                words, near = script.words[k], "".join(map(chr, own[lo:hi].tolist()))
-            else:
-                words, near = [chr(p or 1) for p in script.words[k]], "".join(map(chr, own[lo:hi].tolist()))
-            for anchors in _chains(hit_words, hit_places - lo):
-                if carries(_present(words, anchors, near, script.length), script.weights[k], size, ratio, script.run):
-                    found.add((text, script.ids[k]))
-                    break
+        offsets, base = np.concatenate(script.starts), np.concatenate([[0], np.cumsum([len(s) for s in script.starts])])
+        for matches in script.matches(place, key, firsts):
+            for text, k, hit_words, hit_places in _candidates(*matches, offsets, base, firsts, size // 2):
+                if (text, script.ids[k]) in found:
+                    continue
+                words = script.words[k]
+                reach = sum(map(len, words)) + len(words) * STEP * MISSED  # no word is looked for beyond it
+                lo, hi = max(int(firsts[text]), int(hit_places.min()) - reach), min(int(ends[text]), int(hit_places.max()) + reach)
+                near = raw[lo:hi] if script is spaced else "".join(map(chr, own[lo:hi].tolist()))
+                for chain in _chains(hit_words, hit_places - lo):
+                    if carries(_present(words, chain, near, script.length), script.weights[k], size, ratio, *script.bounds):
+                        found.add((text, script.ids[k]))
+                        break
     return sorted(found)
 
 
 def _chains(word: np.ndarray, place: np.ndarray) -> Iterator[list[tuple[int, int]]]:
-    """The matches in order of their words; where words match at several places, by place in turn."""
-    order = np.lexsort((place, word))
+    """The longest chain of matches that grow both in word and in place, then the longest of what is left, while there are enough."""
+    order = np.lexsort((-place, word))  # of one word's matches only one can be in a chain
     pairs = list(zip(word[order].tolist(), place[order].tolist()))
-    chain: list[tuple[int, int]] = []
-    rest: list[tuple[int, int]] = []
-    for w, p in pairs:
-        if chain and (w == chain[-1][0] or p <= chain[-1][1]):
-            rest.append((w, p))
-        else:
-            chain.append((w, p))
-    yield chain
-    if len(rest) >= 4:
-        by_place = sorted(pairs, key=lambda x: x[1])
-        run: list[tuple[int, int]] = []
-        for w, p in by_place:  # runs of growing words
-            if run and w <= run[-1][0]:
-                if len(run) >= 4:
-                    yield run
-                run = []
-            run.append((w, p))
-        if len(run) >= 4:
-            yield run
+    while len(pairs) >= LEAST:
+        tails, at, before = [], [], [0] * len(pairs)  # least last place of a chain of each length, and the match that it is of
+        for k, (_, p) in enumerate(pairs):
+            length = bisect_left(tails, p)
+            before[k] = at[length - 1] if length else -1
+            tails[length : length + 1], at[length : length + 1] = [p], [k]
+        chain, k = [], at[-1]
+        while k >= 0:
+            chain.append(k)
+            k = before[k]
+        if len(chain) < LEAST:
+            return
+        yield [pairs[k] for k in reversed(chain)]
+        used = set(chain)
+        pairs = [pair for k, pair in enumerate(pairs) if k not in used]
 
 
 def _parts(docs: list[int], texts: list[str], overlap: int) -> Iterator[list[tuple[int, str]]]:
@@ -438,30 +481,35 @@ def _parts(docs: list[int], texts: list[str], overlap: int) -> Iterator[list[tup
         yield part
 
 
-def _finder(items: list[tuple[int, str]], min_words: int, min_chars: int, ratio: float):
+def _finder(items: list[tuple[int, str]], held: tuple[dict[str, int], int], min_words: int, min_chars: int, ratio: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strange = [_is_foreign(text) for _, text in items]
-        scripts = build([x for x, other in zip(items, strange) if not other])
-        foreign = build_foreign([x for x, other in zip(items, strange) if other])
+        scripts = build(items, held)
         overlap = max([MARGIN, *(8 * len(text) for _, text in items)])
         for batch in batches:
             for part in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), overlap):
-                hits = find([text for _, text in part], *scripts, min_words, min_chars, ratio, foreign)
+                hits = find([text for _, text in part], scripts, min_words, min_chars, ratio)
                 yield pa.RecordBatch.from_arrays([pa.array([part[t][0] for t, _ in hits], pa.int64()), pa.array([i for _, i in hits], pa.int64())], names=["doc_id", "item_id"])
 
     return run
 
 
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words = sorted({w for w, _ in _words(text)})
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int32()), pa.array(words, pa.string())], names=["block", "word"])
+
+
 def leaks(
     documents: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, min_words: int = 20, min_chars: int = 28, ratio: float = 6 / 7
 ) -> DataFrame:
     """``doc_id``, ``item_id`` of every text that carries a passage of an item, each pair once.
 
     A passage is a run of ``min_words`` words of the item (``min_chars``
-    characters in scripts without blanks) that the text has in order, but for
-    one word in seven that may be replaced, misread, masked, dropped or
-    inserted (see :func:`carries` for how common wording of items alike is told
-    apart). Punctuation doesn't count, hence 28 characters for about 30.
+    characters in scripts without blanks) or more that the text has in order, but
+    for one word in seven that may be replaced, misread, masked, dropped or
+    inserted (see :func:`carries`). Punctuation doesn't count, hence 28
+    characters for about 30.
     Shorter items are never found. NULL and empty texts or items, and
     NULL ids, carry nothing. Texts are read whole; rows that repeat a text or an
     id are searched like any others. Only the named columns are read.
@@ -472,10 +520,16 @@ def leaks(
     spark = documents.sparkSession
     rows = documents.select(documents[doc_id].cast("bigint").alias("doc_id"), documents[text].alias("text")).where("doc_id IS NOT NULL AND length(text) > 0")
     held = items.select(items[item_id].cast("bigint").alias("item"), items[item_text].alias("text")).where("item IS NOT NULL AND length(text) > 0")
-    blocks = max(1, -(-(held.agg(F.sum(F.length("text"))).first()[0] or 0) // ITEM_CHARS))
+    total, chars = held.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
+    blocks = max(1, -(-(chars or 0) // ITEM_CHARS))
+    held = held.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).cast("int"))
+    words = cut(spread(held.select("block", "text")).mapInArrow(_distinct_words, "block int, word string"))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     out = spark.createDataFrame([], "doc_id bigint, item_id bigint")
     for block in range(blocks):
-        own = [(r.item, r.text) for r in held.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).orderBy("item").collect()]
-        if own:
-            out = out.union(spread(rows).mapInArrow(_finder(own, min_words, min_chars, ratio), "doc_id bigint, item_id bigint"))
+        mine = [(r.item, r.text) for r in held.where(F.col("block") == block).orderBy("item", "text").collect()]
+        if mine:
+            own = words.where(F.col("block") == block).select("word").distinct()  # no more than the block's characters
+            by_word = {r.word: r.n for r in (counts if blocks == 1 else counts.join(own, "word", "left_semi")).collect()}
+            out = out.union(spread(rows).mapInArrow(_finder(mine, (by_word, total), min_words, min_chars, ratio), "doc_id bigint, item_id bigint"))
     return out.distinct()
