@@ -9,8 +9,9 @@ from hypothesis import strategies as st
 from weftline.llm import leaks, packing, sentences, topn
 
 PIECES = ["Dr. ", "It was not! ", "“No.” ", "12.10.2021 ", "\n\n", "\n", "Headnote", "Page 2 of 5", "K 12/20", "该货物！", "「はい。」と", "έγκυρο; ", "देखें। ", "ศาลเห็นว่า ", "...", "§ 4 ", "e.g. x", "؟ ", "\0", "🙂"]
-MODEL = np.zeros(sentences.SLOTS + 1)
-MODEL[-1] = 1.0
+ALL = np.zeros(sentences.SLOTS + 1)
+ALL[-1] = 1.0
+MODEL = sentences.Model(frozenset({"Headnote"}), ALL, ALL)
 
 
 @given(st.lists(st.integers(1, 50), max_size=60), st.integers(50, 90))

@@ -57,27 +57,71 @@ def test_odd_texts(splitter):
 def test_held_out_paragraphs(spark):
     """Joins of paragraphs of texts that the model has not seen are found again, and marks before small words are not."""
     rows = [r.text for r in spark.read.parquet(DATA).where("text IS NOT NULL").orderBy("doc_id").select("text").collect()]
-    weights = sentences.fit(rows[:600])
-    splitter = sentences.Splitter(weights)
-    found, labels = sentences.reliable(rows[600:])
+    model = sentences.fit(rows[:600])
+    splitter = sentences.Splitter(model)
+    found, labels = sentences.reliable(rows[600:], splitter.is_prose, model.recurring)
     right = sum(splitter.is_boundary(x) == y for x, y in zip(found, labels))
     assert right / len(labels) > 0.98
+    gaps = [(x, y) for x, y in zip(found, labels) if x[0] == " "]
+    assert len(gaps) > 100 and sum(splitter.is_boundary(x) == y for x, y in gaps) / len(gaps) > 0.99
+    found, labels = sentences.reliable_blocks(rows[600:], model.recurring)
+    assert {True, False} == set(labels) and sum(splitter.is_prose(x) == y for x, y in zip(found, labels)) / len(labels) > 0.995
 
 
 def test_frame(spark):
     df = spark.createDataFrame([(1, "It was not! It was not!"), (1, "It was not!"), (2, None), (3, ""), (None, "It was not!"), (4, "Headnote")], "doc_id bigint, text string").selectExpr("*", "0 AS n", "0 AS end_pos")
-    assert sorted(map(tuple, sentences.sentence_ends(df, "doc_id", "text").collect())) == [(1, 11), (1, 11), (1, 23)]
+    assert sorted(map(tuple, sentences.sentence_ends(df, "doc_id", "text").collect())) == [(1, 11), (1, 11), (1, 23), (4, 8)]  # so few texts teach nothing about headings
     assert sentences.sentence_ends(df.limit(0), "doc_id", "text").count() == 0
 
 
 def test_model_without_labels():
-    assert not sentences.fit([]).any()
+    model = sentences.fit([])
+    assert not model.marks.any() and not model.blocks.any() and not model.recurring
+    assert sentences.Splitter(model).ends("No model drops a text") == [21]
 
 
-def test_thai_after_a_long_quotation():
+def test_thai_after_a_long_quotation(splitter):
     """Thai that begins beyond the first 200 characters of a run has its ends too."""
-    thai = "จำเลยชำระเงินแล้ว โจทก์รับเงิน"
+    thai = "จำเลยชำระเงินแล้ว ศาลเห็นว่าสัญญาเช่าสมบูรณ์ พิพากษายกอุทธรณ์"
     text = "“" + "the register of the apiary was not shown " * 8 + "” " + thai
-    splitter = sentences.Splitter(sentences.fit([]))
     assert len(text) - len(thai) > 300
-    assert text.index(" โจทก์") in splitter.ends(text)
+    assert {text.index(" ศาล"), text.index(" พิพากษา"), len(text)} <= set(splitter.ends(text))
+
+
+def test_thai_gaps_around_numbers(splitter):
+    text = "ศาลเห็นว่าสัญญาเช่าสมบูรณ์ โจทก์ยื่นอุทธรณ์เมื่อวันที่ 3 มีนาคม 2005 คัดค้านคำสั่ง พิพากษายกอุทธรณ์"
+    assert splitter.ends(text) == [text.index(" โจทก์"), text.index(" พิพากษา"), len(text)]
+
+
+def test_prose_without_a_final_mark_is_kept(splitter):
+    for text in ("The tenant owes the rent and the costs", "The tenant owes the rent and the costs of the proceedings before this court and before the other one", "der Mieter schuldet die Miete und die Kosten"):
+        assert splitter.ends(text) == [len(text)]
+
+
+def test_nothing_around_a_docket_is_lost(splitter):
+    """A docket-shaped line among the first blocks makes furniture of no paragraph."""
+    text = "\n\n".join(["The first paragraph has a sentence.", "K 12/20", "The body sentence one is here. Another one follows.", "A last one."])
+    assert [text[:e].split("\n\n")[-1] for e in splitter.ends(text)] == ["The first paragraph has a sentence.", "The body sentence one is here.", "The body sentence one is here. Another one follows.", "A last one."]
+
+
+def test_long_quotation(splitter):
+    """However long a quotation is, the class of its end is the same."""
+    described = []
+    for many in (1, 15, 60):
+        text = "The witness stated: “" + "I saw the ledger and the deed " * many + "there.” The court agreed."
+        end = text.index("” The") + 1
+        described.append(dict(sentences.candidates(text))[end][2])
+        assert splitter.ends(text) == [end, len(text)]
+    assert described == ["i"] * 3
+
+
+def test_a_sentence_may_begin_in_lower_case(splitter):
+    text = "The appeal was withdrawn. which apiary prevails when the loom is lost? It was not, e.g. after the deed of St. Marion was shown."
+    assert splitter.ends(text) == [text.index(" which"), text.index("? ") + 1, len(text)]
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    """A third of the rows are one text: the sample holds it once, and every row is split."""
+    df = spark.range(300).selectExpr("if(id % 3 = 0, 0L, id) AS doc_id", "if(id % 3 = 0, 'It was not! It was not!', concat('The claim of ', id, ' was withdrawn. It was not!')) AS text")
+    rows = sentences.sentence_ends(df, "doc_id", "text", fit_texts=50, fit_chars=2000)
+    assert rows.where("doc_id = 0").count() == 200 and rows.count() >= 400

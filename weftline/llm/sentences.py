@@ -2,23 +2,30 @@
 
 A text's blocks are sorted first: court, docket, party, heading, signature and
 page-header blocks are furniture; what is left are runs of prose, and a page
-header inside a run does not end it. In each run every mark that may end a
-sentence is a candidate. A candidate is described by features (its neighbouring
-tokens, their case, length, digits and script, the mark, quotes and brackets,
-the gap) and classified by a logistic model.
-
-The model is trained on boundaries that are reliable without it, from a bounded
-sample of the texts: the end of one paragraph before the start of another is a
-boundary in a natural setting; a mark before a lower-case word, inside a number
-or after an abbreviation that never starts a sentence is none.
+header inside a run does not end it. A block that ends with a final mark is prose.
+Any other is classified by a logistic model on its words, their case and length,
+digits, script, its place, its neighbours and whether it recurs in other texts.
+
+In each run every mark that may end a sentence is a candidate, and so is every gap
+in Thai. A candidate is described by features (its neighbouring tokens, their
+case, length, digits and script, the mark, quotes and brackets, the gap) and
+classified by another logistic model.
+
+Both are trained on what is reliable without them, from a bounded sample of the
+texts: blocks that recur in many texts, or have the form of a docket, are
+furniture, paragraphs without their final mark are prose; the end of one
+paragraph before the start of another is a boundary in a natural setting; a mark
+inside a number or after an abbreviation that never starts a sentence is none.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +40,10 @@ FIT_CHARS = 4_000_000
 #: Weights of the model's hashed features.
 SLOTS = 1 << 18
 
-# Headings of decisions, in the languages of the texts.
-HEADINGS = {
-    "Headnote", "Judgment", "Order",
-    "Leitsatz", "Gründe", "Tenor",
-    "Sommaire", "Motifs", "Dispositif",
-    "Resumen", "Fundamentos", "Fallo",
-    "裁判要旨", "本院认为", "判决如下",
-    "要旨", "理由", "主文",
-    "सारांश", "निर्णय", "आदेश",
-    "Περίληψη", "Σκεπτικό", "Διατακτικό",
-    "الملخص", "الأسباب", "المنطوق",
-    "ย่อ", "เหตุผล", "คำพิพากษา",
-}
+#: A block this short that this many texts of the sample, and one in SELDOM of them, have in common recurs.
+RECURRING_CHARS, RECURRING_TEXTS, SELDOM = 60, 5, 500
+#: Characters of a token that its features show.
+SHOWN = 64
 
 # Abbreviations whose point ends nothing when a word that starts no sentence follows.
 ABBREVIATIONS = set(
@@ -62,17 +60,20 @@ ABBREVIATIONS = set(
 )
 
 _PAGE = re.compile(r"(?:Page \d+ of \d+|[–—-] ?\d+ ?[–—-]|[^\n]* · p\. \d+|[^\n]*\S {2,}\S[^\n]* {2,}\d+|(?:Seite|Blatt|Pág\.|S\.|p\.) \d+(?: (?:von|de|sur|/) \d+)?|\d+)")
-_DOCKET = re.compile(r"[A-Z]{1,4} \d{1,6}/\d{2,4}")
+_CODE = re.compile(r"\W*(?:[^\W\d_]{1,4}\W{0,2})?\d[\d\W]*")
 _SIGNATURE = re.compile(r"[^\W\d_a-z][\w'’-]*(?: [^\W\d_a-z][\w'’.-]*)*(?:, [^\W\d_a-z][\w'’-]*(?: [^\W\d_a-z][\w'’.-]*)*)+|\([^\W\d_a-z][\w'’.-]*(?: [^\W\d_a-z][\w'’.-]*)*\)")
 _NUMBER = re.compile(r"(?:\(?(?:Rn|Rz|no|n°)\.? ?\d+\)?|§+ ?\d+|\[\d+\]|\(?\d+[.)])[ \t ]+")
 _DIGITS = re.compile(r"\d+")
 _CLOSERS = "\"'”’“»)]）」』】›"
-_FINAL = re.compile(r"[.!?…。！？؟।॥;;]\s*[\"'”’“»)\]）」』】›\s]*$")
+_FINAL = ".!?…。！？؟।॥;;"
 _MARK = re.compile(r"[.!?…]+|[。！？؟।॥]+[.!?…。！？؟]*|[;;]")
 _ASCII_MARK = re.compile(r"[.!?][.!?]*")
 _RIGHT = re.compile(r"((?:[\"'”’»)\]）」』】›“]| [»›])*)( *)([„“\"«‘'(\[¿¡「『（【‹•–-]*)( ?)(\w+|\S)?(?:[^\w]{1,2}(\w+))?")
-_THAI_GAP = re.compile(r"(?<=[ก-๛”\"’])[ \n]+(?=[ก-๏“\"‘(])")
+_THAI_GAP = re.compile(r"(?<=\S) +(?=[^ .,;:!?…)\]}”’])")
 _THAI = re.compile(r"[ก-๛]")
+_INITIAL = re.compile(r"(?:^|[\s.])[^\W\d_a-z]\.$")  # whose point may be no final mark
+_INNER = re.compile(r"\w{4,}[.!?;][\"”’»)]* +\S|[。！？؟।॥]")
+_TOKEN = re.compile(r"\S+")
 _LAST = re.compile(r"[^⺀-\uffee]+$|.$")
 _OPENERS = "(„“«‘[¿¡「『（【‹\"'"
 
@@ -90,44 +91,82 @@ def _blocks(text: str) -> Iterator[tuple[int, str]]:
         at += len(block) + 2
 
 
-def runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+def _ends_finally(block: str) -> bool:
+    """Whether a final mark is the last but for closing quotes, brackets and blanks."""
+    return block.rstrip(_CLOSERS + " \t\n\r  ")[-1:] in _FINALS
+
+
+_FINALS = frozenset(_FINAL)
+
+
+def _size(n: int) -> str:
+    return str(n) if n < 4 else "4" if n < 6 else "6" if n < 9 else "9" if n < 16 else "16"
+
+
+def describe_block(block: str, place: int, left: int, before: str, after: str, recurs: bool) -> tuple[str, ...]:
+    """The features of a block without a final mark; ``before`` and ``after``: kinds of its neighbours, ``left``: blocks that follow."""
+    words = _TOKEN.findall(block)
+    letters = [w for w in words if w[0].isalpha() or w[-1].isalpha()]
+    small = sum(w[0].islower() or not (w[0].isupper() or w[0].isascii()) for w in letters)
+    share = "none" if not letters else str(4 * small // len(letters))
+    size, thai = _size(len(words)), "T" if _is_thai(block) else "C" if any(c > "⺀" for c in block) else ""
+    long = _size(len(block) // 10)
+    return (
+        f"w={size}{thai}", f"s={share}{thai}", f"ws={size}/{share}", f"c={long}{thai}", f"cs={long}/{share}{thai}", f"f={_kind(words[0])}", f"l={_kind(words[-1])}", f"l4={block[-4:]}", f"e={words[-1][-1]}",
+        f"d={any(c.isdigit() for c in block)}", f"o={',' in block}", f"p={min(place, 4)}", f"r={min(left, 2)}", f"b={before}", f"a={after}", f"ba={before}/{after}/{min(place, 3)}", f"bs={before}/{share}", f"bp={before}/{min(place, 3)}/{size}", f"x={recurs}", f"m={min(len(_INNER.findall(block)), 3)}",
+    )
+
+
+def _block_kind(bare: str, recurring: frozenset[str]) -> str:
+    if _ends_finally(bare) and not _SIGNATURE.fullmatch(bare) and not _INITIAL.search(bare):
+        return "final"
+    if len(bare) < 24 and _CODE.fullmatch(bare):
+        return "code"
+    return "recurs" if bare in recurring else "open"
+
+
+def open_blocks(blocks: list[tuple[int, str]], pages: list[bool], recurring: frozenset[str]) -> Iterator[tuple[int, str, tuple[str, ...]]]:
+    """Of each block but page headers: its place, its kind, and its features (as if it had no final mark)."""
+    rest = [k for k, page in enumerate(pages) if not page]
+    kinds = [_block_kind(blocks[k][1].strip(), recurring) for k in rest]
+    for n, k in enumerate(rest):
+        bare = blocks[k][1].strip()
+        if kinds[n] == "final":
+            yield k, "final", ()
+        else:
+            yield k, kinds[n], describe_block(bare, n, len(rest) - n - 1, kinds[n - 1] if n else "", kinds[n + 1] if n + 1 < len(rest) else "", bare in recurring)
+
+
+def runs(text: str, is_prose: Callable[[tuple[str, ...]], bool], recurring: frozenset[str]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     """The runs of prose: (run, [(place in the run, place in the text)] of its parts). In runs, every line break is a blank."""
     blocks = list(_blocks(text))
-    docket = next((k for k, (_, b) in enumerate(blocks[:6]) if _DOCKET.fullmatch(b.strip())), None)
-    party = None if docket is None else next((k for k in range(docket + 1, len(blocks)) if not _PAGE.fullmatch(blocks[k][1].strip())), None)
+    pages = [_PAGE.fullmatch(b.strip()) is not None for _, b in blocks]
+    described = {k: (kind, features) for k, kind, features in open_blocks(blocks, pages, recurring)}
     parts: list[tuple[int, int]] = []
     run, joined = "", False
     style, last = "", 0  # of the paragraph numbers so far
     for k, (at, block) in enumerate(blocks):
-        bare = block.strip()
-        if _PAGE.fullmatch(bare):
+        if pages[k]:
             joined = True
             continue
         after_page, joined = joined, False
+        kind, features = described[k]
         number = _NUMBER.match(block)
         if number:
             value = _DIGITS.search(number[0])[0]
             own = number[0].strip().replace(value, "#")
             # behind a page header in a run, what looks like a number is one if it is the next in line
-            if after_page and run and not (own == style and int(value) == last + 1 and _FINAL.search(run[-12:])):
+            if after_page and run and not (own == style and int(value) == last + 1 and _ends_finally(run)):
                 number = None
             else:
                 style, last = own, int(value)
-        if docket is not None and (k <= docket or k == party):
-            furniture = True
-        elif bare in HEADINGS:
-            furniture = True
-        elif _FINAL.search(bare[-12:]) and not (len(bare) < 80 and _SIGNATURE.fullmatch(bare)):
-            furniture = False
-        else:
-            before_page = k + 1 < len(blocks) and _PAGE.fullmatch(blocks[k + 1][1].strip()) is not None
-            in_run = after_page and bool(run) and not _FINAL.search(run[-12:])
-            if _SIGNATURE.fullmatch(bare) and not in_run:
-                furniture = True
-            elif before_page or in_run or _is_thai(bare):
-                furniture = False
-            else:
-                furniture = number is None and len(bare) < 80
+        furniture = False
+        if kind != "final":
+            # what a page header cuts off from a sentence, or a sentence that has begun goes on with, is part of it whatever it looks like
+            cut_off = k + 1 < len(blocks) and pages[k + 1] or after_page and bool(run) and not _ends_finally(run)
+            # furniture between furniture is not cut off
+            between = kind != "open" or "b=code" in features or "a=code" in features
+            furniture = not is_prose(features) if between or not cut_off else False
         if furniture or not (after_page and run) or number:
             if run:
                 yield run, parts
@@ -135,7 +174,7 @@ def runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         if furniture:
             continue
         begin = number.end() if number else len(block) - len(block.lstrip())
-        prose = block[begin:].rstrip().replace("\n", " ").replace(" ", " ").replace(" ", " ").replace("\t", " ").replace("\r", " ")
+        prose = block[begin:].rstrip().translate(_BLANKS)
         if run:
             run += " "
         parts.append((len(run), at + begin))
@@ -144,6 +183,9 @@ def runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         yield run, parts
 
 
+_BLANKS = str.maketrans(dict.fromkeys("\n\t\r  ", " "))
+
+
 @lru_cache(100_000)
 def _kind(token: str) -> str:
     """The shape of a token: digits, case, length, script."""
@@ -156,6 +198,8 @@ def _kind(token: str) -> str:
         return "dx"
     if c > "⺀":
         return "cjk"
+    if "฀" <= c <= "๿":
+        return "thai"
     if "ऀ" <= c <= "ॿ":
         return "deva"
     if "֐" <= c <= "ۿ":
@@ -171,15 +215,13 @@ def _kind(token: str) -> str:
 
 
 def candidates(run: str) -> Iterator[tuple[int, tuple]]:
-    """(end of the sentence if this is a boundary, the candidate's description) of every mark but the run's last."""
+    """(end of the sentence if this is a boundary, the candidate's description) of every mark but the run's last, and of every gap of a run with Thai."""
+    openers: list[str] | None = None
     for m in (_ASCII_MARK if run.isascii() else _MARK).finditer(run):
         s, e = m.span()
         mark = run[s:e]
         c = run[e : e + 1]
-        if c == " ":  # a lower-case word goes on
-            if run[e + 1 : e + 2].islower():
-                continue
-        elif mark == "." and c.isdigit() and run[s - 1 : s].isdigit():  # inside a number
+        if mark == "." and c.isdigit() and run[s - 1 : s].isdigit():  # inside a number
             continue
         r = _RIGHT.match(run, e)
         closers, gap, opener, gap2, token, after = r.groups()
@@ -192,7 +234,7 @@ def candidates(run: str) -> Iterator[tuple[int, tuple]]:
         k = s
         while k and run[k - 1] == " ":
             k -= 1
-        if mark in ";;":
+        if mark in ";;":
             before = run[k - 1] if k else ""
             if not ("Ͱ" <= before <= "Ͽ" or "ἀ" <= before <= "῿" or (before and before in _CLOSERS and "Ͱ" <= run[k - 2 : k - 1] <= "Ͽ")):
                 continue
@@ -202,24 +244,57 @@ def candidates(run: str) -> Iterator[tuple[int, tuple]]:
                 continue
         elif not opener and c in ",;:%)]}、，；：）":
             continue
-        i = run.rfind(" ", k - 24 if k > 24 else 0, k) + 1 or (k - 24 if k > 24 else 0)
+        i = max(run.rfind(" ", 0, k) + 1, k - SHOWN)
         prev = run[i:k].lstrip(_OPENERS) or run[max(0, k - 1) : k]
+        if "!" in prev or "?" in prev:  # a blank is missing
+            prev = prev[max(prev.rfind("!"), prev.rfind("?")) + 1 :].lstrip(_OPENERS + _CLOSERS) or prev
         if not prev.isascii():
             prev = _LAST.search(prev)[0]
         lead = ""
         if mark == "." and (len(prev) < 4 or prev.isdigit()) and i > 1:  # what a number or an initial stands after
-            h = run.rfind(" ", max(0, i - 20), i - 1) + 1
-            lead = run[h : i - 1].lstrip(_OPENERS).lower()[-12:] if h else ""
+            h = run.rfind(" ", 0, i - 1) + 1
+            lead = run[max(h, i - 1 - SHOWN) : i - 1].lstrip(_OPENERS).lower()[-12:] if h else ""
             if lead[-1:].isdigit():
                 lead = "9"
+            elif len(prev) > 1 and prev.islower():  # before a small word its shape says enough
+                lead = _kind(lead)
         quote = ""
         if closers:
-            q = max(run.rfind(o, max(0, s - 400), s) for o in "„“«‘「『（(\"")
-            ahead = run[max(0, q - 2) : q].rstrip()[-1:] if q > 0 else ""
+            if openers is None:
+                openers = [o for o in "„“«‘「『（(\"" if o in run]
+            q = max((run.rfind(o, 0, s) for o in openers), default=-1)
+            h = q
+            while h > 0 and run[h - 1] == " ":
+                h -= 1
+            ahead = run[h - 1] if h > 0 else ""
             quote = "i" if ahead and ahead in ":：,，、" else "s" if not ahead or ahead in ".!?。！？…)」”»）“" else "m"
             if q >= 0 and run[q] in "（(":
                 quote = "b" + ("s" if quote == "s" else "m")
-        yield end, (mark if len(mark) < 4 else mark[:3], closers[:2].strip(), quote, bool(gap or gap2), opener[:1], prev, token if len(token) < 24 else token[:24], after or "", lead)
+        yield end, (mark if len(mark) < 4 else mark[:3], closers[:2].strip(), quote, bool(gap or gap2), opener[:1], prev, token if len(token) < SHOWN else token[:SHOWN], after or "", lead)
+    if _is_thai(run):
+        for m in _THAI_GAP.finditer(run):
+            s, e = m.span()
+            if run[s - 1] in _FINALS:  # a mark is a candidate already
+                continue
+            i = max(run.rfind(" ", 0, s) + 1, s - SHOWN)
+            prev, token = run[i:s], _TOKEN.match(run, e)[0]
+            if not (_THAI.search(prev[-2:]) or _THAI.search(token[:2])):
+                continue
+            yield s, (" ", "", "", True, "", prev[-SHOWN:], token[:SHOWN], "", "")
+
+
+def _about_gap(prev: str, token: str) -> list[str]:
+    """Features of a gap in a run with Thai: the kinds of its two sides, their letters, their length."""
+    left, right = _side(prev[-1]), _side(token[0])
+    wholes = "d" if any(c.isdigit() for c in prev) else "-", "d" if any(c.isdigit() for c in token) else "-"
+    return [
+        f"gl={left}", f"gr={right}", f"g={left}/{right}", f"gd={wholes[0]}{wholes[1]}", f"gdl={left}/{right}/{wholes[0]}{wholes[1]}",
+        f"g3={prev[-3:]}", f"g4={prev[-4:]}", f"h3={token[:3]}", f"h4={token[:4]}", f"gn={_size(len(prev))}{left}", f"gm={_size(len(token))}{right}", f"gg={prev[-3:]}/{token[:3]}", "gap", "thai",
+    ]
+
+
+def _side(c: str) -> str:
+    return "thai" if "฀" <= c <= "๿" else "digit" if c.isdigit() else "letter" if c.isalpha() else c
 
 
 def _about_prev(prev: str, pk: str) -> list[str]:
@@ -256,10 +331,12 @@ _ABOUT = (_about_prev, _about_next, _about_after, _about_shape)
 
 def describe(x: tuple) -> list[str]:
     """The features of a candidate: of the token before, of the one after, of the next but one, and of their shapes and setting."""
+    if x[0] == " ":
+        return _about_gap(x[5], x[6])
     return [name for about, part in zip(_ABOUT, _parts(x)) for name in about(*part)]
 
 
-def _slots(names: list[str]) -> list[int]:
+def _slots(names: Iterable[str]) -> list[int]:
     return [_stable(n) for n in names]
 
 
@@ -283,34 +360,105 @@ def _first_tokens(run: str) -> tuple[str, str, str]:
     return r.group(3)[:1], r.group(5) or "", r.group(6) or ""
 
 
-def reliable(texts: list[str]) -> tuple[list[tuple], list[bool]]:
+@dataclass
+class Model:
+    """Weights of the two classifiers, and the blocks that recur."""
+
+    recurring: frozenset[str]
+    blocks: np.ndarray
+    marks: np.ndarray
+
+    def is_prose(self) -> Callable[[tuple[str, ...]], bool]:
+        """Whether a block of given features is prose; where nothing speaks against it, it is."""
+        weights, known = self.blocks.tolist(), {}
+
+        def decide(features: tuple[str, ...]) -> bool:
+            if (found := known.get(features)) is None:
+                if len(known) > 200_000:
+                    known.clear()
+                found = known[features] = weights[-1] + sum(weights[slot] for slot in _slots(features)) >= 0
+            return found
+
+        return decide
+
+
+def recurring_blocks(texts: list[str]) -> frozenset[str]:
+    """Short blocks without a final mark that many texts have in common, such as headings."""
+    held = Counter(b for text in texts for b in {b.strip() for _, b in _blocks(text)} if len(b) <= RECURRING_CHARS and not _ends_finally(b) and not _PAGE.fullmatch(b))
+    return frozenset(b for b, n in held.items() if n >= max(RECURRING_TEXTS, len(texts) / SELDOM))
+
+
+def reliable_blocks(texts: list[str], recurring: frozenset[str]) -> tuple[list[tuple], list[bool]]:
+    """Features of blocks whose class is sure: whether they are prose."""
+    found, labels = [], []
+    for text in texts:
+        blocks = list(_blocks(text))
+        pages = [_PAGE.fullmatch(b.strip()) is not None for _, b in blocks]
+        rest = [k for k, page in enumerate(pages) if not page]
+        kinds = [_block_kind(blocks[k][1].strip(), recurring) for k in rest]
+        for n, k in enumerate(rest):
+            bare = blocks[k][1].strip()
+            before, after = kinds[n - 1] if n else "", kinds[n + 1] if n + 1 < len(rest) else ""
+            label = None
+            if kinds[n] == "final":  # a sentence without its final mark
+                label, bare = True, bare.rstrip(_CLOSERS + _FINAL + " \n")
+            elif kinds[n] in ("recurs", "code") or "code" in (before, after) or _SIGNATURE.fullmatch(bare):
+                label = False
+            elif _is_thai(bare) or (k and pages[k - 1] or k + 1 < len(pages) and pages[k + 1]):
+                label = True  # Thai has no final marks; a page header cuts sentences off
+            if label is not None and bare:
+                found.append(describe_block(bare, n, len(rest) - n - 1, before, after, bare in recurring))
+                labels.append(label)
+    return found, labels
+
+
+def reliable(texts: list[str], is_prose: Callable[[tuple[str, ...]], bool], recurring: frozenset[str]) -> tuple[list[tuple], list[bool]]:
     """Candidates whose class is sure without a model."""
     heads: list[tuple] = []
     tails: list[tuple] = []
     inner: list[tuple] = []
+    thai_heads: list[str] = []
+    thai_tails: list[str] = []
+    gaps: list[tuple] = []
     for text in texts:
-        for run, parts in runs(text):
+        for run, parts in runs(text, is_prose, recurring):
             if _is_thai(run):
+                tokens = _TOKEN.findall(run)
+                thai_heads.append(tokens[0])
+                thai_tails.append(tokens[-1])
+                gaps += [x for _, x in candidates(run) if x[0] == " "]
                 continue
             heads.append(_first_tokens(run))
-            if _FINAL.search(run[-12:]):
+            if _ends_finally(run):
                 tails += [x for end, x in candidates(run + " Ω") if end == len(run)]
             inner += [x for end, x in candidates(run)]
     starters = Counter(t for _, t, _ in heads)
     words = Counter(x[6] for x in inner)
-    ends, middles = Counter(x[5].lower() for x in tails), Counter(x[5].lower() for x in inner)
+    ends, middles = Counter(x[5].lower() for x in tails), Counter(x[5].lower() for x in inner if not (x[3] and x[6][:1].islower()))
     never = {w for w, n in middles.items() if n >= 15 and not ends[w] and len(w) < 7 and not w[-1:].isdigit()}  # tokens that ended no paragraph
+    went_on = Counter(x[5].lower() for x in inner if x[3] and x[6][:1].islower())
+    never_low = {w for w, n in went_on.items() if n >= 5 and not ends[w]}
     found, labels = [], []
 
     def add(x: tuple, label: bool) -> None:
         found.append(x)
         labels.append(label)
 
+    for k, tail in enumerate(thai_tails):  # Thai paragraphs end and begin as sentences do, where no number is
+        for step in (3, 1009):
+            head = thai_heads[(k * 17 + step) % len(thai_heads)]
+            if not tail[-1].isdigit() and not head[0].isdigit():
+                add((" ", "", "", True, "", tail[-SHOWN:], head[:SHOWN], "", ""), True)
+    for x in gaps:
+        if x[5][-1].isdigit() or x[6][0].isdigit():  # around a number, which dates are too
+            add(x, False)
     for k, tail in enumerate(tails):  # a paragraph's end before another paragraph's start, of the same script
         for step in (7, 1013):
             opener, token, after = heads[(k * 31 + step) % len(heads)]
             if (token[:1] > "⺀") == (tail[5][-1:] > "⺀") and token:
                 add((*tail[:3], (k + step) % 8 != 0 and tail[5][-1:] <= "⺀", opener, tail[5], token, after, tail[8]), True)
+                if k % 3 == 0 and tail[0] == "." and not tail[1] and not opener and _kind(tail[5]) == "l4" and token[0].isupper():  # sentences may begin in lower case
+                    add((*tail[:3], True, "", tail[5], token.lower(), after, tail[8]), True)
                 if _kind(tail[5]) == "U1":
                     continue
     for x in inner:
@@ -318,7 +466,12 @@ def reliable(texts: list[str]) -> tuple[list[tuple], list[bool]]:
         pk, nk, low = _kind(prev), _kind(token), prev.lower()
         starts = starters[token] * 20 > words[token] or starters[token] > 3
         dots = mark == "." or mark[0] in "…." and len(mark) > 1
-        if nk[0] == "l" and not opener:
+        if nk[0] == "l" and not opener and gap:
+            if mark == "." and not closers and pk == "l4" and low not in never and low not in ABBREVIATIONS and ends[low] > 2:
+                add(x, True)  # a word that ends paragraphs: what follows began in lower case
+            elif mark != "." or closers or low in never or low in never_low or low in ABBREVIATIONS or pk[0] in "Udy":
+                add(x, False)
+        elif nk[0] == "l" and not opener:
             add(x, False)
         elif mark == "." and not closers and low in never:
             add(x, False)
@@ -349,14 +502,13 @@ def reliable(texts: list[str]) -> tuple[list[tuple], list[bool]]:
     return found, labels
 
 
-def fit(texts: list[str], rounds: int = 150, decay: float = 2e-6) -> np.ndarray:
-    """The weights of the logistic model (maximum entropy under the reliable candidates), by AdaGrad over all of them; the last is the bias."""
-    found, labels = reliable(texts)
+def _maximum_entropy(found: list, labels: list[bool], names: Callable[[Any], Iterable[str]], rounds: int, decay: float) -> np.ndarray:
+    """The weights of the logistic model (maximum entropy under the examples), by AdaGrad over all of them; the last is the bias."""
     weights = np.zeros(SLOTS + 1)
     if not found:
         return weights
     counted = Counter(zip(found, labels))
-    rows = np.array([_slots(describe(x)) for x, _ in counted], dtype=np.int64)
+    rows = np.array([_slots(names(x)) for x, _ in counted], dtype=np.int64)
     y = np.array([label for _, label in counted], dtype=float)
     share = np.minimum(np.array(list(counted.values()), dtype=float), 50.0)
     share /= share.sum()
@@ -370,14 +522,24 @@ def fit(texts: list[str], rounds: int = 150, decay: float = 2e-6) -> np.ndarray:
     return weights
 
 
+def fit(texts: list[str], rounds: int = 150, decay: float = 2e-6) -> Model:
+    """Both classifiers, of blocks and of candidates, from what is reliable in the texts."""
+    recurring = recurring_blocks(texts)
+    model = Model(recurring, _maximum_entropy(*reliable_blocks(texts, recurring), lambda x: x, 3 * rounds, decay), np.zeros(SLOTS + 1))
+    model.marks = _maximum_entropy(*reliable(texts, model.is_prose(), recurring), describe, rounds, decay)
+    return model
+
+
 class Splitter:
-    """Ends of the sentences of a text, under given weights."""
+    """Ends of the sentences of a text, under a model."""
 
-    def __init__(self, weights: np.ndarray):
-        self.weights = weights.tolist()
+    def __init__(self, model: Model):
+        self.model, self.weights, self.is_prose = model, model.marks.tolist(), model.is_prose()
         self.known: tuple[dict, ...] = ({}, {}, {}, {})  # a candidate's score is the sum of its parts' scores; parts recur
 
     def is_boundary(self, x: tuple) -> bool:
+        if x[0] == " ":
+            return self.weights[-1] + sum(self.weights[s] for s in _slots(describe(x))) > 0
         before, following, after, shape = _parts(x)
         by_prev, by_next, by_after, by_shape = self.known
         try:
@@ -396,11 +558,10 @@ class Splitter:
         """Code points of the text up to and including the last of each sentence."""
         out: list[int] = []
         is_boundary = self.is_boundary
-        for run, parts in runs(text):
-            thai = _is_thai(run)
+        for run, parts in runs(text, self.is_prose, self.model.recurring):
             ends = [end for end, x in candidates(run) if is_boundary(x)]
-            if thai:
-                ends = sorted({*ends, *(m.start() for m in _THAI_GAP.finditer(run))})
+            if _is_thai(run):
+                ends = sorted(set(ends))
             if not ends or ends[-1] < len(run):
                 ends.append(len(run))
             if len(parts) == 1:
@@ -415,9 +576,9 @@ class Splitter:
         return out
 
 
-def _splitter(weights: np.ndarray):
+def _splitter(model: Model):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(weights)
+        splitter = Splitter(model)
         for batch in batches:
             docs = batch.column(0)
             ends = [splitter.ends(t) for t in batch.column(1).to_pylist()]
@@ -432,18 +593,20 @@ def sentence_ends(documents: DataFrame, doc_id: str, text: str, fit_texts: int =
     """``doc_id``, ``end_pos`` of every sentence: code points up to and including its last, closing quotes and brackets included.
 
     NULL and empty texts have no sentences; nor have texts of furniture alone. A
-    run of prose that ends without a mark ends its last sentence. Every row of
+    run of prose that ends without a mark ends its last sentence; a block of text
+    without a final mark is furniture only if the model says so, whatever its length
+    (where the sample is too small to say anything, it is prose). Every row of
     ``documents`` is split whole, repeated texts and ids included; rows with a
     NULL id go. Only the named columns are read. The model is fitted on at most
     ``fit_texts`` texts of least hash, up to ``fit_chars`` characters of them.
     """
     rows = documents.select(documents[doc_id].cast("bigint").alias("doc_id"), documents[text].alias("text")).where("doc_id IS NOT NULL AND length(text) > 0")
-    ids = rows.select("doc_id", F.length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_texts).collect()
-    total, chosen = 0, []
-    for r in ids:
-        total += r.n
-        if total > fit_chars and chosen:
-            break
-        chosen.append(r.doc_id)
-    sample = [r.text for r in rows.where(F.col("doc_id").isin(chosen)).select(F.substring("text", 1, fit_chars).alias("text"), "doc_id").orderBy("doc_id").limit(fit_texts).collect()] if chosen else []
+    hashed = rows.select(F.xxhash64("doc_id", "text").alias("h"), F.length("text").alias("n"), "text")
+    least = hashed.select("h", "n").distinct().orderBy("h").limit(fit_texts).collect()
+    sizes = np.cumsum([r.n for r in least])
+    many = max(1, int(np.searchsorted(sizes, fit_chars, side="right")))  # texts, of which copies count once
+    sample = []
+    if least:
+        chosen = hashed.where(F.col("h") <= least[min(many, len(least)) - 1].h)
+        sample = [r.text for r in chosen.select("h", F.substring("text", 1, fit_chars).alias("text")).dropDuplicates(["h"]).orderBy("h").collect()]
     return spread(rows).mapInArrow(_splitter(fit(sample)), "doc_id bigint, end_pos int")
