@@ -72,6 +72,7 @@ _RIGHT = re.compile(r"((?:[\"'”’»)\]）」』】›“]| [»›])*)( *)([
 _THAI_GAP = re.compile(r"(?<=\S) +(?=[^ .,;:!?…)\]}”’])")
 _THAI = re.compile(r"[ก-๛]")
 _INITIAL = re.compile(r"(?:^|[\s.])[^\W\d_a-z]\.$")  # whose point may be no final mark
+_EAST = re.compile(r"[⺀-\U0010ffff]")
 _INNER = re.compile(r"\w{4,}[.!?;][\"”’»)]* +\S|[。！？؟।॥]")
 _TOKEN = re.compile(r"\S+")
 _LAST = re.compile(r"[^⺀-\uffee]+$|.$")
@@ -93,9 +94,10 @@ def _blocks(text: str) -> Iterator[tuple[int, str]]:
 
 def _ends_finally(block: str) -> bool:
     """Whether a final mark is the last but for closing quotes, brackets and blanks."""
-    return block.rstrip(_CLOSERS + " \t\n\r  ")[-1:] in _FINALS
+    return (block[-16:].rstrip(_TAIL) or block.rstrip(_TAIL))[-1:] in _FINALS
 
 
+_TAIL = _CLOSERS + " \t\n\r\u00a0\u202f\u3000"
 _FINALS = frozenset(_FINAL)
 
 
@@ -103,22 +105,30 @@ def _size(n: int) -> str:
     return str(n) if n < 4 else "4" if n < 6 else "6" if n < 9 else "9" if n < 16 else "16"
 
 
-def describe_block(block: str, place: int, left: int, before: str, after: str, recurs: bool) -> tuple[str, ...]:
-    """The features of a block without a final mark; ``before`` and ``after``: kinds of its neighbours, ``left``: blocks that follow."""
+@lru_cache(50_000)
+def _looks(block: str) -> tuple[tuple[str, ...], str, str]:
+    """What a block says of itself: its features, the share of its words in small letters, its size."""
     words = _TOKEN.findall(block)
     letters = [w for w in words if w[0].isalpha() or w[-1].isalpha()]
     small = sum(w[0].islower() or not (w[0].isupper() or w[0].isascii()) for w in letters)
     share = "none" if not letters else str(4 * small // len(letters))
-    size, thai = _size(len(words)), "T" if _is_thai(block) else "C" if any(c > "⺀" for c in block) else ""
-    long = _size(len(block) // 10)
+    script = "" if block.isascii() else "T" if _is_thai(block) else "C" if _EAST.search(block) else ""
+    size, long = _size(len(words)), _size(len(block) // 10)
     return (
-        f"w={size}{thai}", f"s={share}{thai}", f"ws={size}/{share}", f"c={long}{thai}", f"cs={long}/{share}{thai}", f"f={_kind(words[0])}", f"l={_kind(words[-1])}", f"l4={block[-4:]}", f"e={words[-1][-1]}",
-        f"d={any(c.isdigit() for c in block)}", f"o={',' in block}", f"p={min(place, 4)}", f"r={min(left, 2)}", f"b={before}", f"a={after}", f"ba={before}/{after}/{min(place, 3)}", f"bs={before}/{share}", f"bp={before}/{min(place, 3)}/{size}", f"x={recurs}", f"m={min(len(_INNER.findall(block)), 3)}",
-    )
+        f"w={size}{script}", f"s={share}{script}", f"ws={size}/{share}", f"c={long}{script}", f"cs={long}/{share}{script}", f"f={_kind(words[0])}", f"l={_kind(words[-1])}", f"l4={block[-4:]}", f"e={words[-1][-1]}",
+        f"d={_DIGITS.search(block) is not None}", f"o={',' in block}", f"m={min(len(_INNER.findall(block)), 3)}",
+    ), share, size
+
+
+def describe_block(block: str, place: int, left: int, before: str, after: str, recurs: bool) -> tuple[str, ...]:
+    """The features of a block without a final mark; ``before`` and ``after``: kinds of its neighbours, ``left``: blocks that follow."""
+    own, share, size = _looks(block)
+    near = min(place, 3)
+    return (*own, f"p={min(place, 4)}", f"r={min(left, 2)}", f"b={before}", f"a={after}", f"ba={before}/{after}/{near}", f"bs={before}/{share}", f"bp={before}/{near}/{size}", f"x={recurs}")
 
 
 def _block_kind(bare: str, recurring: frozenset[str]) -> str:
-    if _ends_finally(bare) and not _SIGNATURE.fullmatch(bare) and not _INITIAL.search(bare):
+    if _ends_finally(bare) and not _SIGNATURE.fullmatch(bare) and not _INITIAL.search(bare[-3:]):
         return "final"
     if len(bare) < 24 and _CODE.fullmatch(bare):
         return "code"
@@ -174,7 +184,9 @@ def runs(text: str, is_prose: Callable[[tuple[str, ...]], bool], recurring: froz
         if furniture:
             continue
         begin = number.end() if number else len(block) - len(block.lstrip())
-        prose = block[begin:].rstrip().translate(_BLANKS)
+        prose = block[begin:].rstrip()
+        for blank in _BLANKS:
+            prose = prose.replace(blank, " ")
         if run:
             run += " "
         parts.append((len(run), at + begin))
@@ -183,7 +195,7 @@ def runs(text: str, is_prose: Callable[[tuple[str, ...]], bool], recurring: froz
         yield run, parts
 
 
-_BLANKS = str.maketrans(dict.fromkeys("\n\t\r  ", " "))
+_BLANKS = "\n\t\r\u00a0\u202f"
 
 
 @lru_cache(100_000)
@@ -535,9 +547,18 @@ class Splitter:
 
     def __init__(self, model: Model):
         self.model, self.weights, self.is_prose = model, model.marks.tolist(), model.is_prose()
+        self.decided: dict[tuple, bool] = {}
         self.known: tuple[dict, ...] = ({}, {}, {}, {})  # a candidate's score is the sum of its parts' scores; parts recur
 
     def is_boundary(self, x: tuple) -> bool:
+        """Whether the model says so; candidates recur, and each is scored once."""
+        if (found := self.decided.get(x)) is None:
+            if len(self.decided) > 200_000:
+                self.decided.clear()
+            found = self.decided[x] = self._score(x)
+        return found
+
+    def _score(self, x: tuple) -> bool:
         if x[0] == " ":
             return self.weights[-1] + sum(self.weights[s] for s in _slots(describe(x))) > 0
         before, following, after, shape = _parts(x)
