@@ -229,42 +229,47 @@ def _kind(token: str) -> str:
 def candidates(run: str) -> Iterator[tuple[int, tuple]]:
     """(end of the sentence if this is a boundary, the candidate's description) of every mark but the run's last, and of every gap of a run with Thai."""
     openers: list[str] | None = None
+    look, rfind = _RIGHT.match, run.rfind
     for m in (_ASCII_MARK if run.isascii() else _MARK).finditer(run):
         s, e = m.span()
-        mark = run[s:e]
-        c = run[e : e + 1]
-        if mark == "." and c.isdigit() and run[s - 1 : s].isdigit():  # inside a number
+        mark = m[0]
+        if mark == "." and run[e : e + 1].isdigit() and run[s - 1 : s].isdigit():  # inside a number
             continue
-        r = _RIGHT.match(run, e)
-        closers, gap, opener, gap2, token, after = r.groups()
+        closers, gap, opener, gap2, token, after = look(run, e).groups()
         if token is None:
             continue
-        end = e + len(closers)
-        if closers and not gap and "“" in closers and run.rfind("„", 0, e) <= run.rfind("“", 0, e):  # an opening quote without a blank before it
-            cut = closers.index("“")
-            opener, closers, end = closers[cut:] + opener, closers[:cut], e + cut
+        end = e
+        if closers:
+            end += len(closers)
+            if not gap and "“" in closers and rfind("„", 0, e) <= rfind("“", 0, e):  # an opening quote without a blank before it
+                cut = closers.index("“")
+                opener, closers, end = closers[cut:] + opener, closers[:cut], e + cut
         k = s
         while k and run[k - 1] == " ":
             k -= 1
-        if mark in ";;":
+        if mark == ";" or mark == "\u037e":
             before = run[k - 1] if k else ""
             if not ("Ͱ" <= before <= "Ͽ" or "ἀ" <= before <= "῿" or (before and before in _CLOSERS and "Ͱ" <= run[k - 2 : k - 1] <= "Ͽ")):
                 continue
-        c = token[0]
-        if not gap and not opener:
-            if not c.isalnum():
+        if not opener:
+            if not gap:
+                if not token[0].isalnum():
+                    continue
+            elif token[0] in ",;:%)]}、，；：）":
                 continue
-        elif not opener and c in ",;:%)]}、，；：）":
-            continue
-        i = max(run.rfind(" ", 0, k) + 1, k - SHOWN)
-        prev = run[i:k].lstrip(_OPENERS) or run[max(0, k - 1) : k]
-        if "!" in prev or "?" in prev:  # a blank is missing
-            prev = prev[max(prev.rfind("!"), prev.rfind("?")) + 1 :].lstrip(_OPENERS + _CLOSERS) or prev
+        i = rfind(" ", 0, k) + 1
+        if k - i > SHOWN:
+            i = k - SHOWN
+        prev = run[i:k]
+        if not prev.isalnum():
+            prev = prev.lstrip(_OPENERS) or run[max(0, k - 1) : k]
+            if "!" in prev or "?" in prev:  # a blank is missing
+                prev = prev[max(prev.rfind("!"), prev.rfind("?")) + 1 :].lstrip(_OPENERS + _CLOSERS) or prev
         if not prev.isascii():
             prev = _LAST.search(prev)[0]
         lead = ""
         if mark == "." and (len(prev) < 4 or prev.isdigit()) and i > 1:  # what a number or an initial stands after
-            h = run.rfind(" ", 0, i - 1) + 1
+            h = rfind(" ", 0, i - 1) + 1
             lead = run[max(h, i - 1 - SHOWN) : i - 1].lstrip(_OPENERS).lower()[-12:] if h else ""
             if lead[-1:].isdigit():
                 lead = "9"
@@ -274,7 +279,7 @@ def candidates(run: str) -> Iterator[tuple[int, tuple]]:
         if closers:
             if openers is None:
                 openers = [o for o in "„“«‘「『（(\"" if o in run]
-            q = max((run.rfind(o, 0, s) for o in openers), default=-1)
+            q = max((rfind(o, 0, s) for o in openers), default=-1)
             h = q
             while h > 0 and run[h - 1] == " ":
                 h -= 1
@@ -282,7 +287,8 @@ def candidates(run: str) -> Iterator[tuple[int, tuple]]:
             quote = "i" if ahead and ahead in ":：,，、" else "s" if not ahead or ahead in ".!?。！？…)」”»）“" else "m"
             if q >= 0 and run[q] in "（(":
                 quote = "b" + ("s" if quote == "s" else "m")
-        yield end, (mark if len(mark) < 4 else mark[:3], closers[:2].strip(), quote, bool(gap or gap2), opener[:1], prev, token if len(token) < SHOWN else token[:SHOWN], after or "", lead)
+            closers = closers[:2].strip()
+        yield end, (mark if len(mark) < 4 else mark[:3], closers, quote, bool(gap or gap2), opener[:1], prev, token if len(token) < SHOWN else token[:SHOWN], after or "", lead)
     if _is_thai(run):
         for m in _THAI_GAP.finditer(run):
             s, e = m.span()
@@ -547,6 +553,7 @@ class Splitter:
 
     def __init__(self, model: Model):
         self.model, self.weights, self.is_prose = model, model.marks.tolist(), model.is_prose()
+        self.bias = self.weights[-1]
         self.decided: dict[tuple, bool] = {}
         self.known: tuple[dict, ...] = ({}, {}, {}, {})  # a candidate's score is the sum of its parts' scores; parts recur
 
@@ -561,18 +568,13 @@ class Splitter:
     def _score(self, x: tuple) -> bool:
         if x[0] == " ":
             return self.weights[-1] + sum(self.weights[s] for s in _slots(describe(x))) > 0
-        before, following, after, shape = _parts(x)
-        by_prev, by_next, by_after, by_shape = self.known
-        try:
-            score = by_prev[before] + by_next[following] + by_after[after] + by_shape[shape]
-        except KeyError:
-            for about, known, part in zip(_ABOUT, self.known, (before, following, after, shape)):
-                if part not in known:
-                    if len(known) > 200_000:
-                        known.clear()
-                    bias = self.weights[-1] if about is _about_prev else 0.0
-                    known[part] = bias + sum(self.weights[s] for s in _slots(about(*part)))
-            score = sum(known[part] for known, part in zip(self.known, (before, following, after, shape)))
+        score = self.bias
+        for about, known, part in zip(_ABOUT, self.known, _parts(x)):
+            if (own := known.get(part)) is None:
+                if len(known) > 200_000:
+                    known.clear()
+                own = known[part] = sum(map(self.weights.__getitem__, _slots(about(*part))))
+            score += own
         return score > 0
 
     def ends(self, text: str) -> list[int]:
