@@ -29,6 +29,12 @@ def test_many_ranges_and_blocks(spark):
         assert got == {f"n{k}": (100 - k + 100 * (k == 0), 100 - k) for k in range(100)}
 
 
+def test_identifiers_beyond_16_bits(spark):
+    df = spark.range(400).selectExpr("id AS walk", "concat_ws(' ', transform(sequence(0, 99), x -> concat('n', id * 100 + x)), 'hub') AS path")
+    rows = termfreq.term_frequencies(df, "walk", "path").agg({"id": "max", "occurrences": "sum", "term": "count"}).first()
+    assert tuple(rows) == (40_000, 40_400, 40_001)
+
+
 def test_count_arrays():
     """Three records over identifiers 9, 4 and 7; the second record holds 4 twice."""
     ids, occurrences, records = termfreq.count_arrays(np.array([9, 4, 7]), np.array([0, 1, 1, 1, 2, 0]), np.array([2, 2, 2]))

@@ -137,7 +137,7 @@ def _slots(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for base, slots, n, r in zip(batch["id_range"], batch["slots"], batch["occurrences"], batch["records"]):
-                yield pd.DataFrame({"id": base * width + np.frombuffer(slots, dtype=np.int16), "occurrences": np.frombuffer(n, dtype=np.int64), "records": np.frombuffer(r, dtype=np.int64)})
+                yield pd.DataFrame({"id": base * width + np.frombuffer(slots, dtype=np.int16).astype(np.int64), "occurrences": np.frombuffer(n, dtype=np.int64), "records": np.frombuffer(r, dtype=np.int64)})
 
     return run
 
