@@ -67,13 +67,26 @@ def clean_vectors(df: DataFrame, key: str, vector: str, version: str | None, dim
     rows = df.select(df[key].alias("key"), df[vector].alias("raw"), (df[version] if version else F.lit(0)).alias("version")).where("key IS NOT NULL")
     latest = rows.groupBy("key").agg(F.max(F.struct("version", F.col("raw").isNotNull().alias("there"), "raw")).alias("m")).select("key", F.col("m.raw").alias("raw"))
     # an array's comparison with NaN or infinity inside is of no concern: such a vector goes here
-    doubles = latest.where(F.size("raw") == dim).select("key", F.transform("raw", lambda x: x.cast("double")).alias("d"))
-    norm = F.sqrt(F.aggregate("d", F.lit(0.0), lambda s, x: s + x * x))
-    fit = doubles.where(F.forall("d", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).withColumn("norm", norm)
-    # lengths beyond a double's range are scaled by the largest number first
-    scaled = fit.withColumn("d", F.when((F.col("norm") > 1e-150) & (F.col("norm") < 1e150), F.col("d")).otherwise(F.expr("transform(d, x -> try_divide(x, array_max(transform(d, y -> abs(y)))))")))
-    scaled = scaled.withColumn("norm", F.sqrt(F.aggregate("d", F.lit(0.0), lambda s, x: s + x * x))).where("norm > 0")
-    return scaled.select("key", F.expr("transform(d, x -> cast(x / norm + 0.0D AS float))").alias("v"))
+    kinds = dict(latest.dtypes)
+    raw = F.col("raw") if kinds["raw"] in ("array<float>", "array<double>") else F.col("raw").cast("array<double>")
+    return latest.where(F.size("raw") == dim).select("key", raw.alias("raw")).mapInArrow(_units(dim), f"key {kinds['key']}, v array<float>")
+
+
+def _units(dim: int):
+    """Vectors of length 1; those with a NULL, NaN or infinite number, or without a direction, go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("raw").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)  # a NULL is NaN here
+            largest = np.abs(x).max(1)
+            good = np.flatnonzero(np.isfinite(largest) & (largest > 0))
+            x = x[good] / largest[good][:, None]  # no square leaves a double's range
+            x /= np.sqrt((x * x).sum(1))[:, None]
+            flat = (x + 0.0).astype(np.float32).ravel()
+            v = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim, dtype=np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(good)), v], names=["key", "v"])
+
+    return run
 
 
 def _kmeans(rows: np.ndarray, k: int, seed: int, rounds: int = 10) -> np.ndarray:
@@ -385,7 +398,7 @@ def nearest(
     reach = measured_reach(index, placed, sample[:FIT_QUERIES], k + 1, recall) if reach is None else reach
     distance = None if alike is None else float(np.sqrt(max(0.0, 2 - 2 * alike)))
     visits = cut(placed.where("asks").select("key", "v").mapInArrow(_visitor(spark.sparkContext.broadcast(index), reach, distance), "key string, v binary, shelf int"))
-    near = _met(placed, visits, len(index.centres), k + 1)
+    near = cut(_met(placed, visits, len(index.centres), k + 1))  # read twice below
     lists = near.select(F.col("a").alias("key"), "x")
     if not classes.isEmpty():  # all keys of a class have its one list
         own = near.join(F.broadcast(classes) if classes.count() <= BROADCAST_CLASSES else classes, "a")
