@@ -44,6 +44,8 @@ SLOTS = 1 << 18
 RECURRING_CHARS, RECURRING_TEXTS, SELDOM = 60, 5, 500
 #: Characters of a token that its features show.
 SHOWN = 64
+#: Longest wording before a mark by which a candidate is known again; one with a longer one is described anew each time.
+WORDING = 80
 
 # Abbreviations whose point ends nothing when a word that starts no sentence follows.
 ABBREVIATIONS = set(
@@ -66,8 +68,9 @@ _NUMBER = re.compile(r"(?:\(?(?:Rn|Rz|no|n°)\.? ?\d+\)?|§+ ?\d+|\[\d+\]|\(?\d+
 _DIGITS = re.compile(r"\d+")
 _CLOSERS = "\"'”’“»)]）」』】›"
 _FINAL = ".!?…。！？؟।॥;;"
-_MARK = re.compile(r"[.!?…]+|[。！？؟।॥]+[.!?…。！？؟]*|[;;]")
-_ASCII_MARK = re.compile(r"[.!?][.!?]*")
+# a point between digits is inside a number
+_MARK = re.compile(r"(?!(?<=\d)\.\d)[.!?…]+|[。！？؟।॥]+[.!?…。！？؟]*|[;;]")
+_ASCII_MARK = re.compile(r"(?!(?<=\d)\.\d)[.!?]+")
 _RIGHT = re.compile(r"((?:[\"'”’»)\]）」』】›“]| [»›])*)( *)([„“\"«‘'(\[¿¡「『（【‹•–-]*)( ?)(\w+|\S)?(?:[^\w]{1,2}(\w+))?")
 _THAI_GAP = re.compile(r"(?<=\S) +(?=[^ .,;:!?…)\]}”’])")
 _THAI = re.compile(r"[ก-๛]")
@@ -79,6 +82,11 @@ _LAST = re.compile(r"[^⺀-\uffee]+$|.$")
 _OPENERS = "(„“«‘[¿¡「『（【‹\"'"
 
 
+def _is_page(bare: str) -> bool:
+    """Whether a block has the form of a page header; all of them end with a number or a dash."""
+    return (bare[-1:].isdigit() or bare[-1:] in "–—-") and _PAGE.fullmatch(bare) is not None
+
+
 def _is_thai(prose: str) -> bool:
     """Whether there is Thai anywhere; a quotation in another script may come first."""
     return not prose.isascii() and _THAI.search(prose) is not None
@@ -135,12 +143,12 @@ def _block_kind(bare: str, recurring: frozenset[str]) -> str:
     return "recurs" if bare in recurring else "open"
 
 
-def open_blocks(blocks: list[tuple[int, str]], pages: list[bool], recurring: frozenset[str]) -> Iterator[tuple[int, str, tuple[str, ...]]]:
-    """Of each block but page headers: its place, its kind, and its features (as if it had no final mark)."""
+def open_blocks(bares: list[str], pages: list[bool], recurring: frozenset[str]) -> Iterator[tuple[int, str, tuple[str, ...]]]:
+    """Of each block (without blanks around it) but page headers: its place, its kind, and its features if it has no final mark."""
     rest = [k for k, page in enumerate(pages) if not page]
-    kinds = [_block_kind(blocks[k][1].strip(), recurring) for k in rest]
+    kinds = [_block_kind(bares[k], recurring) for k in rest]
     for n, k in enumerate(rest):
-        bare = blocks[k][1].strip()
+        bare = bares[k]
         if kinds[n] == "final":
             yield k, "final", ()
         else:
@@ -150,8 +158,9 @@ def open_blocks(blocks: list[tuple[int, str]], pages: list[bool], recurring: fro
 def runs(text: str, is_prose: Callable[[tuple[str, ...]], bool], recurring: frozenset[str]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     """The runs of prose: (run, [(place in the run, place in the text)] of its parts). In runs, every line break is a blank."""
     blocks = list(_blocks(text))
-    pages = [_PAGE.fullmatch(b.strip()) is not None for _, b in blocks]
-    described = {k: (kind, features) for k, kind, features in open_blocks(blocks, pages, recurring)}
+    bares = [b.strip() for _, b in blocks]
+    pages = [_is_page(b) for b in bares]
+    described = {k: (kind, features) for k, kind, features in open_blocks(bares, pages, recurring)}
     parts: list[tuple[int, int]] = []
     run, joined = "", False
     style, last = "", 0  # of the paragraph numbers so far
@@ -228,25 +237,41 @@ def _kind(token: str) -> str:
 
 def candidates(run: str) -> Iterator[tuple[int, tuple]]:
     """(end of the sentence if this is a boundary, the candidate's description) of every mark but the run's last, and of every gap of a run with Thai."""
+    for end, x, _ in _candidates(run, {}):
+        yield end, x
+
+
+def _candidates(run: str, decided: dict[tuple, bool]) -> Iterator[tuple[int, tuple | None, tuple | None]]:
+    """:func:`candidates`, each with a key of the wording around it, which settles its description.
+
+    Of those whose key is in ``decided``, only boundaries come out, undescribed.
+    """
     openers: list[str] | None = None
     look, rfind = _RIGHT.match, run.rfind
     for m in (_ASCII_MARK if run.isascii() else _MARK).finditer(run):
         s, e = m.span()
         mark = m[0]
-        if mark == "." and run[e : e + 1].isdigit() and run[s - 1 : s].isdigit():  # inside a number
-            continue
-        closers, gap, opener, gap2, token, after = look(run, e).groups()
+        r = look(run, e)
+        closers, gap, opener, gap2, token, after = r.groups()
         if token is None:
             continue
-        end = e
-        if closers:
+        end, key, k = e, None, s
+        while k and run[k - 1] == " ":
+            k -= 1
+        if not closers:  # quotes look further back
+            i = rfind(" ", 0, k)
+            first = rfind(" ", 0, i) + 1 if i > 0 else 0
+            if s - first < WORDING:
+                key = (s - first, run[first : r.end()])
+                if (known := decided.get(key)) is not None:
+                    if known:
+                        yield end, None, None
+                    continue
+        else:
             end += len(closers)
             if not gap and "“" in closers and rfind("„", 0, e) <= rfind("“", 0, e):  # an opening quote without a blank before it
                 cut = closers.index("“")
                 opener, closers, end = closers[cut:] + opener, closers[:cut], e + cut
-        k = s
-        while k and run[k - 1] == " ":
-            k -= 1
         if mark == ";" or mark == "\u037e":
             before = run[k - 1] if k else ""
             if not ("Ͱ" <= before <= "Ͽ" or "ἀ" <= before <= "῿" or (before and before in _CLOSERS and "Ͱ" <= run[k - 2 : k - 1] <= "Ͽ")):
@@ -288,7 +313,7 @@ def candidates(run: str) -> Iterator[tuple[int, tuple]]:
             if q >= 0 and run[q] in "（(":
                 quote = "b" + ("s" if quote == "s" else "m")
             closers = closers[:2].strip()
-        yield end, (mark if len(mark) < 4 else mark[:3], closers, quote, bool(gap or gap2), opener[:1], prev, token if len(token) < SHOWN else token[:SHOWN], after or "", lead)
+        yield end, (mark if len(mark) < 4 else mark[:3], closers, quote, bool(gap or gap2), opener[:1], prev, token if len(token) < SHOWN else token[:SHOWN], after or "", lead), key
     if _is_thai(run):
         for m in _THAI_GAP.finditer(run):
             s, e = m.span()
@@ -298,7 +323,7 @@ def candidates(run: str) -> Iterator[tuple[int, tuple]]:
             prev, token = run[i:s], _TOKEN.match(run, e)[0]
             if not (_THAI.search(prev[-2:]) or _THAI.search(token[:2])):
                 continue
-            yield s, (" ", "", "", True, "", prev[-SHOWN:], token[:SHOWN], "", "")
+            yield s, (" ", "", "", True, "", prev[-SHOWN:], token[:SHOWN], "", ""), None
 
 
 def _about_gap(prev: str, token: str) -> list[str]:
@@ -315,12 +340,11 @@ def _side(c: str) -> str:
     return "thai" if "฀" <= c <= "๿" else "digit" if c.isdigit() else "letter" if c.isalpha() else c
 
 
-def _about_prev(prev: str, pk: str) -> list[str]:
-    return [f"p={pk if pk[0] in 'dy' and pk[:3] != 'dot' else prev.lower()}"]
+def _about_prev(shown: str) -> list[str]:
+    return [f"p={shown}"]
 
 
-def _about_next(token: str, nk: str, ak: str) -> list[str]:
-    shown = token if nk != "cjk" else token[0]
+def _about_next(shown: str, ak: str) -> list[str]:
     return [f"n={shown}", f"nn={shown}/{ak}"]
 
 
@@ -328,23 +352,32 @@ def _about_after(after: str) -> list[str]:
     return [f"a={after}"]
 
 
-def _about_shape(mark: str, closers: str, quote: str, gap: bool, opener: str, pk: str, nk: str, short: str, lead: str) -> list[str]:
+def _about_mark(mark: str, closers: str, quote: str, gap: bool, opener: str, pk: str, nk: str) -> list[str]:
     cjk = nk == "cjk" or pk == "cjk"
     m = "." if mark == "." else "o" if mark in ("...", "…", "……") else "q"
     g = "g" if gap else "n"
-    return [
-        f"pk={pk}{m}", f"nk={nk}{m}{g}", f"pn={pk}/{nk}{m}{g}", f"m={mark}{g}", f"c={closers}{quote}{m}{nk if not cjk else 'cjk'}{g}",
-        f"q={quote}{'cjk' if cjk else ''}{m}", f"o={opener}{m}{g}", f"l={lead}/{pk}", f"ln={lead}/{nk}{pk[0]}", f"pnl={short or pk}/{nk}{g}",
-    ]
+    return [f"pk={pk}{m}", f"nk={nk}{m}{g}", f"pn={pk}/{nk}{m}{g}", f"m={mark}{g}", f"c={closers}{quote}{m}{nk if not cjk else 'cjk'}{g}", f"q={quote}{'cjk' if cjk else ''}{m}", f"o={opener}{m}{g}"]
+
 
+def _about_lead(lead: str, pk: str, nk: str) -> list[str]:
+    return [f"l={lead}/{pk}", f"ln={lead}/{nk}{pk[0]}"]
 
-def _parts(x: tuple) -> tuple[tuple, tuple, tuple, tuple]:
+
+def _about_short(short: str, nk: str, gap: bool) -> list[str]:
+    return [f"pnl={short}/{nk}{'g' if gap else 'n'}"]
+
+
+def _parts(x: tuple) -> tuple[tuple, ...]:
+    """What each group of features depends on."""
     mark, closers, quote, gap, opener, prev, token, after, lead = x
     pk, nk = _kind(prev), _kind(token)
-    return (prev, pk), (token, nk, _kind(after)), (after,), (mark, closers, quote, gap, opener, pk, nk, prev.lower() if len(prev) < 5 else "", lead)
+    low = prev.lower()
+    return (
+        (pk if pk[0] in "dy" and pk[:3] != "dot" else low,), (token[0] if nk == "cjk" else token, _kind(after)), (after,), (mark, closers, quote, gap, opener, pk, nk), (lead, pk, nk), (low if len(prev) < 5 else pk, nk, gap),
+    )
 
 
-_ABOUT = (_about_prev, _about_next, _about_after, _about_shape)
+_ABOUT = (_about_prev, _about_next, _about_after, _about_mark, _about_lead, _about_short)
 
 
 def describe(x: tuple) -> list[str]:
@@ -402,7 +435,7 @@ class Model:
 
 def recurring_blocks(texts: list[str]) -> frozenset[str]:
     """Short blocks without a final mark that many texts have in common, such as headings."""
-    held = Counter(b for text in texts for b in {b.strip() for _, b in _blocks(text)} if len(b) <= RECURRING_CHARS and not _ends_finally(b) and not _PAGE.fullmatch(b))
+    held = Counter(b for text in texts for b in {b.strip() for _, b in _blocks(text)} if len(b) <= RECURRING_CHARS and not _ends_finally(b) and not _is_page(b))
     return frozenset(b for b, n in held.items() if n >= max(RECURRING_TEXTS, len(texts) / SELDOM))
 
 
@@ -411,7 +444,7 @@ def reliable_blocks(texts: list[str], recurring: frozenset[str]) -> tuple[list[t
     found, labels = [], []
     for text in texts:
         blocks = list(_blocks(text))
-        pages = [_PAGE.fullmatch(b.strip()) is not None for _, b in blocks]
+        pages = [_is_page(b.strip()) for _, b in blocks]
         rest = [k for k, page in enumerate(pages) if not page]
         kinds = [_block_kind(blocks[k][1].strip(), recurring) for k in rest]
         for n, k in enumerate(rest):
@@ -554,18 +587,11 @@ class Splitter:
     def __init__(self, model: Model):
         self.model, self.weights, self.is_prose = model, model.marks.tolist(), model.is_prose()
         self.bias = self.weights[-1]
-        self.decided: dict[tuple, bool] = {}
-        self.known: tuple[dict, ...] = ({}, {}, {}, {})  # a candidate's score is the sum of its parts' scores; parts recur
+        self.decided: dict[tuple, bool] = {}  # candidates recur, and each wording is described once
+        self.known: tuple[dict, ...] = tuple({} for _ in _ABOUT)  # a candidate's score is the sum of its parts' scores; parts recur
 
     def is_boundary(self, x: tuple) -> bool:
-        """Whether the model says so; candidates recur, and each is scored once."""
-        if (found := self.decided.get(x)) is None:
-            if len(self.decided) > 200_000:
-                self.decided.clear()
-            found = self.decided[x] = self._score(x)
-        return found
-
-    def _score(self, x: tuple) -> bool:
+        """Whether the model says so."""
         if x[0] == " ":
             return self.weights[-1] + sum(self.weights[s] for s in _slots(describe(x))) > 0
         score = self.bias
@@ -580,9 +606,20 @@ class Splitter:
     def ends(self, text: str) -> list[int]:
         """Code points of the text up to and including the last of each sentence."""
         out: list[int] = []
-        is_boundary = self.is_boundary
+        is_boundary, decided = self.is_boundary, self.decided
         for run, parts in runs(text, self.is_prose, self.model.recurring):
-            ends = [end for end, x in candidates(run) if is_boundary(x)]
+            ends = []
+            for end, x, key in _candidates(run, decided):
+                if x is None:
+                    ends.append(end)
+                    continue
+                found = is_boundary(x)
+                if found:
+                    ends.append(end)
+                if key is not None:
+                    if len(decided) > 300_000:
+                        decided.clear()
+                    decided[key] = found
             if _is_thai(run):
                 ends = sorted(set(ends))
             if not ends or ends[-1] < len(run):
