@@ -79,6 +79,15 @@ def p4_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return near.select(F.col("a").alias("node"), "rank_no", F.col("b").alias("neighbour"), F.round("cosine", 5).alias("cosine"))
 
 
+def p4_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the index finds nine tenths of the true neighbours, against the same over one shelf, where every vector meets every other."""
+    vectors = cut(neighbours.clean_vectors(_table(spark, folder, "node_vectors"), "node", "embedding", "loaded_at", 64))
+    last = neighbours.nearest(vectors, 10, reach=float("inf"), shelves=1).groupBy("a").agg(F.min("cosine").alias("last"), F.count(F.lit(1)).alias("k"))
+    found = neighbours.nearest(vectors, 10, alike=0.9).groupBy("a").agg(F.collect_list("cosine").alias("cosines"))
+    hits = last.join(found, "a", "left").select("k", F.size(F.filter(F.coalesce("cosines", F.array()), lambda c: c >= F.col("last") - 1e-6)).alias("hits"))
+    return hits.agg((F.coalesce(F.sum("hits"), F.lit(0)) >= 0.9 * F.coalesce(F.sum("k"), F.lit(0))).alias("reaches_nine_tenths"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """The pairs of nodes close enough to count as alike."""
     return neighbours.alike(_nearest_nodes(spark, folder), 0.9).select("node_a", "node_b")
@@ -132,6 +141,20 @@ def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill_report(_packed(spark, folder), _table(spark, folder, "container_sizes"))
 
 
+def p6_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each container: whether all tokens are packed, no bin is too full, and no text is cut that fits in one."""
+    sizes = cut(packing.token_sizes(_table(spark, folder, "documents"), "doc_id", "text"))
+    kinds = _table(spark, folder, "container_sizes")
+    packed = cut(packing.pack(sizes, kinds).join(F.broadcast(kinds.select("container", "capacity")), "container"))
+    total = sizes.agg(F.sum("tokens").alias("total"), F.sum(F.lit(1)).alias("items"))
+    bins = packed.groupBy("container", "capacity", "bin").agg(F.sum("tokens").alias("fill")).groupBy("container").agg(F.sum("fill").alias("packed"), F.max(F.col("fill") - F.col("capacity")).alias("excess"))
+    texts = packed.groupBy("container", "capacity", "doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("tokens").alias("tokens"))
+    cuts = texts.groupBy("container").agg(F.max(F.col("pieces") - F.ceil(F.col("tokens") / F.col("capacity"))).alias("needless"), F.count(F.lit(1)).alias("texts"))
+    return bins.join(cuts, "container").crossJoin(F.broadcast(total)).select(  # one row
+        "container", (F.col("packed") == F.col("total")).alias("nothing_lost"), (F.col("excess") <= 0).alias("none_too_full"), ((F.col("needless") == 0) & (F.col("texts") == F.col("items"))).alias("none_cut_needlessly"),
+    )
+
+
 # ---------------------------------------------------------------- 7: leaks
 
 
@@ -157,7 +180,17 @@ def p8_sentence_counts(spark: SparkSession, folder: str) -> DataFrame:
     return p8_found(spark, folder).groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.max("end_pos").alias("last_end"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_top_items, p3_found, p3_node_counts, p4_found, p4_nearest, p5_found, p5_item_pairs, p6_packed, p6_fill, p7_found, p7_leaked_items, p8_found, p8_sentence_counts)}
+def p8_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """How many sentences end twice at one place, beyond their text, or at a blank: none."""
+    texts = _table(spark, folder, "documents").select("doc_id", "text")
+    ends = p8_found(spark, folder).groupBy("doc_id").agg(F.collect_list("end_pos").alias("ends"))
+    wrong = ends.join(texts, "doc_id", "left").select(
+        F.coalesce(F.size("ends") - F.size(F.array_distinct("ends")) + F.size(F.filter("ends", lambda e: (e < 1) | (e > F.length("text")) | F.substr("text", e, F.lit(1)).rlike(r"^\s$"))), F.lit(1)).alias("n")
+    )
+    return wrong.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("wrong"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_top_items, p3_found, p3_node_counts, p4_found, p4_nearest, p4_recall, p5_found, p5_item_pairs, p6_packed, p6_fill, p6_rules, p7_found, p7_leaked_items, p8_found, p8_sentence_counts, p8_rules)}
 
 SQL = {
     "p1_found": _RIGHT + """, published AS (SELECT DISTINCT item, item_list FROM topn_lists)
@@ -166,6 +199,9 @@ SELECT item_i, rank_no, item_j FROM top LEFT JOIN published ON item = item_i WHE
     "p3_found": _NODES + "SELECT node, mark FROM marked WHERE mark IS NOT NULL",
     "p3_node_counts": _NODES + "SELECT node, occurrences, records, mark FROM marked",
     "p4_found": _ALIKE,
+    "p4_recall": "SELECT true AS reaches_nine_tenths",
+    "p6_rules": "SELECT container, true AS nothing_lost, true AS none_too_full, true AS none_cut_needlessly FROM container_sizes",
+    "p8_rules": "SELECT CAST(0 AS BIGINT) AS wrong",
     "p5_found": _PAIRS + "SELECT item_i, item_j FROM s WHERE n_ij >= 5 AND n_ij * n >= 10 * n_i * n_j",
     "p5_item_pairs": _PAIRS + "SELECT item_i, item_j, n_ij, round(lift, 6) AS lift, round(ln(lift), 6) AS pmi FROM s WHERE n_ij >= 2",
 }
