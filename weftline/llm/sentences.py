@@ -20,6 +20,7 @@ inside a number or after an abbreviation that never starts a sentence is none.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -419,6 +420,11 @@ class Model:
     blocks: np.ndarray
     marks: np.ndarray
 
+    @property
+    def name(self) -> str:
+        """Equal for equal models."""
+        return hashlib.sha1(self.blocks.tobytes() + self.marks.tobytes() + "\n".join(sorted(self.recurring)).encode("utf-8", "replace")).hexdigest()
+
     def is_prose(self) -> Callable[[tuple[str, ...]], bool]:
         """Whether a block of given features is prose; where nothing speaks against it, it is."""
         weights, known = self.blocks.tolist(), {}
@@ -636,9 +642,17 @@ class Splitter:
         return out
 
 
+_last: dict[str, Splitter] = {}  # of this worker: what a splitter has learnt of recurring wordings serves the worker's next task
+
+
 def _splitter(model: Model):
+    name = model.name
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(model)
+        if name not in _last:
+            _last.clear()
+            _last[name] = Splitter(model)
+        splitter = _last[name]
         for batch in batches:
             docs = batch.column(0)
             ends = [splitter.ends(t) for t in batch.column(1).to_pylist()]
