@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from typing import Any
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -391,19 +392,8 @@ def _slots(names: Iterable[str]) -> list[int]:
     return [_stable(n) for n in names]
 
 
-_seen: dict[str, int] = {}
-
-
 def _stable(name: str) -> int:
-    slot = _seen.get(name)
-    if slot is None:
-        if len(_seen) > 400_000:
-            _seen.clear()
-        h = 2166136261
-        for b in name.encode("utf-8", "replace"):
-            h = (h ^ b) * 16777619 & 0xFFFFFFFF
-        slot = _seen[name] = (h ^ h >> 15) % SLOTS
-    return slot
+    return crc32(name.encode("utf-8", "replace")) % SLOTS
 
 
 def _first_tokens(run: str) -> tuple[str, str, str]:
