@@ -108,3 +108,22 @@ def test_walk_is_by_summed_distance():
     summed = sorted((float(d1[c // 5]) + float(d2[c % 5]), c) for c in range(35))
     reach = summed[20][0] - summed[0][0] + 1e-9
     assert neighbours._walk(d1, d2, held, reach) == [c for s, c in summed[:21] if c in held]
+
+
+def test_vectors_are_written_once(spark, monkeypatch):
+    """Vectors go to the checkpoint folder once, a shelf's own entries are not sent to it again, and a least cosine leaves the other rows as they are."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6, 8))[rng.integers(0, 6, 400)] + rng.normal(size=(400, 8)) * 0.1
+    x[390:] = x[0]
+    written, sent = [], []
+    cut, meeting = neighbours.cut, neighbours._meeting
+    monkeypatch.setattr(neighbours, "cut", lambda df: written.append("v" in df.columns) or cut(df))
+    monkeypatch.setattr(neighbours, "_meeting", lambda *args: sent.append(args) or meeting(*args))
+    vectors = frame(spark, x.astype(np.float32))
+    every = {(r.a, r.b): (r.rank_no, r.cosine) for r in neighbours.nearest(vectors, 5, 0.95, centroids=4, shelves=6).collect()}
+    assert sum(written) == 2 and len(every) == 2000  # all vectors, and the first of equal ones
+    close = {(r.a, r.b): (r.rank_no, r.cosine) for r in neighbours.nearest(vectors, 5, 0.95, centroids=4, shelves=6, at_least=0.99).collect()}
+    assert sent[1][1] == 0.99 and close == {pair: found for pair, found in every.items() if found[1] >= 0.99} and 0 < len(close) < 2000
+    monkeypatch.setattr(neighbours, "ENTRY_PIECE", 16)  # shelves of several pieces give the same
+    monkeypatch.setattr(neighbours, "QUERY_PIECE", 8)
+    assert every == {(r.a, r.b): (r.rank_no, r.cosine) for r in neighbours.nearest(vectors, 5, 0.95, centroids=4, shelves=6).collect()}

@@ -21,6 +21,9 @@ them is closer than d / 2 to that plane, and it visits the other's shelf too.
 Distribution: a shelf's entries and visitors are dealt out over pieces of
 bounded size by hash, and every piece of entries streams past every piece of
 visitors. A shelf that owns a third of all rows is therefore many bounded tasks.
+Where a shelf is one piece, its entries are its own visitors and are sent there once.
+Vectors are written once, when they are clean: their places and visits are found anew
+in each pass over them.
 Of equal vectors only the first k + 1 are entries, and one of them asks for all.
 """
 
@@ -196,28 +199,33 @@ def _placer(index: Broadcast):
 
 
 def _visitor(index: Broadcast, reach: float, distance: float | None):
+    """Adds the shelves that each row visits: none if it doesn't ask."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
-                x = _matrix(batch.column("v"))
-                shelves = index.value.walked(x, reach)
-                if distance is not None:
-                    for r, c in np.argwhere(index.value.close(x, distance)).tolist():
-                        shelves[r].add(c)
-                rows = np.repeat(np.arange(len(x)), [len(s) for s in shelves])
-                chosen = batch.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([chosen.column("key"), chosen.column("v"), pa.array([c for s in shelves for c in sorted(s)], pa.int32())], names=["key", "v", "shelf"])
+                asks = np.flatnonzero(batch.column("asks").to_numpy(zero_copy_only=False))
+                x = _matrix(batch.column("v").take(pa.array(asks)))
+                visits: list[set[int]] = [set() for _ in range(batch.num_rows)]
+                if len(asks):
+                    for r, found in zip(asks.tolist(), index.value.walked(x, reach)):
+                        visits[r] = found
+                    if distance is not None:
+                        for r, c in np.argwhere(index.value.close(x, distance)).tolist():
+                            visits[int(asks[r])].add(c)
+                yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("v"), batch.column("shelf"), pa.array([sorted(s) for s in visits], pa.list_(pa.int32()))], names=["key", "v", "shelf", "visits"])
 
     return run
 
 
 class _Best:
-    """The best ``k`` entries so far of each query, by cosine, then by the entry's place."""
+    """The best ``k`` entries so far of each query, by cosine, then by the entry's place; those below ``at_least`` don't count."""
 
-    def __init__(self, q: np.ndarray, k: int):
+    def __init__(self, q: np.ndarray, k: int, at_least: float | None = None):
         self.q, self.k, self.seen = q, k, 0
-        self.cosine, self.entry = np.full((len(q), k), -2.0), np.zeros((len(q), k), dtype=np.int64)
+        self.none = -2.0 if at_least is None else float(np.nextafter(at_least, -2.0))
+        self.cosine, self.entry = np.full((len(q), k), self.none), np.zeros((len(q), k), dtype=np.int64)
 
     def meet(self, e: np.ndarray, step: int = 512) -> None:
         first, self.seen = self.seen, self.seen + len(e)
@@ -243,42 +251,59 @@ class _Best:
 _MET = "a string, x array<struct<far: double, b: string>>"
 
 
-def _meeting(k: int, step: int = 4096):
-    """Over rows of ``part``, ``entry``, ``key``, ``v`` in that order: each part's queries, then its entries; the best of each query."""
+#: What a row is in a part: a visitor, an entry that streams past the visitors, or an entry of a shelf of one piece, which may itself ask.
+VISITOR, STREAMED, KEPT, KEPT_ASKS = range(4)
+
+
+def _meeting(k: int, at_least: float | None = None, step: int = 4096):
+    """Over rows of ``part``, ``kind``, ``key``, ``v``, of each part first the visitors, then the entries by key; the best of each query."""
 
     def result(names: list[pa.Array], best: _Best, entries: list[pa.Array]) -> pa.RecordBatch:
-        there = best.cosine > -1.5
+        there = best.cosine > best.none
+        some = there.any(1)
         held = pa.chunked_array(entries).combine_chunks()
         pairs = pa.StructArray.from_arrays([pa.array(-best.cosine[there]), held.take(pa.array(best.entry[there]))], names=["far", "b"])
-        offsets = np.concatenate([[0], np.cumsum(there.sum(1))]).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.chunked_array(names).combine_chunks(), pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=["a", "x"])
+        offsets = np.concatenate([[0], np.cumsum(there[some].sum(1))]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.chunked_array(names).combine_chunks().filter(pa.array(some)), pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=["a", "x"])
+
+    def meet(best: _Best, x: np.ndarray) -> None:
+        for at in range(0, len(x), step):
+            best.meet(x[at : at + step])
+
+    def ended(names: list, vectors: list, kept: list, best: _Best | None, entries: list) -> Iterator[pa.RecordBatch]:
+        if kept and vectors:
+            best, entries = _Best(np.concatenate(vectors), k, at_least), [key for key, _ in kept]
+            meet(best, np.concatenate([x for _, x in kept]))
+        if best:
+            yield result(names, best, entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, names, vectors, best, entries = None, [], [], None, []
+        part, names, vectors, kept, best, entries = None, [], [], [], None, []
         for batch in batches:
-            parts, entry = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            parts, kind, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             x = _matrix(batch.column(3))
-            new = np.flatnonzero((parts[1:] != parts[:-1]) | (entry[1:] != entry[:-1])) + 1
+            new = np.flatnonzero((parts[1:] != parts[:-1]) | ((kind[1:] > VISITOR) != (kind[:-1] > VISITOR))) + 1
             for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(parts)]):
                 if hi == lo:
                     continue
                 if parts[lo] != part:
-                    if best:
-                        yield result(names, best, entries)
-                    part, names, vectors, best, entries = parts[lo], [], [], None, []
-                if not entry[lo]:
-                    names.append(batch.column(2).slice(lo, hi - lo))
-                    vectors.append(x[lo:hi])
+                    yield from ended(names, vectors, kept, best, entries)
+                    part, names, vectors, kept, best, entries = parts[lo], [], [], [], None, []
+                if kind[lo] == STREAMED:
+                    if best is None:
+                        if not names:  # entries that nobody visits
+                            continue
+                        best = _Best(np.concatenate(vectors), k, at_least)
+                    entries.append(keys.slice(lo, hi - lo))
+                    meet(best, x[lo:hi])
                     continue
-                if best is None:
-                    if not names:  # entries that nobody visits
-                        continue
-                    best = _Best(np.concatenate(vectors), k)
-                entries.append(batch.column(2).slice(lo, hi - lo))
-                for at in range(lo, hi, step):
-                    best.meet(x[at : min(at + step, hi)])
-        if best:
-            yield result(names, best, entries)
+                if kind[lo] != VISITOR:
+                    kept.append((keys.slice(lo, hi - lo), x[lo:hi]))
+                asking = lo + np.flatnonzero((kind[lo:hi] == VISITOR) | (kind[lo:hi] == KEPT_ASKS))
+                if len(asking):
+                    names.append(keys.take(pa.array(asking)))
+                    vectors.append(x[asking])
+        yield from ended(names, vectors, kept, best, entries)
 
     return run
 
@@ -293,7 +318,7 @@ def _asker(queries: np.ndarray, k: int):
                 best.meet(_matrix(batch.column("v")))
                 shelves.append(batch.column("shelf").to_numpy())
         if shelves:
-            r, c = np.nonzero(best.cosine > -1.5)
+            r, c = np.nonzero(best.cosine > best.none)
             yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int32)), pa.array(best.cosine[r, c]), pa.array(np.concatenate(shelves)[best.entry[r, c]])], names=["query", "cosine", "shelf"])
 
     return run
@@ -310,26 +335,30 @@ def measured_reach(index: Index, placed: DataFrame, queries: np.ndarray, k: int,
     return float(needed[int(np.ceil(recall * len(needed))) - 1]) + SLACK
 
 
-def _met(placed: DataFrame, visits: DataFrame, shelves: int, k: int) -> DataFrame:
-    """The best ``k`` entries of each query among those of the shelves that it visits, piece by piece."""
+def _met(placed: DataFrame, visits: DataFrame, shelves: int, k: int, at_least: float | None = None) -> DataFrame:
+    """The best ``k`` entries of each query among those of the shelves that it visits, piece by piece. ``placed`` lists each row's visits, ``visits`` has a row for each of them, or one without a shelf."""
     spark = placed.sparkSession
-    held, asked = ({r.shelf: r["count"] for r in df.groupBy("shelf").count().collect()} for df in (placed, visits))  # a row for each shelf
+    met = cut(visits.groupBy("home", "shelf").agg(F.count(F.lit(1)).alias("asked"), F.count_if(F.coalesce("place", F.lit(0)) == 0).alias("held")))
+    held, asked = ({r.shelf: r.n for r in met.groupBy(F.col(by).alias("shelf")).agg(F.sum(of).alias("n")).collect()} for by, of in (("home", "held"), ("shelf", "asked")))  # a row for each shelf
     entries, queries = (np.array([max(1, -(-of.get(s, 0) // most)) for s in range(shelves)]) for of, most in ((held, ENTRY_PIECE), (asked, QUERY_PIECE)))
     first = np.concatenate([[0], np.cumsum(entries * queries)])
-    of = lambda values: F.get(F.array(*(F.lit(int(v)) for v in values)), F.col("shelf"))
+    at = lambda values, s: F.get(F.array(*(F.lit(int(v)) for v in values)), s)
     own = lambda n: F.pmod(F.xxhash64("key"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    part = of(first[:-1]) + F.col("entry_piece") * of(queries) + F.col("query_piece")
-    dealt_entries = placed.select("key", "v", "shelf", own(of(entries)).alias("entry_piece"), every(of(queries)).alias("query_piece")).select(part.alias("part"), F.lit(1).alias("entry"), "key", "v")
-    dealt_queries = visits.select("key", "v", "shelf", own(of(queries)).alias("query_piece"), every(of(entries)).alias("entry_piece")).select(part.alias("part"), F.lit(0).alias("entry"), "key", "v")
+    part = lambda s, e, q: (at(first[:-1], s) + e * at(queries, s) + q).cast("int")
+    one_piece, shelf = at((entries * queries == 1).astype(int), F.col("shelf")) == 1, F.col("shelf")
+    kind = F.when(~one_piece, STREAMED).when(F.array_contains("visits", shelf), KEPT_ASKS).otherwise(KEPT)
+    as_entry = F.transform(F.sequence(F.lit(0), at(queries, shelf) - 1), lambda q: F.struct(part(shelf, own(at(entries, shelf)), q).alias("part"), kind.alias("kind")))
+    elsewhere = F.filter("visits", lambda s: ~one_piece | (s != shelf))
+    as_visitor = F.flatten(F.transform(elsewhere, lambda s: F.transform(F.sequence(F.lit(0), at(entries, s) - 1), lambda e: F.struct(part(s, e, own(at(queries, s))).alias("part"), F.lit(VISITOR).alias("kind")))))
+    dealt = placed.select("key", "v", F.explode(F.concat(as_entry, as_visitor)).alias("to")).select("to.part", "to.kind", "key", "v")
     # Few bytes are much work here: tasks are many, and where the parts are few enough to be weighed, each gets about as much work as any other.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     task = F.pmod(F.xxhash64("part"), F.lit(tasks)).cast("int")
     if first[-1] <= 4096:
         work = np.concatenate([np.repeat((held.get(s, 0) / e) * (asked.get(s, 0) / q), e * q) for s, (e, q) in enumerate(zip(entries.tolist(), queries.tolist()))])
         task = F.get(F.array(*(F.lit(t) for t in _spread_evenly(work, tasks))), F.col("part"))
-    dealt = dealt_queries.union(dealt_entries).repartitionById(tasks, task).sortWithinPartitions("part", "entry", "key")
-    met = dealt.mapInArrow(_meeting(k), _MET)
+    dealt = dealt.repartitionById(tasks, task).sortWithinPartitions("part", F.col("kind") > VISITOR, "key")
+    met = dealt.mapInArrow(_meeting(k, at_least), _MET)
     return met.groupBy("a").agg(F.slice(F.sort_array(F.flatten(F.collect_list("x"))), 1, k).alias("x"))
 
 
@@ -364,12 +393,13 @@ def _distinct(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFra
     else:
         many, single = keyed_join(held, larger.select("id", "a", "n"), "id", "n", held.count()), held.join(ids, "id", "left_anti")
     place = F.row_number().over(Window.partitionBy("id").orderBy("key"))  # cut off before the shuffle by the limit below
-    first = many.withColumn("place", place).where(F.col("place") <= k + 1).select("key", "v", (F.col("place") == 1).alias("asks"))
-    return cut(single.select("key", "v", F.lit(True).alias("asks")).union(first)), many.select("key", "a"), larger.select("a", "n")
+    first = cut(many.withColumn("place", place).where(F.col("place") <= k + 1).select("key", "v", (F.col("place") == 1).alias("asks")))
+    return single.select("key", "v", F.lit(True).alias("asks")).union(first), many.select("key", "a"), larger.select("a", "n")
 
 
 def nearest(
-    vectors: DataFrame, k: int = 10, alike: float | None = None, recall: float = RECALL, reach: float | None = None, centroids: int | None = None, shelves: int | None = None, fit_rows: int = FIT_ROWS
+    vectors: DataFrame, k: int = 10, alike: float | None = None, recall: float = RECALL, reach: float | None = None, centroids: int | None = None, shelves: int | None = None, fit_rows: int = FIT_ROWS,
+    at_least: float | None = None,
 ) -> DataFrame:
     """The ``k`` most similar other keys of every key by cosine.
 
@@ -382,7 +412,8 @@ def nearest(
     queries, unless a ``reach`` is given (infinity: through all cells, which is
     exact). With ``alike``, every pair of at
     least that cosine is compared, without exception; such a pair is in the list
-    of one of the two or of both, see :func:`alike`.
+    of one of the two or of both, see :func:`alike`. With ``at_least``, the rows
+    of a lower cosine are left out, before anything is written.
     """
     spark = vectors.sparkSession
     entries, members, classes = _distinct(vectors, k)
@@ -391,19 +422,21 @@ def nearest(
         return spark.createDataFrame([], "a string, b string, cosine double, rank_no int")
     sample = np.array([r.v for r in entries.where("asks").orderBy(F.xxhash64("key"), "key").limit(fit_rows).select("v").collect()], dtype=np.float32)
     index = Index(sample, centroids or centroid_count(count), shelves or int(np.clip(count // SHELF, 1, MOST_SHELVES)))
-    placed = cut(spread(entries).mapInArrow(_placer(spark.sparkContext.broadcast(index)), "key string, asks boolean, v binary, cell int, shelf int"))
-    counts = placed.groupBy("cell", "shelf").count()
+    shared = spark.sparkContext.broadcast
+    placed = spread(entries).mapInArrow(_placer(shared(index)), "key string, asks boolean, v binary, cell int, shelf int")
+    counts = cut(placed.groupBy("cell", "shelf").count())
     best = lambda of, by: counts.groupBy(of).agg(F.max_by(by, F.struct("count", by)).alias(by)).select("cell", "shelf")
     index.fill([(r.cell, r.shelf) for r in best("cell", "shelf").union(best("shelf", "cell")).collect()])  # a row for each occupied cell and each shelf
     reach = measured_reach(index, placed, sample[:FIT_QUERIES], k + 1, recall) if reach is None else reach
     distance = None if alike is None else float(np.sqrt(max(0.0, 2 - 2 * alike)))
-    visits = cut(placed.where("asks").select("key", "v").mapInArrow(_visitor(spark.sparkContext.broadcast(index), reach, distance), "key string, v binary, shelf int"))
-    near = cut(_met(placed, visits, len(index.centres), k + 1))  # read twice below
+    visiting = placed.mapInArrow(_visitor(shared(index), reach, distance), "key string, v binary, shelf int, visits array<int>")
+    visits = visiting.select(F.col("shelf").alias("home"), F.posexplode_outer("visits").alias("place", "shelf"))
+    near = cut(_met(visiting, visits, len(index.centres), k + 1, **({} if at_least is None else {"at_least": at_least})))  # read twice below
     lists = near.select(F.col("a").alias("key"), "x")
     if not classes.isEmpty():  # all keys of a class have its one list
         own = near.join(F.broadcast(classes) if classes.count() <= BROADCAST_CLASSES else classes, "a")
-        shared = keyed_join(members.where("key <> a"), own, "a", "n", max(count, members.count()))
-        lists = lists.union(shared.select("key", "x"))
+        alike_lists = keyed_join(members.where("key <> a"), own, "a", "n", max(count, members.count()))
+        lists = lists.union(alike_lists.select("key", "x"))
     # a list holds the key itself, unless k + 1 keys of its class come before it
     ranked = lists.select("key", F.posexplode(F.slice(F.filter("x", lambda e: e["b"] != F.col("key")), 1, k)).alias("place", "e"))
     return ranked.select(F.col("key").alias("a"), F.col("e.b").alias("b"), (-F.col("e.far")).alias("cosine"), (F.col("place") + 1).alias("rank_no"))

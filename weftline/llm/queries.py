@@ -68,9 +68,9 @@ WITH texts AS (SELECT walk_id, min(path) AS path FROM walks GROUP BY walk_id),
 # ---------------------------------------------------------------- 4: nearest neighbours
 
 
-def _nearest_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = cut(neighbours.clean_vectors(_table(spark, folder, "node_vectors"), "node", "embedding", "loaded_at", 64))
-    return neighbours.nearest(vectors, 10, alike=0.9)
+def _nearest_nodes(spark: SparkSession, folder: str, at_least: float | None = None) -> DataFrame:
+    vectors = neighbours.clean_vectors(_table(spark, folder, "node_vectors"), "node", "embedding", "loaded_at", 64)
+    return neighbours.nearest(vectors, 10, alike=0.9, at_least=at_least)
 
 
 def p4_nearest(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,7 +90,7 @@ def p4_recall(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """The pairs of nodes close enough to count as alike."""
-    return neighbours.alike(_nearest_nodes(spark, folder), 0.9).select("node_a", "node_b")
+    return neighbours.alike(_nearest_nodes(spark, folder, 0.9), 0.9).select("node_a", "node_b")
 
 
 _ALIKE = """
