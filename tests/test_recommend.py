@@ -320,3 +320,30 @@ def test_tsne(spark):
     points = embedding.tsne(df, most=30, iterations=50).collect()
     assert len(points) == 30 and all(len(r.point) == 2 for r in points)
     assert embedding.tsne(df.limit(0)).count() == 0 and embedding.tsne(df.limit(2)).first().point == [0.0, 0.0]
+
+
+def test_pairs_are_not_shuffled(spark, monkeypatch):
+    """In tiles, with an entity of more pairs than are made at a time, and by a join where a bucket is too large, scores are the same; tiles write rows, not pairs."""
+    rng = np.random.default_rng(8)
+    held = sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, 90, 3000), 40 * rng.random(3000) ** 3)})
+    rows = roles(rated(spark, [(f"u{u}", i, float((u + i) % 4)) for u, i in held]))
+    named = rows.withColumn("x", F.concat(F.lit("é"), F.col("x").cast("string")))
+    found = {}
+    for formula in similarity.FORMULAS:
+        joined = similarity._joined_cosine(rows, 16) if formula == "cosine" else similarity._joined_jaccard(rows, formula != "jaccard", 16)
+        want = {pair: r.score for pair, r in table(joined, "i", "j").items()}
+        for pairs, tile in ((2_000_000, 9_000_000), (50, 700), (2_000, 9_000_000), (50, 10)):
+            monkeypatch.setattr(similarity.tiles, "PAIRS", pairs)
+            monkeypatch.setattr(similarity.tiles, "TILE_ROWS", tile)
+            monkeypatch.setattr(similarity.tiles, "PACK_ROWS", pairs)
+            frame = similarity.similarity(rows, formula)
+            plan = frame._jdf.queryExecution().optimizedPlan().toString()
+            assert ("Aggregate" in plan) == (tile == 10)
+            got = [(r.i, r.j, r.score) for r in frame.collect()]
+            assert len(got) == len(want) and {(i, j): s for i, j, s in got} == pytest.approx(want)
+            best = table(similarity.ranked(similarity.candidates(rows, formula, 5, 2e-6).withColumn("score", F.round("score", 6)), 5), "i", "rank_no")
+            found.setdefault(formula, {k: r.j for k, r in table(similarity.ranked(joined.withColumn("score", F.round("score", 6)), 5), "i", "rank_no").items()})
+            assert {k: r.j for k, r in best.items()} == found[formula]
+        monkeypatch.undo()
+        assert {(r.i[1:], r.j[1:]): r.score for r in similarity.similarity(named, formula).collect()} == pytest.approx(want)
+    assert similarity.candidates(rows.limit(0), "jaccard", 5).count() == 0

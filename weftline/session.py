@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -57,6 +58,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def released(spark: SparkSession) -> None:
+    """Lets the driver find what nothing refers to any more, so that its shuffle files go; else they stay until the driver's memory fills."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The path of a new folder in the shared checkpoint folder, for tables that a job writes and reads again."""
     return f"{_checkpoints(spark)}/written-{uuid.uuid4().hex}"
