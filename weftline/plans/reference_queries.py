@@ -63,6 +63,11 @@ def _scores(spark: SparkSession, folder: str, model: str, formula: str) -> DataF
     return similarity.similarity(roles(_bought(spark, folder), model), formula).select("i", "j", F.round("score", 6).alias("score"))
 
 
+def _best_scores(spark: SparkSession, folder: str, model: str, n: int) -> DataFrame:
+    """The cosines among which are the ``n`` best of each entity, once rounded."""
+    return similarity.candidates(roles(_bought(spark, folder), model), "cosine", n, 2e-6).select("i", "j", F.round("score", 6).alias("score"))
+
+
 def _lists(scores: DataFrame, n: int) -> DataFrame:
     return similarity.top_n(scores, n).select("id", F.posexplode("rec_list").alias("pos", "rec")).select("id", (F.col("pos") + 1).alias("rank_no"), "rec")
 
@@ -106,13 +111,13 @@ def cf_user_jaccard_penalty(spark, folder):
 @_query(_cosine_sql("u", "i", _TOP))
 def cf_item_topn(spark, folder):
     """The 20 most alike parts of every part."""
-    return _lists(_scores(spark, folder, "item", "cosine"), 20)
+    return _lists(_best_scores(spark, folder, "item", 20), 20)
 
 
 @_query(_cosine_sql("i", "u", _TOP))
 def cf_user_topn(spark, folder):
     """The 20 most alike customers of every customer."""
-    return _lists(_scores(spark, folder, "user", "cosine"), 20)
+    return _lists(_best_scores(spark, folder, "user", 20), 20)
 
 
 _SEEN = """r AS (SELECT user_id AS u, item AS i, max(rating) AS r FROM interactions WHERE user_id IS NOT NULL AND item IS NOT NULL AND rating IS NOT NULL AND NOT isnan(rating) GROUP BY 1, 2)"""
