@@ -117,7 +117,7 @@ def io_scores_text(spark, folder):
 def io_lists_text(spark, folder):
     """Top-N lists as lines: the id, a tab and its list."""
     path = shared_folder(spark)
-    sinks.write_text(core.similarity.top_n(core._scores(spark, folder, "item", "cosine"), 20), path)
+    sinks.write_text(core.similarity.top_n(core._best_scores(spark, folder, "item", 20), 20), path)
     lines = spark.read.csv(path, sep="\t", schema="id string, rec_list string")
     return lines.select("id", F.posexplode(F.split("rec_list", ",")).alias("pos", "rec")).select("id", (F.col("pos") + 1).alias("rank_no"), "rec")
 
