@@ -10,6 +10,7 @@ import pytest
 
 from weftline import cli
 from weftline.operators import embedding, vectors
+from weftline.plans import io_queries
 from weftline.service import NeighbourService
 from weftline.sources import database, readers, sinks
 from weftline.streaming import incremental
@@ -194,3 +195,10 @@ def test_projection(spark):
     points = embedding.project(df, most=10).collect()
     assert len(points) <= 10 and all(len(r.point) == 2 for r in points)
     assert embedding.project(df.where("node = 99")).count() == 0
+
+
+def test_jdbc_query_reads_where_its_database_is_not(spark, monkeypatch):
+    """Executors of their own don't share the driver's memory: the reader must find the rows under a name that no database of this JVM has."""
+    real = readers.jdbc
+    monkeypatch.setattr(readers, "jdbc", lambda spark, url, **more: real(spark, url.replace("memory:", "memory:elsewhere-"), **more))
+    assert io_queries.io_jdbc(spark, "/root/testdata/sf0.001").count() == 25
