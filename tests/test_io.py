@@ -202,3 +202,14 @@ def test_jdbc_query_reads_where_its_database_is_not(spark, monkeypatch):
     real = readers.jdbc
     monkeypatch.setattr(readers, "jdbc", lambda spark, url, **more: real(spark, url.replace("memory:", "memory:elsewhere-"), **more))
     assert io_queries.io_jdbc(spark, "/root/testdata/sf0.001").count() == 25
+
+
+def test_scores_text_is_compressed_and_whole(spark, tmp_path, monkeypatch):
+    path = tmp_path / "scores"
+    monkeypatch.setattr(io_queries, "shared_folder", lambda spark: f"file://{path}")
+    rows = io_queries.io_scores_text(spark, "/root/testdata/sf0.001")
+    lines = [r.value for r in spark.read.text(str(path)).collect()]
+    whole = io_queries.core.cf_item_cosine(spark, "/root/testdata/sf0.001")
+    assert sorted(lines) == sorted(r.value for r in sinks.text_lines(whole).collect())
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, whole.collect()))
+    assert sum(p.stat().st_size for p in path.glob("part-*")) < 0.5 * sum(len(x) + 1 for x in lines)

@@ -122,9 +122,9 @@ def io_properties(spark, folder):
 
 @_query(core._cosine_sql("u", "i", "SELECT i, j, score FROM s"))
 def io_scores_text(spark, folder):
-    """Scores as tab-separated lines."""
+    """Scores as tab-separated lines, compressed: lines are many times the rows they come from."""
     path = shared_folder(spark)
-    sinks.write_text(core._scores(spark, folder, "item", "cosine"), path, True)
+    sinks.write_text(core._scores(spark, folder, "item", "cosine"), path, True, options={"compression": "gzip", "zlib.compress.level": "BEST_SPEED"})
     return spark.read.csv(path, sep="\t", schema="i string, j string, score double")
 
 

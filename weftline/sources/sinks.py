@@ -25,9 +25,9 @@ def text_lines(df: DataFrame, field_delimiter: str = "\t", collection_delimiter:
     return df.select(F.concat_ws(field_delimiter, *fields).alias("value"))
 
 
-def write_text(df: DataFrame, path: str, overwrite: bool = False, field_delimiter: str = "\t", collection_delimiter: str = ",") -> None:
-    """Scores, top-N lists, walks or embeddings as delimited lines."""
-    text_lines(df, field_delimiter, collection_delimiter).write.mode(_mode(overwrite)).text(path)
+def write_text(df: DataFrame, path: str, overwrite: bool = False, field_delimiter: str = "\t", collection_delimiter: str = ",", options: dict[str, str] | None = None) -> None:
+    """Scores, top-N lists, walks or embeddings as delimited lines. ``options``: of Spark's text writer, such as ``compression``, which readers tell by the files' names."""
+    text_lines(df, field_delimiter, collection_delimiter).write.mode(_mode(overwrite)).options(**options or {}).text(path)
 
 
 def write_table(df: DataFrame, table: str, overwrite: bool = False, names: dict[str, str] | None = None, partition: tuple[str, str] | None = None, dynamic: bool = False, fmt: str = "parquet") -> None:
