@@ -347,3 +347,21 @@ def test_pairs_are_not_shuffled(spark, monkeypatch):
         monkeypatch.undo()
         assert {(r.i[1:], r.j[1:]): r.score for r in similarity.similarity(named, formula).collect()} == pytest.approx(want)
     assert similarity.candidates(rows.limit(0), "jaccard", 5).count() == 0
+
+
+def test_blocks_are_read_where_they_are(spark, monkeypatch):
+    """Tiles read their two blocks without an exchange, so a block is on disk once however many tiles there are; also where blocks are empty, and for lists of the best."""
+    rng = np.random.default_rng(9)
+    held = sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, 90, 1500), rng.integers(0, 40, 1500))})
+    rows = roles(rated(spark, [(f"u{u}", i, float(1 + (u + i) % 4)) for u, i in held]))
+    for some, tile in ((rows, 500), (rows.where("x < 2"), 9_000_000)):
+        monkeypatch.setattr(similarity.tiles, "TILE_ROWS", tile)
+        want = {pair: r.score for pair, r in table(similarity._joined_cosine(some), "i", "j").items()}
+        for pairs in (similarity.cosine(some), similarity.tiles.scored(some.select("l", "x", "r"), "cosine", 5)):
+            plan = pairs._jdf.queryExecution()
+            assert "Exchange" not in plan.executedPlan().toString() and "Repartition" not in plan.optimizedPlan().toString()
+        got = [(r.i, r.j, r.score) for r in similarity.cosine(some).collect()]
+        assert len(got) == len(want) > 0 and {(i, j): s for i, j, s in got} == pytest.approx(want)
+        tops = similarity.ranked(similarity.candidates(some, "cosine", 5, 2e-6).withColumn("score", F.round("score", 6)), 5)
+        joined = similarity.ranked(similarity._joined_cosine(some).withColumn("score", F.round("score", 6)), 5)
+        assert {k: r.j for k, r in table(tops, "i", "rank_no").items()} == {k: r.j for k, r in table(joined, "i", "rank_no").items()}

@@ -1,7 +1,7 @@
 """Collaborative filtering: similarity of the entities that share neighbours, and top-N lists.
 
 The pairs, by far the largest relation here, are not shuffled: the interaction
-rows are, packed, to tiles that hold all rows of two blocks of entities. Only where an
+rows are, packed, to blocks of entities; a tile reads two of them. Only where an
 entity owns more rows than a task can hold, the rows are paired by a join; what
 belongs to one entity (its norm, its number of neighbours) is then put on the
 rows before they are paired, and pairs are shuffled once, combined on the map side first.

@@ -3,8 +3,9 @@
 Pairs are many times the rows that make them. So the rows are shuffled instead: the
 entities are dealt out to blocks, and a tile, one task, gets all rows of two blocks.
 It holds whatever its entities' pairs, norms and counts need, and gives each pair with
-its final score. A row goes to as many tiles as there are blocks, packed with others
-of its block in compressed columns, of a few bytes a row.
+its final score. A row is packed with others of its block in compressed columns, of a
+few bytes a row, and the block is written once: each of its tiles, as many as there are
+blocks, reads it from the shared folder.
 """
 
 from __future__ import annotations
@@ -123,8 +124,17 @@ def _sums(left: _Side, right: _Side, keys: int, order: str | None, both: bool) -
         s, done = e, last + 1
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``block``, ``rows`` of one block as one."""
+    held = [batch for batch in batches if batch.num_rows]
+    if held:
+        table = pa.Table.from_batches(held)
+        rows = table.column("rows").combine_chunks()
+        yield pa.RecordBatch.from_arrays([table.column("block").slice(0, 1).combine_chunks(), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)], names=["block", "rows"])
+
+
 def _scorer(formula: str, n: int | None, slack: float):
-    """Over rows ``first``, ``second`` (blocks), ``block``, ``rows`` of one tile: the scores of its pairs, or the best of each entity."""
+    """Over the one row ``first``, ``second`` (blocks), ``rows``, ``others`` of a tile: the scores of its pairs, or the best of each entity."""
 
     def codes(chunks: list[pa.ChunkedArray]) -> tuple[list[np.ndarray], pa.Array]:
         whole = pa.chunked_array([c for x in chunks for c in x.chunks], chunks[0].type).combine_chunks().dictionary_encode()
@@ -145,15 +155,13 @@ def _scorer(formula: str, n: int | None, slack: float):
         return pa.RecordBatch.from_arrays([left.names.take(pa.array(x[begins])), *lists], names=["a", "b", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, tables = None, {}
-        for batch in batches:
-            for first, second, block, rows in zip(*(c.to_pylist() for c in batch.columns)):
-                tile = (first, second)
-                tables.setdefault(block, []).append(pa.ipc.open_stream(rows).read_all())
-        if not tables or not (one := tile[0] == tile[1]) and len(tables) < 2:
+        tiles = [tile for batch in batches for tile in zip(*(c.to_pylist() for c in batch.columns))]
+        if not tiles:  # the tile is the other way round, or a block is empty
             return
-        held = [pa.concat_tables(t) for t in tables.values()]
-        tables.clear()
+        first, second, *rows = tiles.pop()
+        one = first == second
+        held = [pa.concat_tables(pa.ipc.open_stream(x).read_all() for x in block) for block in rows[: 1 if one else 2]]
+        del rows
         ls, names = codes([t.column("l") for t in held])
         keys, sides = len(names), []
         for l, table in zip(ls, held):
@@ -196,9 +204,11 @@ def scored(rows: DataFrame, formula: str, n: int | None = None, slack: float = 0
         block_of[k] = loads.index(min(loads))
         loads[block_of[k]] += held[k]
     block = F.get(F.array(*(F.lit(b) for b in block_of)), F.col("bucket"))
-    dealt = packed.select(block.alias("block"), "rows").select("block", "rows", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
-    first, second = F.least("block", "other"), F.greatest("block", "other")
-    tile = (first * blocks - F.floor(first * (first - 1) / 2) + second - first).cast("int")
-    dealt = dealt.repartitionById(blocks * (blocks + 1) // 2, tile).select(first.alias("first"), second.alias("second"), "block", "rows")
+    dealt = cut(packed.select(block.alias("block"), "rows").repartitionById(blocks, F.col("block")).mapInArrow(_gathered, "block int, rows array<binary>"))
+    del packed
+    released(spark)
+    sides = dealt.select(F.col("block").alias("first"), "rows"), dealt.select(F.col("block").alias("second"), F.col("rows").alias("others"))
+    # a partition for every two of the blocks' partitions, which reads them where they are: no exchange, whatever the blocks' size
+    tile = sides[0].hint("shuffle_replicate_nl").join(sides[1], F.col("first") <= F.col("second")).select("first", "second", "rows", "others")
     schema = f"a {kind}, b {kind}, score double" if n is None else f"a {kind}, b array<{kind}>, score array<double>"
-    return dealt.mapInArrow(_scorer(formula, n, slack), schema)
+    return tile.mapInArrow(_scorer(formula, n, slack), schema)
